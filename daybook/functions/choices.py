@@ -43,7 +43,7 @@ def valid_score(raw: Column, low: float = 0, high: float = 100) -> Column:
 
 def guess_number(raw: Column) -> Column:
     """The guessed number; blank counts as zero, other text that is no number gives NULL."""
-    return F.when(is_blank(raw), 0.0).otherwise(to_number(raw))
+    return F.coalesce(to_number(raw), F.when(is_blank(raw), 0.0))
 
 
 def compare_label(guess: Column, target: Column) -> Column:

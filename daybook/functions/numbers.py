@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 # The white space that a script's trim removes, and its number formats.
 WHITE_SPACE = r"[\s\u00a0\ufeff\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-DECIMAL_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-INFINITE_NUMBER = r"^[+-]?Infinity$"
-RADIX_PREFIXES = {"0x": (16, "[0-9a-fA-F]{1,16}"), "0o": (8, "[0-7]{1,21}"), "0b": (2, "[01]{1,64}")}
+DECIMAL_NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[+-]?Infinity"
+RADIX_NUMBERS = {16: "0[xX]([0-9a-fA-F]{1,16})", 8: "0[oO]([0-7]{1,21})", 2: "0[bB]([01]{1,64})"}
 
 
 def trimmed(text: Column) -> Column:
@@ -19,24 +18,20 @@ def trimmed(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for text that holds white space only; NULL stays NULL."""
-    return trimmed(text) == ""
+    return text.rlike(f"^{WHITE_SPACE}*$")
 
 
 def to_number(text: Column) -> Column:
     """Text as double, NULL where it is not a number or blank.
 
-    A plain cast also takes ``1d``, ``1f`` and ``NaN``; the format is checked first.
+    A plain cast also takes ``1d``, ``1f`` and ``NaN``; here the format decides.
     """
-    plain = trimmed(text)
-    number = F.when(
-        plain.rlike(DECIMAL_NUMBER) | plain.rlike(INFINITE_NUMBER), plain.try_cast("double")
-    )
-    for prefix, (radix, digits) in RADIX_PREFIXES.items():
-        number = number.when(
-            plain.rlike(f"^(?i:{prefix}){digits}$"),
-            F.conv(F.substring(plain, 3, 64), radix, 10).try_cast("double"),
-        )
-    return number
+    decimal = F.regexp_extract(text, f"^{WHITE_SPACE}*({DECIMAL_NUMBER}){WHITE_SPACE}*$", 1)
+    numbers = [decimal.try_cast("double")]
+    for radix, digits in RADIX_NUMBERS.items():
+        found = F.regexp_extract(text, f"^{WHITE_SPACE}*{digits}{WHITE_SPACE}*$", 1)
+        numbers.append(F.conv(F.nullif(found, F.lit("")), radix, 10).try_cast("double"))
+    return F.coalesce(*numbers)
 
 
 def is_number(text: Column) -> Column:

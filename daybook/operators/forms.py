@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.texts import form_length, form_length_between
+from daybook.operators.computed import with_computed
 from daybook.operators.rules import Rule
 from daybook.sources.query_strings import all_params, first_param, params
 
@@ -28,22 +29,23 @@ def read_submissions(urls: DataFrame, url: str) -> DataFrame:
         return first_param(F.col("_params"), key)
 
     birth = text("userBirth")
-    return pairs.select(
-        *[name for name in urls.columns if name != url],
-        text("userId").alias("userId"),
-        form_length(text("userPw")).alias("userPw_len"),
-        text("userEmail").alias("userEmail"),
-        text("emailDomain").alias("emailDomain"),
-        text("userName").alias("userName"),
-        birth.alias("userBirth_text"),
-        F.when(birth.rlike(r"^\d{4,}-\d{2}-\d{2}$"), F.try_to_date(birth, "yyyy-MM-dd")).alias(
-            "userBirth"
+    fields = with_computed(
+        pairs,
+        userId=text("userId"),
+        userPw_len=form_length(text("userPw")),
+        userEmail=text("userEmail"),
+        emailDomain=text("emailDomain"),
+        userName=text("userName"),
+        userBirth_text=birth,
+        userBirth=F.when(
+            birth.rlike(r"^\d{4,}-\d{2}-\d{2}$"), F.try_to_date(birth, "yyyy-MM-dd")
         ),
-        F.coalesce(text("gender"), F.lit(DEFAULT_GENDER)).alias("gender"),
-        all_params(F.col("_params"), "interest").alias("interest"),
-        F.nullif(text("joinPath"), F.lit("")).alias("joinPath"),
-        text("intro").alias("intro"),
+        gender=F.coalesce(text("gender"), F.lit(DEFAULT_GENDER)),
+        interest=all_params(F.col("_params"), "interest"),
+        joinPath=F.nullif(text("joinPath"), F.lit("")),
+        intro=text("intro"),
     )
+    return fields.drop("_params", url)
 
 
 def _optional(field: str, condition: Column) -> Column:

@@ -19,8 +19,8 @@ _SALTS = "_salts"
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most that many rows; reads no more than it must."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether a table has at most that many rows. Counting Parquet reads only its footers."""
+    return df.count() <= rows
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
@@ -28,30 +28,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
 
     Fewer than ``share`` keys can be hot, and their parts are fewer than twice that.
     """
-    total = df.agg(F.count("*").alias("n")).scalar()
+    total = df.count()
     counted = df.groupBy(*[F.col(key).alias(f"_hot_{key}") for key in keys]).agg(
         F.count("*").alias("_rows")
     )
     return counted.filter(F.col("_rows") * share > total).select(
         *[f"_hot_{key}" for key in keys],
-        F.ceil(F.col("_rows") * share / total).cast("int").alias(_SALTS),
+        F.ceil(F.col("_rows") * share / max(total, 1)).cast("int").alias(_SALTS),
     )
 
 
 def _salted_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], share: int
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame
 ) -> DataFrame:
-    hot = hot_keys(left, keys, share)
+    salts = F.coalesce(_SALTS, F.lit(1))
     many = left.join(F.broadcast(hot), same_keys(left, hot, keys, "_hot_"), "left").select(
         *[left[name] for name in left.columns],
-        F.pmod(F.xxhash64(*[left[name] for name in left.columns]), F.coalesce(_SALTS, F.lit(1)))
-        .cast("int")
-        .alias(_SALT),
+        F.pmod(F.xxhash64(*[left[name] for name in left.columns]), salts).cast("int").alias(_SALT),
     )
     few = right.join(F.broadcast(hot), same_keys(right, hot, keys, "_hot_"), "left").select(
-        *[right[name].alias(f"_right_{name}") if name in keys else right[name]
-          for name in right.columns],
-        F.explode(F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)).alias(f"_right_{_SALT}"),
+        *[
+            right[name].alias(f"_right_{name}") if name in keys else right[name]
+            for name in right.columns
+        ],
+        F.explode(F.sequence(F.lit(0), salts - 1)).alias(f"_right_{_SALT}"),
     )
     matched = many.join(few, [many[k] == few[f"_right_{k}"] for k in (*keys, _SALT)], "left")
     return matched.drop(_SALT, *[f"_right_{k}" for k in (*keys, _SALT)])
@@ -63,16 +63,20 @@ def lookup_join(
     keys: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
     share: int = HOT_SHARE,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join with a table that has at most one row per key.
 
     A right side of checked size is broadcast. A larger one is joined by shuffle, with the
     hot keys of the left side split over several tasks. ``broadcast_rows=0`` skips the check.
+    ``hot_from`` may name a table with the same keys that is cheaper to count than ``left``.
     The rows of the left side should differ in some column.
     """
     if broadcast_rows and fits_broadcast(right, broadcast_rows):
         return left.join(F.broadcast(right), list(keys), "left")
-    return _salted_join(left, right, keys, share)
+    return _salted_join(
+        left, right, keys, hot_keys(left if hot_from is None else hot_from, keys, share)
+    )
 
 
 def label_lookup(
@@ -119,13 +123,14 @@ def current_value(
     values: Sequence[str],
     into: str = "current",
     cutting: Cutting = Cutting(),
+    cut_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the latest observation at or before each row of the same table.
 
     The observation is a struct; it is NULL where there is none, and may hold NULLs.
     """
     marked = rows.withColumn("_item", F.when(is_observation, F.struct(*values)))
-    return carry_last(marked, keys, order, "_item", into, cutting).drop("_item")
+    return carry_last(marked, keys, order, "_item", into, cutting, cut_from).drop("_item")
 
 
 def as_of_lookup(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The markup patterns.
-HIDDEN = r"(?is)<!--.*?-->|<script(?:\s[^>]*)?>.*?</script>|<style(?:\s[^>]*)?>.*?</style>"
+HIDDEN = r"(?is)<(?:!--.*?--|script(?:\s[^>]*)?>.*?</script|style(?:\s[^>]*)?>.*?</style)>"
 TAG = r"(?s)<[^>]*>"
 TAG_AT_START = r"(?s)^<[^>]*>"
 LINE_BREAK = r"(?i)<br\s*/?>"
@@ -64,11 +64,11 @@ def _attributes(html: Column, tag: str, name: str) -> Column:
 
 def page_facts(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """Language, title and description of each page; NULL where a page has none."""
-    shown = visible(F.col(html))
+    shown = F.col("_shown")
     descriptions = F.filter(
         _all(shown, META, 0), lambda tag: F.lower(attribute(tag, "name")) == "description"
     )
-    return pages.select(
+    return pages.select(page_id, visible(F.col(html)).alias("_shown")).select(
         page_id,
         attribute(F.regexp_extract(shown, ROOT, 0), "lang").alias("lang"),
         F.nullif(plain(F.regexp_extract(shown, TITLE, 1)), F.lit("")).alias("title"),

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.operators.computed import with_computed
+
 VIOLATIONS = "violations"
 
 # The message formats of the error report.
@@ -81,7 +83,7 @@ def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         for rule in rules
     ]
     violations = F.filter(F.array(*failed), lambda item: item.isNotNull())
-    return df.withColumn(VIOLATIONS, violations.cast(VIOLATION_TYPE))
+    return with_computed(df, **{VIOLATIONS: violations.cast(VIOLATION_TYPE)})
 
 
 def accepted(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -17,6 +17,7 @@ from daybook.functions.choices import (
     pass_label,
     valid_score,
 )
+from daybook.operators.computed import with_computed
 from daybook.operators.segments import (
     HAS_CUTS,
     SEGMENT,
@@ -36,10 +37,11 @@ def first_valid_scores(
     row per group.
     """
     place = F.struct(*order)
-    score = valid_score(F.col(raw))
-    return log.groupBy(student, subject).agg(
-        F.min_by(score, F.when(score.isNotNull(), place)).alias("score"),
-        F.min(F.when(score.isNotNull(), place)).alias("entered"),
+    scored = with_computed(log, _score=valid_score(F.col(raw)))
+    is_valid = F.col("_score").isNotNull()
+    return scored.groupBy(student, subject).agg(
+        F.min_by("_score", F.when(is_valid, place)).alias("score"),
+        F.min(F.when(is_valid, place)).alias("entered"),
         F.min(F.when(F.col(raw).isNull(), place)).alias("cancelled"),
     )
 
@@ -79,10 +81,8 @@ def score_results(
 
 def label_guesses(log: DataFrame, raw: str, target: str) -> DataFrame:
     """Add the guessed number and the answer to each guess."""
-    guess = guess_number(F.col(raw))
-    return log.withColumn("guess", guess).withColumn(
-        "answer", compare_label(F.col("guess"), F.col(target))
-    )
+    guessed = with_computed(log, guess=guess_number(F.col(raw)))
+    return guessed.withColumn("answer", compare_label(F.col("guess"), F.col(target)))
 
 
 def attempts_until(
@@ -93,6 +93,7 @@ def attempts_until(
     hit: str,
     stop: str | None = None,
     cutting: Cutting = Cutting(),
+    cut_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per key the number of counting rows up to and including the first hit.
 
@@ -107,7 +108,8 @@ def attempts_until(
         F.coalesce(F.col(hit), F.lit(False)).alias("_hit"),
         stops.alias("_stops"),
     ).filter("_counts OR _hit OR _stops")
-    cut = add_segments(relevant, keys, order, cutting).drop(HAS_CUTS)
+    places = rows if cut_from is None else cut_from
+    cut = add_segments(relevant, keys, order, cutting, places).drop(HAS_CUTS)
     place = F.struct(*order)
     ends = F.when(F.col("_hit") | F.col("_stops"), place)
     running = cut.withColumn(
@@ -150,4 +152,4 @@ def attempts_to_hit(
         (F.col("answer") == HIT).alias("_is_hit"),
         F.col(raw).isNull().alias("_cancel"),
     )
-    return attempts_until(labelled, [game], order, "_valid", "_is_hit", "_cancel", cutting)
+    return attempts_until(labelled, [game], order, "_valid", "_is_hit", "_cancel", cutting, log)

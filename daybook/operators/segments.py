@@ -6,19 +6,20 @@ into segments, each a run of neighbouring rows. A window works inside the segmen
 what crosses a cut is carried over on one row per segment.
 
 The cut points come from a sample chosen by a hash of key and order. The sample only says
-where to cut; each row takes part, and the results do not depend on the cuts. All of the
-sample, the cut points and the carried rows are bounded, whatever the size of the table.
+where to cut; each row takes part, and the results do not depend on the cuts. The sample,
+the cut points and the carried rows are bounded, whatever the size of the table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 SEGMENT = "_segment"
 HAS_CUTS = "_has_cuts"
@@ -36,7 +37,7 @@ class Cutting:
 
     sample_rows: int = 200_000
     sample_rows_per_segment: int = 16
-    smallest_segment: int = 500_000
+    smallest_segment: int = 1_000_000
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -47,25 +48,23 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
 
 
 def cut_points(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cutting: Cutting = Cutting()
+    places: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, cutting: Cutting
 ) -> DataFrame:
     """For each key with many rows, the sorted array of the first places of its segments."""
-    rows = df.agg(F.count("*").alias("n")).scalar()
-    stride = F.greatest(F.lit(1), F.ceil(rows / F.lit(cutting.sample_rows)))
-    per_segment = F.greatest(
-        F.lit(cutting.sample_rows_per_segment), F.ceil(F.lit(cutting.smallest_segment) / stride)
+    stride = max(1, math.ceil(rows / cutting.sample_rows))
+    per_segment = max(
+        cutting.sample_rows_per_segment, math.ceil(cutting.smallest_segment / stride)
     )
     sample = (
-        df.select(*keys, F.struct(*order).alias("_place"))
-        .filter(rows > F.lit(cutting.smallest_segment))
-        .filter(F.pmod(F.xxhash64(*keys, "_place"), stride) == 0)
+        places.select(*keys, F.struct(*order).alias("_place"))
+        .filter(F.pmod(F.xxhash64(*keys, "_place"), F.lit(stride)) == 0)
         .distinct()
     )
     ranked = sample.withColumn(
         _RANK, F.row_number().over(Window.partitionBy(*keys).orderBy("_place"))
     )
     return (
-        ranked.filter(F.pmod(F.col(_RANK), per_segment) == 0)
+        ranked.filter(F.col(_RANK) % per_segment == 0)
         .groupBy(*[F.col(key).alias(f"_cut_{key}") for key in keys])
         .agg(F.sort_array(F.collect_list("_place")).alias(_CUTS))
     )
@@ -83,13 +82,23 @@ def _segment_number(cuts: Column, place: Column) -> Column:
 
 
 def add_segments(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cutting: Cutting = Cutting()
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    cutting: Cutting = Cutting(),
+    cut_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the segment number of each row within its key, and whether the key was cut.
 
     ``order`` must tell all rows of a key apart, else equal rows stay together.
+    ``cut_from`` may name a table with the same keys and order that is cheaper to read than
+    ``df``. Its rows are counted first; a table of one segment needs no cuts.
     """
-    cuts = cut_points(df, keys, order, cutting)
+    places = df if cut_from is None else cut_from
+    rows = places.count()
+    if rows <= cutting.smallest_segment:
+        return df.withColumn(SEGMENT, F.lit(0)).withColumn(HAS_CUTS, F.lit(False))
+    cuts = cut_points(places, keys, order, rows, cutting)
     joined = df.join(F.broadcast(cuts), same_keys(df, cuts, keys, "_cut_"), "left")
     return joined.select(
         *[df[name] for name in df.columns],
@@ -98,7 +107,7 @@ def add_segments(
     )
 
 
-def segment_window(keys: Sequence[str], order: Sequence[str]) -> Window:
+def segment_window(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
     """The rows of a segment up to the current one."""
     return (
         Window.partitionBy(*keys, SEGMENT)
@@ -107,7 +116,7 @@ def segment_window(keys: Sequence[str], order: Sequence[str]) -> Window:
     )
 
 
-def earlier_segments(keys: Sequence[str]) -> Window:
+def earlier_segments(keys: Sequence[str]) -> WindowSpec:
     """The segments of a key before the current one, over one row per segment."""
     return (
         Window.partitionBy(*keys)
@@ -135,9 +144,10 @@ def carry_last(
     item: str,
     into: str,
     cutting: Cutting = Cutting(),
+    cut_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the last value of ``item`` that is not NULL at or before each row of its key."""
-    cut = add_segments(df, keys, order, cutting)
+    cut = add_segments(df, keys, order, cutting, cut_from)
     closing = (
         cut.filter(HAS_CUTS)
         .groupBy(*keys, SEGMENT)

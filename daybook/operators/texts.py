@@ -38,6 +38,7 @@ def ordered_text(
     heading: str = "",
     lines_per_part: int = LINES_PER_PART,
     cutting: Cutting = Cutting(),
+    cut_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per key the lines joined in order, as numbered parts.
 
@@ -46,15 +47,15 @@ def ordered_text(
     whole text.
     """
     lines = rows.select(*keys, *order, F.coalesce(line, F.lit("")).alias("_line"))
-    cut = add_segments(lines, keys, order, cutting)
-    place = F.row_number().over(segment_window(keys, order)) - 1
+    cut = add_segments(lines, keys, order, cutting, cut_from)
     pieces = (
-        cut.withColumn("_part", F.floor(place / lines_per_part))
+        cut.withColumn("_place", F.row_number().over(segment_window(keys, order)))
+        .withColumn("_part", F.floor((F.col("_place") - 1) / lines_per_part))
         .groupBy(*keys, SEGMENT, "_part", HAS_CUTS)
         .agg(
             F.array_join(
                 F.transform(
-                    F.sort_array(F.collect_list(F.struct(*order, "_line"))),
+                    F.sort_array(F.collect_list(F.struct("_place", "_line"))),
                     lambda item: item["_line"],
                 ),
                 "",

@@ -192,6 +192,7 @@ def _clicks_with_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type") == "view",
         ["value", "temperature"],
         "observed",
+        cut_from=table(spark, sf_dir, "events"),
     )
     return found.filter(F.col("event_type") == "click")
 
@@ -220,9 +221,10 @@ def enriched_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("latitude"),
         F.col("c_nationkey").cast("double").alias("longitude"),
     )
-    placed = lookup_join(_clicks_with_view(spark, sf_dir), places, ["user_id"]).withColumn(
-        "temperature", F.col("observed.temperature")
-    )
+    events = table(spark, sf_dir, "events")
+    placed = lookup_join(
+        _clicks_with_view(spark, sf_dir), places, ["user_id"], hot_from=events
+    ).withColumn("temperature", F.col("observed.temperature"))
     told = with_status(placed, "latitude", "observed", "temperature", "latitude", "longitude")
     return told.select(
         "event_id", "user_id", "status", "latitude_text", "longitude_text", "temperature"
@@ -279,6 +281,7 @@ def ordered_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"],
         item_line(F.col("p_name"), F.col("l_quantity").cast("int")),
+        cut_from=lines,
     )
 
 
