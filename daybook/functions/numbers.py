@@ -27,10 +27,10 @@ def to_number(text: Column) -> Column:
     A plain cast also takes ``1d``, ``1f`` and ``NaN``; here the format decides.
     """
     decimal = F.regexp_extract(text, f"^{WHITE_SPACE}*({DECIMAL_NUMBER}){WHITE_SPACE}*$", 1)
-    numbers = [decimal.try_cast("double")]
+    numbers = [F.nullif(decimal, F.lit("")).cast("double")]
     for radix, digits in RADIX_NUMBERS.items():
         found = F.regexp_extract(text, f"^{WHITE_SPACE}*{digits}{WHITE_SPACE}*$", 1)
-        numbers.append(F.conv(F.nullif(found, F.lit("")), radix, 10).try_cast("double"))
+        numbers.append(F.conv(F.nullif(found, F.lit("")), radix, 10).cast("double"))
     return F.coalesce(*numbers)
 
 

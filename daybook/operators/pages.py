@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.binding import let
+
 # The markup patterns.
 HIDDEN = r"(?is)<(?:!--.*?--|script(?:\s[^>]*)?>.*?</script|style(?:\s[^>]*)?>.*?</style)>"
 TAG = r"(?s)<[^>]*>"
-TAG_AT_START = r"(?s)^<[^>]*>"
 LINE_BREAK = r"(?i)<br\s*/?>"
 TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title>"
 ROOT = r"(?is)<html(?:\s[^>]*)?>"
@@ -20,6 +21,7 @@ META = r"(?is)<meta\s[^>]*>"
 ANCHOR = r"(?is)<a\s[^>]*>"
 TIME = r"(?is)<time\s[^>]*>"
 ATTRIBUTE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+SPAN = r"""(?is)^<t[dh]\s(?:[^>]*?\s)?{name}\s*=\s*["']?\s*(\d{{1,5}})"""
 QUOTES = r"""^["']|["']$"""
 ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)</li>"
 TERM = r"(?is)<dt(?:\s[^>]*)?>(.*?)</dt>(.*?)(?=<dt[\s>]|</dl\s*>|$)"
@@ -52,8 +54,10 @@ def _all(text: Column, pattern: str, group: int = 1) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """The value of an attribute of a tag; NULL where the tag lacks it."""
-    value = F.regexp_extract(tag, ATTRIBUTE.format(name=name), 1)
-    return F.when(value != "", F.regexp_replace(value, QUOTES, ""))
+    return let(
+        F.regexp_extract(tag, ATTRIBUTE.format(name=name), 1),
+        lambda value: F.when(value != "", F.regexp_replace(value, QUOTES, "")),
+    )
 
 
 def _attributes(html: Column, tag: str, name: str) -> Column:
@@ -223,7 +227,7 @@ def dated_marks(pages: DataFrame, page_id: str = "page_id", html: str = "html")
             F.lit("time").alias("kind"),
             at.cast("long").alias("pos"),
             F.try_to_date(day, "yyyy-MM-dd").alias("day"),
-            F.regexp_extract(day, r"^(\d{4})", 1).try_cast("int").alias("year"),
+            _digits(day, r"^(\d{4})").alias("year"),
         ),
     )
     captions = F.transform(
@@ -240,10 +244,17 @@ def dated_marks(pages: DataFrame, page_id: str = "page_id", html: str = "html")
     )
 
 
+def _digits(text: Column, pattern: str) -> Column:
+    """A found group of few digits as integer; NULL where nothing is found."""
+    return let(
+        F.regexp_extract(text, pattern, 1), lambda found: F.when(found != "", found.cast("int"))
+    )
+
+
 def _span(cell: Column, name: str, smallest: int) -> Column:
-    tag = F.regexp_extract(cell, TAG_AT_START, 0)
-    value = F.regexp_extract(attribute(tag, name), r"^\s*(\d{1,5})", 1).try_cast("int")
-    return F.greatest(F.coalesce(value, F.lit(1)), F.lit(smallest))
+    return F.greatest(
+        F.coalesce(_digits(cell, SPAN.format(name=name)), F.lit(1)), F.lit(smallest)
+    )
 
 
 def table_cells(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
@@ -274,41 +285,52 @@ def place_cells(cells: Column) -> Column:
     no_columns = F.array().cast("array<int>")
     height = F.size(cells)
 
-    def place_cell(state: Column, cell: Column, row: Column) -> Column:
+    def next_column(state: Column, row: Column) -> Column:
         free, start = state["free"], state["next"]
-        width = F.size(free)
         offset = F.array_position(
-            F.transform(F.slice(free, start + 1, width), lambda until: until <= row), True
+            F.transform(F.slice(free, start + 1, F.size(free)), lambda until: until <= row), True
         ).cast("int")
-        column = F.when(offset > 0, start + offset - 1).otherwise(F.greatest(start, width))
-        after = column + cell["colspan"]
-        until = F.when(cell["rowspan"] == 0, height).otherwise(row + cell["rowspan"])
-        wide = F.concat(free, F.array_repeat(F.lit(0), F.greatest(F.lit(0), after - width)))
-        covered = F.transform(
-            wide,
-            lambda old, at: F.when((at >= column) & (at < after), F.greatest(old, until))
-            .otherwise(old),
+        return let(
+            offset,
+            lambda at: F.when(at > 0, start + at - 1).otherwise(F.greatest(start, F.size(free))),
         )
-        return F.struct(
-            covered.alias("free"),
-            after.alias("next"),
-            F.concat(state["columns"], F.array(column)).alias("columns"),
+
+    def cover(free: Column, first: Column, after: Column, until: Column) -> Column:
+        missing = F.greatest(F.lit(0), after - F.size(free))
+        return F.transform(
+            F.concat(free, F.array_repeat(F.lit(0), missing)),
+            lambda old, at: F.when(
+                (at >= first) & (at < after), F.greatest(old, until)
+            ).otherwise(old),
+        )
+
+    def place_cell(state: Column, cell: Column, row: Column) -> Column:
+        until = F.when(cell["rowspan"] == 0, height).otherwise(row + cell["rowspan"])
+        return let(
+            F.struct(next_column(state, row).alias("first"), until.alias("until")),
+            lambda at: F.struct(
+                cover(
+                    state["free"], at["first"], at["first"] + cell["colspan"], at["until"]
+                ).alias("free"),
+                (at["first"] + cell["colspan"]).alias("next"),
+                F.concat(state["columns"], F.array(at["first"])).alias("columns"),
+            ),
         )
 
     def place_row(state: Column, row_cells: Column) -> Column:
-        row = F.size(state["placed"])
         line = F.aggregate(
             row_cells,
             F.struct(
-                state["free"].alias("free"),
-                F.lit(0).alias("next"),
-                no_columns.alias("columns"),
+                state["free"].alias("free"), F.lit(0).alias("next"), no_columns.alias("columns")
             ),
-            lambda inner, cell: place_cell(inner, cell, row),
+            lambda inner, cell: place_cell(inner, cell, F.size(state["placed"])),
         )
-        return F.struct(
-            line["free"].alias("free"),
-            F.concat(state["placed"], F.array(line["columns"])).alias("placed"),
+        return let(
+            line,
+            lambda placed: F.struct(
+                placed["free"].alias("free"),
+                F.concat(state["placed"], F.array(placed["columns"])).alias("placed"),
+            ),
         )
 
     return F.aggregate(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,8 +99,14 @@ def accepted(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def rejected(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The rows that fail some rule, with the failed rules."""
-    return check(df, rules).filter(F.size(VIOLATIONS) > 0)
+    """The rows that fail some rule, with the failed rules.
+
+    The good rows leave first, so the report is made for the bad ones only.
+    """
+    passes = reduce(
+        lambda a, b: a & b, [F.coalesce(rule.passes, F.lit(False)) for rule in rules]
+    )
+    return check(df.filter(~passes), rules)
 
 
 def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:

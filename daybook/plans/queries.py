@@ -37,7 +37,7 @@ from daybook.session import shared_folder
 from daybook.sources.literals import CITIES, code_table
 from daybook.sources.payloads import with_coordinates, with_weather
 from daybook.sources.query_strings import param_rows
-from daybook.streaming.choices import change_events, run_append, run_latest_choice
+from daybook.streaming.choices import change_events, run_enriched, run_latest_choice
 
 MISSING_FROM = 400
 CALENDAR_MONTHS = [f"{month:02d}" for month in range(1, 13)]
@@ -367,12 +367,13 @@ def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nation = table(spark, sf_dir, "nation")
     known = label_lookup(places, "c_nationkey", nation, "n_nationkey", "n_name", "nation")
-    placed = _event_stream(spark, sf_dir).join(known, "user_id", "left")
-    told = with_status(placed, "latitude", "value", "value", "latitude", "value")
-    return run_append(
-        told.select("event_id", "user_id", "nation", "status", "latitude_text"),
-        shared_folder(spark, "enriched"),
-    )
+
+    def enrich(batch: DataFrame) -> DataFrame:
+        placed = lookup_join(batch, known, ["user_id"])
+        told = with_status(placed, "latitude", "value", "value", "latitude", "value")
+        return told.select("event_id", "user_id", "nation", "status", "latitude_text")
+
+    return run_enriched(_event_stream(spark, sf_dir), enrich, shared_folder(spark, "enriched"))
 
 
 # Sales

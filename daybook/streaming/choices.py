@@ -7,7 +7,7 @@ and forget the choices of quiet keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +26,27 @@ def change_events(
     return reader.parquet(path)
 
 
-def _read_back(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _run(rows: DataFrame, mode: str, save: Callable[[DataFrame, str], None], folder: str) -> str:
+    """Take in what has arrived; give the folder in which the batches were saved."""
+    saved = f"{folder}/batches"
+
+    def save_batch(batch: DataFrame, number: int) -> None:
+        save(batch, f"{saved}/batch={number}")
+
+    query = (
+        rows.writeStream.outputMode(mode)
+        .foreachBatch(save_batch)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return saved
+
+
+def _read_back(spark: SparkSession, saved: str, schema: T.StructType) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(saved).drop("batch")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -50,33 +68,28 @@ def run_latest_choice(
     """
     kept = [*values, *[name for name in order if name not in values]]
     latest = latest_value(changes, keys, kept, order)
-    saved = f"{folder}/changes"
 
-    def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{saved}/batch={number}")
+    def save(batch: DataFrame, path: str) -> None:
+        batch.write.mode("overwrite").parquet(path)
 
-    query = (
-        latest.writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    saved = _run(latest, "update", save, folder)
     history = _read_back(changes.sparkSession, saved, latest.schema)
     return latest_value(history, keys, values, order)
 
 
-def run_append(rows: DataFrame, folder: str) -> DataFrame:
-    """Take in what has arrived, append the rows to files and give all that is there."""
-    saved = f"{folder}/rows"
-    query = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", saved)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return _read_back(rows.sparkSession, saved, rows.schema)
+def run_enriched(
+    changes: DataFrame, enrich: Callable[[DataFrame], DataFrame], folder: str
+) -> DataFrame:
+    """Take in what has arrived, enrich it batch by batch, and give all that is there.
+
+    ``enrich`` gets each batch as a table, so its lookups can check sizes and split hot keys
+    like those of any other table.
+    """
+
+    def save(batch: DataFrame, path: str) -> None:
+        enrich(batch).write.mode("overwrite").parquet(path)
+
+    saved = _run(changes, "append", save, folder)
+    spark = changes.sparkSession
+    schema = enrich(spark.createDataFrame([], changes.schema)).schema
+    return _read_back(spark, saved, schema)

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from daybook.operators import rules
+from daybook.operators.computed import with_computed
 from daybook.sources.sales_files import RAW_ROW_SCHEMA, as_accepted, sales_rules
 
 ACCEPTED = [
@@ -63,8 +64,10 @@ def test_rows_with_nulls_and_several_violations(spark):
     assert text.startswith("3 validation errors for SalesRecord\nmonth\n")
 
 
-def test_checked_rows_are_computed_once(spark):
-    checked = rules.rejected(raw_rows(spark, REJECTED), sales_rules())
-    plan = checked._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("string_too_short") == 2
-    assert checked.select(F.size("violations")).distinct().first()[0] == 1
+def test_costly_columns_are_computed_once(spark):
+    rows = raw_rows(spark, ACCEPTED + REJECTED)
+    costly = F.regexp_replace("region", "costly", "")
+    once = with_computed(rows, made=costly).filter("made != '' AND made != 'x'")
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("costly") == 1
+    assert once.count() == 6

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators.latest import latest_value
 from daybook.sources.literals import CITIES, code_table
-from daybook.streaming.choices import change_events, run_append, run_latest_choice
+from daybook.streaming.choices import change_events, run_enriched, run_latest_choice
 
 SCHEMA = "user string, city string, ts int"
 FIRST = [("u", "Seoul", 5), ("v", "Busan", 1)]
@@ -38,6 +38,8 @@ def test_stream_without_rows(spark, tmp_path):
     events = change_events(spark, str(source), schema)
     found = run_latest_choice(events, ["user"], ["city"], ["ts"], str(tmp_path / "work"))
     assert found.collect() == []
+    same = run_enriched(events, lambda batch: batch.select("user"), str(tmp_path / "other"))
+    assert same.columns == ["user"] and same.collect() == []
 
 
 def test_enriched_stream_keeps_all_rows_once(spark, tmp_path):
@@ -46,7 +48,7 @@ def test_enriched_stream_keeps_all_rows_once(spark, tmp_path):
     for number, rows in enumerate((FIRST, LATE), start=1):
         write(spark, rows, source)
         events = change_events(spark, source, spark.read.parquet(source).schema)
-        found = run_append(events.join(labels, "city", "left"), folder)
+        found = run_enriched(events, lambda batch: batch.join(labels, "city", "left"), folder)
         assert found.count() == sum(len(part) for part in (FIRST, LATE)[:number])
     assert found.filter(F.col("label").isNull()).count() == 1
     assert {r.label for r in found.collect()} == {"서울", "부산", None}
