@@ -2,40 +2,52 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.choices import lookup_status
 from daybook.functions.numbers import fixed_decimals
-from daybook.operators.segments import Cutting, carry_last, same_keys
+from daybook.operators.segments import Cutting, carry_last, hash_sample, same_keys
 
 BROADCAST_ROWS = 50_000
-HOT_SHARE = 2_000
 
 _SALT = "_salt"
 _SALTS = "_salts"
 
 
+@dataclass(frozen=True)
+class Salting:
+    """Which keys are hot: about ``sample_rows`` rows are looked at, and a key is split into
+    one part per ``sample_rows_per_part`` of them. Tables of at most ``smallest_table`` rows
+    are left alone.
+    """
+
+    sample_rows: int = 200_000
+    sample_rows_per_part: int = 100
+    smallest_table: int = 1_000_000
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a table has at most that many rows. Counting Parquet reads only its footers."""
     return df.count() <= rows
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than 1/share of all rows, with the number of parts to split into.
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int, salting: Salting) -> DataFrame:
+    """Keys with many rows in a sample, and the number of parts to split each into.
 
-    Fewer than ``share`` keys can be hot, and their parts are fewer than twice that.
+    Their number, and that of all parts, is bounded by the sample.
     """
-    total = df.count()
-    counted = df.groupBy(*[F.col(key).alias(f"_hot_{key}") for key in keys]).agg(
-        F.count("*").alias("_rows")
-    )
-    return counted.filter(F.col("_rows") * share > total).select(
-        *[f"_hot_{key}" for key in keys],
-        F.ceil(F.col("_rows") * share / max(total, 1)).cast("int").alias(_SALTS),
+    stride = max(1, math.ceil(rows / salting.sample_rows))
+    counted = (
+        hash_sample(df, df.columns, stride)
+        .groupBy(*[F.col(key).alias(f"_hot_{key}") for key in keys])
+        .agg(F.ceil(F.count("*") / salting.sample_rows_per_part).cast("int").alias(_SALTS))
     )
+    return counted.filter(F.col(_SALTS) > 1)
 
 
 def _salted_join(
@@ -62,21 +74,23 @@ def lookup_join(
     right: DataFrame,
     keys: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
-    share: int = HOT_SHARE,
+    salting: Salting = Salting(),
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join with a table that has at most one row per key.
 
     A right side of checked size is broadcast. A larger one is joined by shuffle, with the
     hot keys of the left side split over several tasks. ``broadcast_rows=0`` skips the check.
-    ``hot_from`` may name a table with the same keys that is cheaper to count than ``left``.
-    The rows of the left side should differ in some column.
+    ``hot_from`` may name a table with the same keys that is cheaper to read than ``left``.
+    The rows of both should differ in some column.
     """
     if broadcast_rows and fits_broadcast(right, broadcast_rows):
         return left.join(F.broadcast(right), list(keys), "left")
-    return _salted_join(
-        left, right, keys, hot_keys(left if hot_from is None else hot_from, keys, share)
-    )
+    sampled = left if hot_from is None else hot_from
+    rows = sampled.count()
+    if rows <= salting.smallest_table:
+        return left.join(right, list(keys), "left")
+    return _salted_join(left, right, keys, hot_keys(sampled, keys, rows, salting))
 
 
 def label_lookup(

@@ -19,7 +19,7 @@ from daybook.functions.choices import (
 )
 from daybook.operators.computed import with_computed
 from daybook.operators.segments import (
-    HAS_CUTS,
+    CUTS_OF_KEY,
     SEGMENT,
     Cutting,
     add_segments,
@@ -109,7 +109,7 @@ def attempts_until(
         stops.alias("_stops"),
     ).filter("_counts OR _hit OR _stops")
     places = rows if cut_from is None else cut_from
-    cut = add_segments(relevant, keys, order, cutting, places).drop(HAS_CUTS)
+    cut = add_segments(relevant, keys, order, cutting, places).drop(CUTS_OF_KEY)
     place = F.struct(*order)
     ends = F.when(F.col("_hit") | F.col("_stops"), place)
     running = cut.withColumn(

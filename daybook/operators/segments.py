@@ -22,10 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 SEGMENT = "_segment"
-HAS_CUTS = "_has_cuts"
+CUTS_OF_KEY = "_cuts_of_key"
 _CUTS = "_cuts"
 _RANK = "_rank"
-_SEARCH_STEPS = [2**i for i in reversed(range(15))]
 
 
 @dataclass(frozen=True)
@@ -39,6 +38,12 @@ class Cutting:
     sample_rows_per_segment: int = 16
     smallest_segment: int = 1_000_000
 
+    def most_cuts(self, rows: int) -> int:
+        """More cuts than a sample of so many rows can be expected to give."""
+        return 2 * min(
+            self.sample_rows // self.sample_rows_per_segment, rows // self.smallest_segment
+        ) + 16
+
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
     """Equal keys, NULL equal to NULL, where the right side's names have a prefix."""
@@ -47,6 +52,11 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     )
 
 
+def hash_sample(df: DataFrame, columns: Sequence[str], stride: int) -> DataFrame:
+    """About one row in ``stride``, always the same ones for the same values."""
+    return df.filter(F.pmod(F.xxhash64(*columns), F.lit(stride)) == 0)
+
+
 def cut_points(
     places: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, cutting: Cutting
 ) -> DataFrame:
@@ -55,11 +65,9 @@ def cut_points(
     per_segment = max(
         cutting.sample_rows_per_segment, math.ceil(cutting.smallest_segment / stride)
     )
-    sample = (
-        places.select(*keys, F.struct(*order).alias("_place"))
-        .filter(F.pmod(F.xxhash64(*keys, "_place"), F.lit(stride)) == 0)
-        .distinct()
-    )
+    sample = hash_sample(
+        places.select(*keys, F.struct(*order).alias("_place")), [*keys, "_place"], stride
+    ).distinct()
     ranked = sample.withColumn(
         _RANK, F.row_number().over(Window.partitionBy(*keys).orderBy("_place"))
     )
@@ -70,9 +78,9 @@ def cut_points(
     )
 
 
-def _segment_number(cuts: Column, place: Column) -> Column:
+def _segment_number(cuts: Column, place: Column, most_cuts: int) -> Column:
     """How many cuts lie at or before the place, by halving steps."""
-    steps = F.array(*[F.lit(step) for step in _SEARCH_STEPS])
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(most_cuts.bit_length()))])
     found = F.aggregate(
         steps,
         F.lit(0),
@@ -88,7 +96,7 @@ def add_segments(
     cutting: Cutting = Cutting(),
     cut_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the segment number of each row within its key, and whether the key was cut.
+    """Add the segment number of each row within its key, and how often the key was cut.
 
     ``order`` must tell all rows of a key apart, else equal rows stay together.
     ``cut_from`` may name a table with the same keys and order that is cheaper to read than
@@ -97,13 +105,14 @@ def add_segments(
     places = df if cut_from is None else cut_from
     rows = places.count()
     if rows <= cutting.smallest_segment:
-        return df.withColumn(SEGMENT, F.lit(0)).withColumn(HAS_CUTS, F.lit(False))
+        return df.withColumn(SEGMENT, F.lit(0)).withColumn(CUTS_OF_KEY, F.lit(0))
     cuts = cut_points(places, keys, order, rows, cutting)
     joined = df.join(F.broadcast(cuts), same_keys(df, cuts, keys, "_cut_"), "left")
+    place = F.struct(*[df[name] for name in order])
     return joined.select(
         *[df[name] for name in df.columns],
-        _segment_number(F.col(_CUTS), F.struct(*[df[name] for name in order])).alias(SEGMENT),
-        F.col(_CUTS).isNotNull().alias(HAS_CUTS),
+        _segment_number(F.col(_CUTS), place, cutting.most_cuts(rows)).alias(SEGMENT),
+        F.coalesce(F.size(_CUTS), F.lit(0)).alias(CUTS_OF_KEY),
     )
 
 
@@ -149,16 +158,15 @@ def carry_last(
     """Add the last value of ``item`` that is not NULL at or before each row of its key."""
     cut = add_segments(df, keys, order, cutting, cut_from)
     closing = (
-        cut.filter(HAS_CUTS)
-        .groupBy(*keys, SEGMENT)
-        .agg(
-            F.max_by(item, F.when(F.col(item).isNotNull(), F.struct(*order))).alias("_closing")
-        )
+        cut.filter((F.col(CUTS_OF_KEY) > F.col(SEGMENT)) & F.col(item).isNotNull())
+        .groupBy(*keys, SEGMENT, CUTS_OF_KEY)
+        .agg(F.max_by(item, F.struct(*order)).alias("_carried"))
     )
-    carried = closing.select(
+    following = F.lead(SEGMENT).over(Window.partitionBy(*keys).orderBy(SEGMENT))
+    carried = closing.withColumn("_until", F.coalesce(following, CUTS_OF_KEY)).select(
         *keys,
-        SEGMENT,
-        F.last("_closing", ignorenulls=True).over(earlier_segments(keys)).alias("_carried"),
+        F.explode(F.sequence(F.col(SEGMENT) + 1, F.col("_until"))).alias(SEGMENT),
+        "_carried",
     )
     inside = cut.withColumn(
         into, F.last(item, ignorenulls=True).over(segment_window(keys, order))
@@ -166,5 +174,5 @@ def carry_last(
     return (
         join_per_segment(inside, carried, keys)
         .withColumn(into, F.coalesce(into, "_carried"))
-        .drop("_carried", SEGMENT, HAS_CUTS)
+        .drop("_carried", SEGMENT, CUTS_OF_KEY)
     )

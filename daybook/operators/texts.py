@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.segments import (
-    HAS_CUTS,
+    CUTS_OF_KEY,
     SEGMENT,
     Cutting,
     add_segments,
@@ -51,7 +51,7 @@ def ordered_text(
     pieces = (
         cut.withColumn("_place", F.row_number().over(segment_window(keys, order)))
         .withColumn("_part", F.floor((F.col("_place") - 1) / lines_per_part))
-        .groupBy(*keys, SEGMENT, "_part", HAS_CUTS)
+        .groupBy(*keys, SEGMENT, "_part")
         .agg(
             F.array_join(
                 F.transform(
@@ -63,7 +63,7 @@ def ordered_text(
         )
     )
     parts = (
-        cut.filter(HAS_CUTS)
+        cut.filter(F.col(CUTS_OF_KEY) > 0)
         .groupBy(*keys, SEGMENT)
         .agg(F.ceil(F.count("*") / lines_per_part).alias("_parts"))
     )

@@ -221,9 +221,9 @@ def enriched_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("latitude"),
         F.col("c_nationkey").cast("double").alias("longitude"),
     )
-    events = table(spark, sf_dir, "events")
+    users = table(spark, sf_dir, "events").select("event_id", "user_id")
     placed = lookup_join(
-        _clicks_with_view(spark, sf_dir), places, ["user_id"], hot_from=events
+        _clicks_with_view(spark, sf_dir), places, ["user_id"], hot_from=users
     ).withColumn("temperature", F.col("observed.temperature"))
     told = with_status(placed, "latitude", "observed", "temperature", "latitude", "longitude")
     return told.select(

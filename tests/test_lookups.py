@@ -3,6 +3,7 @@ from pyspark.sql.window import Window
 
 from daybook.operators.latest import latest_value
 from daybook.operators.lookups import (
+    Salting,
     as_of_lookup,
     current_value,
     first_match,
@@ -106,9 +107,10 @@ def test_first_match_takes_the_best_candidate(spark):
 def test_lookup_join_splits_hot_keys(spark):
     left = hot_rows(spark)
     right = spark.range(45).select(F.col("id").alias("key"), F.concat(F.lit("n"), "id").alias("name"))
-    hot = hot_keys(left, ["key"], share=10)
+    fine = Salting(sample_rows=6000, sample_rows_per_part=600, smallest_table=10)
+    hot = hot_keys(left, ["key"], left.count(), fine)
     assert {(r["_hot_key"], r["_salts"]) for r in hot.collect()} == {(0, 4)}
-    salted = lookup_join(left, right, ["key"], broadcast_rows=0, share=10)
+    salted = lookup_join(left, right, ["key"], 0, fine)
     plain = left.join(right, "key", "left")
     assert salted.columns == plain.columns
     assert salted.count() == left.count()
@@ -119,7 +121,7 @@ def test_lookup_join_splits_hot_keys(spark):
 def test_lookup_join_with_null_and_text_keys(spark):
     left = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 99)], "key string, n int")
     right = spark.createDataFrame([("a", 1), (None, 2)], "key string, v int")
-    found = lookup_join(left, right, ["key"], broadcast_rows=0, share=4)
+    found = lookup_join(left, right, ["key"], 0, Salting(100, 5, 10))
     assert found.count() == 51
     assert [(r.key, r.v) for r in found.filter("v IS NOT NULL").collect()] == [("a", 1)]
 
