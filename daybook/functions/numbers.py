@@ -44,9 +44,15 @@ def fixed_decimals(value: Column, places: int = 4) -> Column:
     return F.when(value.isNotNull(), F.format_string(f"%.{places}f", value.cast("double")))
 
 
+def number_text(value: Column) -> Column:
+    """A number as text, without the decimals of a whole number."""
+    return F.regexp_replace(value.cast("string"), r"\.0$", "")
+
+
 def integer_between(key: Column, low: int, high: int) -> Column:
     """An integer of the range, spread evenly over the keys and the same in every run."""
-    return (F.pmod(F.xxhash64(key), F.lit(high - low + 1)) + low).cast("int")
+    digest = F.conv(F.substring(F.md5(key.cast("string")), 1, 12), 16, 10).cast("long")
+    return (digest % (high - low + 1) + low).cast("int")
 
 
 def random_integer(low: int, high: int, seed: int | None = None) -> Column:

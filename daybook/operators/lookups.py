@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.choices import lookup_status
 from daybook.functions.numbers import fixed_decimals
-from daybook.operators.segments import Cutting, carry_last, hash_sample, same_keys
+from daybook.operators.segments import Cutting, carry_last, hash_sample, hashable, same_keys
 
 BROADCAST_ROWS = 50_000
 
@@ -43,7 +43,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int, salting: Salting) ->
     """
     stride = max(1, math.ceil(rows / salting.sample_rows))
     counted = (
-        hash_sample(df, df.columns, stride)
+        hash_sample(df, hashable(df), stride)
         .groupBy(*[F.col(key).alias(f"_hot_{key}") for key in keys])
         .agg(F.ceil(F.count("*") / salting.sample_rows_per_part).cast("int").alias(_SALTS))
     )
@@ -54,9 +54,10 @@ def _salted_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame
 ) -> DataFrame:
     salts = F.coalesce(_SALTS, F.lit(1))
+    content = F.xxhash64(*[left[name] for name in hashable(left)])
     many = left.join(F.broadcast(hot), same_keys(left, hot, keys, "_hot_"), "left").select(
         *[left[name] for name in left.columns],
-        F.pmod(F.xxhash64(*[left[name] for name in left.columns]), salts).cast("int").alias(_SALT),
+        F.pmod(content, salts).cast("int").alias(_SALT),
     )
     few = right.join(F.broadcast(hot), same_keys(right, hot, keys, "_hot_"), "left").select(
         *[
@@ -66,7 +67,11 @@ def _salted_join(
         F.explode(F.sequence(F.lit(0), salts - 1)).alias(f"_right_{_SALT}"),
     )
     matched = many.join(few, [many[k] == few[f"_right_{k}"] for k in (*keys, _SALT)], "left")
-    return matched.drop(_SALT, *[f"_right_{k}" for k in (*keys, _SALT)])
+    others = [name for name in left.columns if name not in keys]
+    added = [name for name in right.columns if name not in keys]
+    return matched.select(
+        *[many[name] for name in (*keys, *others)], *[few[name] for name in added]
+    )
 
 
 def lookup_join(

@@ -52,6 +52,12 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     )
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """The columns that can be hashed: all without maps and variants."""
+    kinds = {field.name: field.dataType.simpleString() for field in df.schema}
+    return [name for name, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
+
+
 def hash_sample(df: DataFrame, columns: Sequence[str], stride: int) -> DataFrame:
     """About one row in ``stride``, always the same ones for the same values."""
     return df.filter(F.pmod(F.xxhash64(*columns), F.lit(stride)) == 0)

@@ -20,6 +20,24 @@ SELECT c_custkey, 1, 'c_acctbal', 'greater_than', '{GREATER_THAN_MESSAGE.format(
 FROM customer WHERE NOT coalesce(c_acctbal > 0, false)
 """
 
+def _problem(field: str, kind: str, message: str, value: str, value_type: str) -> str:
+    return (
+        f"'{field}' || chr(10) || '  {message} [type={kind}, input_value=' || {value}"
+        f" || ', input_type={value_type}]' || chr(10)"
+        f" || '    For further information visit {HELP_ADDRESS}{kind}'"
+    )
+
+
+_RAW_SALES = """
+WITH raw AS (
+  SELECT CASE WHEN c_custkey % 17 = 0 THEN ''
+      ELSE '2024-' || lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') END AS month,
+    CASE WHEN c_custkey % 19 <> 0 THEN c_name END AS region,
+    CAST(floor(c_acctbal) AS BIGINT) AS amount,
+    CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS category
+  FROM customer)
+"""
+
 _SALES = """
 WITH sales AS (
   SELECT n_name AS region, c_mktsegment AS category, strftime(o_orderdate, '%Y-%m') AS month,
@@ -114,8 +132,31 @@ SELECT event_id,
   CASE event_id % 7 WHEN 0 THEN 'not_a_number' WHEN 1 THEN 'not_a_number'
     WHEN 2 THEN 'not_a_number' WHEN 3 THEN 'out_of_range' WHEN 4 THEN NULL
     ELSE CASE WHEN value BETWEEN 0 AND 100 THEN 'ok' ELSE 'out_of_range' END END AS reason,
-  CASE WHEN event_id % 7 >= 5 AND value BETWEEN 0 AND 100 THEN value END AS score
+  CASE WHEN event_id % 7 >= 5 AND value BETWEEN 0 AND 100 THEN value END AS score,
+  CASE WHEN event_id % 7 < 3 THEN '숫자를 입력해주세요.' WHEN event_id % 7 = 4 THEN NULL
+    WHEN event_id % 7 = 3 OR value NOT BETWEEN 0 AND 100
+    THEN '0점부터 100점 사이의 값을 입력해주세요.' END AS told
 FROM events
+""",
+    "secret_numbers": """
+SELECT c_custkey,
+  CAST(CAST('0x' || substring(md5(CAST(c_custkey AS VARCHAR)), 1, 12) AS BIGINT) % 50 + 1 AS INT) AS secret
+FROM customer
+""",
+    "written_accepted": f"""{_RAW_SALES}
+SELECT month, region, CAST(amount AS DOUBLE) AS amount, category FROM raw
+WHERE length(month) >= 1 AND length(region) >= 1 AND amount > 0
+""",
+    "written_rejects": f"""{_RAW_SALES}
+SELECT month, region, amount, category, CAST(len(failed) AS VARCHAR)
+  || CASE WHEN len(failed) = 1 THEN ' validation error for ' ELSE ' validation errors for ' END
+  || 'SalesRecord' || chr(10) || array_to_string(failed, chr(10)) AS error
+FROM (SELECT *, list_filter([
+    CASE WHEN length(month) = 0 THEN {_problem("month", "string_too_short", NON_EMPTY_MESSAGE, "chr(39) || chr(39)", "str")} END,
+    CASE WHEN region IS NULL THEN {_problem("region", "string_too_short", NON_EMPTY_MESSAGE, "'None'", "NoneType")} END,
+    CASE WHEN amount <= 0 THEN {_problem("amount", "greater_than", GREATER_THAN_MESSAGE.format(bound=0), "CAST(amount AS VARCHAR)", "int")} END
+  ], x -> x IS NOT NULL) AS failed FROM raw)
+WHERE len(failed) > 0
 """,
     "form_submissions": f"{_SENT} SELECT * FROM sent",
     "form_violations": f"""{_SENT}
@@ -175,7 +216,12 @@ SELECT a.event_id, a.user_id,
     WHEN a.value >= {MISSING_FROM} THEN '{NO_TEMPERATURE}' ELSE '{OK}' END AS status,
   printf('%.4f', c_acctbal) AS latitude_text,
   printf('%.4f', CAST(c_nationkey AS DOUBLE)) AS longitude_text,
-  CASE WHEN a.value < {MISSING_FROM} THEN a.value END AS temperature
+  CASE WHEN a.value < {MISSING_FROM} THEN a.value END AS temperature,
+  CASE WHEN c_custkey IS NULL THEN '도시 정보를 찾을 수 없습니다.'
+    WHEN a.view_id IS NULL THEN '날씨 정보를 불러올 수 없습니다.'
+    WHEN a.value >= {MISSING_FROM} THEN '날씨 데이터를 불러올 수 없습니다.'
+    ELSE '🌡️ 온도: ' || regexp_replace(CAST(a.value AS VARCHAR), '[.]0$', '') || '°C' || chr(10)
+      || '💧 습도: ' || c_nationkey || '%' END AS told
 FROM ({_AS_OF}) a LEFT JOIN (
   SELECT * FROM customer WHERE length(c_name) >= 1 AND c_acctbal > 0) ON c_custkey = a.user_id
 """,
@@ -191,7 +237,10 @@ totals AS (
     + max(value) FILTER (event_type = 'view') + max(value) FILTER (event_type = 'purchase') AS total
   FROM firsts GROUP BY user_id HAVING count(*) = 3)
 SELECT user_id, total, total / 3 AS mean,
-  CASE WHEN total / 3 >= 60 THEN '합격' ELSE '불합격' END AS result
+  CASE WHEN total / 3 >= 60 THEN '합격' ELSE '불합격' END AS result,
+  '총점: ' || regexp_replace(CAST(total AS VARCHAR), '[.]0$', '') || '점, 평균: '
+    || regexp_replace(CAST(total / 3 AS VARCHAR), '[.]0$', '') || ', 결과: '
+    || CASE WHEN total / 3 >= 60 THEN '합격' ELSE '불합격' END || '입니다!' AS told
 FROM totals
 """,
     "guess_answers": """
@@ -202,7 +251,7 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS guess,
 FROM events
 """,
     "attempts_to_hit": """
-SELECT user_id, min(nr) AS attempts FROM (
+SELECT user_id, min(nr) AS attempts, '축하합니다! ' || min(nr) || '번 만에 맞추셨습니다.' AS told FROM (
   SELECT user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nr FROM events)
 WHERE k = user_id % 50 + 1 GROUP BY user_id

@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.choices import score_reason, valid_score
+from daybook.functions.messages import (
+    SCORE_MESSAGES,
+    attempts_sentence,
+    message_of,
+    score_sentence,
+    weather_lines,
+)
+from daybook.functions.numbers import integer_between
 from daybook.operators import forms, pages, rules, sales
 from daybook.operators.latest import latest_value
 from daybook.operators.lookups import (
@@ -37,6 +45,7 @@ from daybook.session import shared_folder
 from daybook.sources.literals import CITIES, code_table
 from daybook.sources.payloads import with_coordinates, with_weather
 from daybook.sources.query_strings import param_rows
+from daybook.sources.sales_files import read_csv, read_rejects, sales_rules, write_split
 from daybook.streaming.choices import change_events, run_enriched, run_latest_choice
 
 MISSING_FROM = 400
@@ -75,10 +84,50 @@ def score_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN 4 THEN NULL END"
     )
     entered = F.when(F.col("event_id") % 7 < 5, raw).otherwise(F.concat(F.lit(" "), value))
+    reason = score_reason(entered)
     return table(spark, sf_dir, "events").select(
         "event_id",
-        score_reason(entered).alias("reason"),
+        reason.alias("reason"),
         valid_score(entered).alias("score"),
+        message_of(reason, SCORE_MESSAGES).alias("told"),
+    )
+
+
+def _raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as raw sales rows, some without month, region or category, some not positive."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        F.when(key % 17 == 0, "").otherwise(F.concat(F.lit("2024-"), F.lpad(key % 12 + 1, 2, "0")))
+        .alias("month"),
+        F.when(key % 19 != 0, F.col("c_name")).alias("region"),
+        F.floor("c_acctbal").cast("long").alias("amount"),
+        F.when(key % 5 != 0, F.col("c_mktsegment")).alias("category"),
+    )
+
+
+def _write_sales(spark: SparkSession, sf_dir: str) -> str:
+    folder = shared_folder(spark, "sales")
+    write_split(
+        _raw_sales(spark, sf_dir),
+        sales_rules(),
+        f"{folder}/checked",
+        f"{folder}/accepted",
+        f"{folder}/rejected",
+    )
+    return folder
+
+
+def written_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_csv(spark, f"{_write_sales(spark, sf_dir)}/accepted")
+
+
+def written_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_rejects(spark, f"{_write_sales(spark, sf_dir)}/rejected").select("row.*", "error")
+
+
+def secret_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", integer_between(F.col("c_custkey"), 1, 50).alias("secret")
     )
 
 
@@ -227,7 +276,13 @@ def enriched_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("temperature", F.col("observed.temperature"))
     told = with_status(placed, "latitude", "observed", "temperature", "latitude", "longitude")
     return told.select(
-        "event_id", "user_id", "status", "latitude_text", "longitude_text", "temperature"
+        "event_id",
+        "user_id",
+        "status",
+        "latitude_text",
+        "longitude_text",
+        "temperature",
+        weather_lines(F.col("status"), F.col("temperature"), F.col("longitude")).alias("told"),
     )
 
 
@@ -244,9 +299,11 @@ def score_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", "event_type", F.col("value").cast("string").alias("raw")
     )
-    return score_results(
+    results = score_results(
         log, "user_id", "event_type", "raw", ["ts", "event_id"], ("click", "view", "purchase")
     )
+    told = score_sentence(F.col("total"), F.col("mean"), F.col("result"))
+    return results.withColumn("told", told)
 
 
 def guess_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +313,8 @@ def guess_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts_to_hit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = event_counter(table(spark, sf_dir, "events"))
-    return attempts_to_hit(counted, "user_id", "raw", "target", ["ts", "event_id"])
+    found = attempts_to_hit(counted, "user_id", "raw", "target", ["ts", "event_id"])
+    return found.withColumn("told", attempts_sentence(F.col("attempts")))
 
 
 def attempts_to_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,7 +456,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "accepted_rows": accepted_rows,
     "rejected_rows": rejected_rows,
     "error_texts": error_texts,
+    "written_accepted": written_accepted,
+    "written_rejects": written_rejects,
     "score_reasons": score_reasons,
+    "secret_numbers": secret_numbers,
     "form_submissions": form_submissions,
     "form_violations": form_violations,
     "payload_fields": payload_fields,
