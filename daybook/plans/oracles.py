@@ -155,7 +155,7 @@ FROM (SELECT *, list_filter([
     CASE WHEN length(month) = 0 THEN {_problem("month", "string_too_short", NON_EMPTY_MESSAGE, "chr(39) || chr(39)", "str")} END,
     CASE WHEN region IS NULL THEN {_problem("region", "string_too_short", NON_EMPTY_MESSAGE, "'None'", "NoneType")} END,
     CASE WHEN amount <= 0 THEN {_problem("amount", "greater_than", GREATER_THAN_MESSAGE.format(bound=0), "CAST(amount AS VARCHAR)", "int")} END
-  ], x -> x IS NOT NULL) AS failed FROM raw)
+  ], lambda x: x IS NOT NULL) AS failed FROM raw)
 WHERE len(failed) > 0
 """,
     "form_submissions": f"{_SENT} SELECT * FROM sent",
