@@ -80,16 +80,19 @@ def lookup_join(
     keys: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
     salting: Salting = Salting(),
+    size_from: DataFrame | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join with a table that has at most one row per key.
 
     A right side of checked size is broadcast. A larger one is joined by shuffle, with the
     hot keys of the left side split over several tasks. ``broadcast_rows=0`` skips the check.
-    ``hot_from`` may name a table with the same keys that is cheaper to read than ``left``.
-    The rows of both should differ in some column.
+    ``size_from`` may name a table that is cheaper to count and has no fewer rows than
+    ``right``; ``hot_from`` one with the same keys that is cheaper to read than ``left``.
+    The rows of ``left`` and ``hot_from`` should differ in some column.
     """
-    if broadcast_rows and fits_broadcast(right, broadcast_rows):
+    sized = right if size_from is None else size_from
+    if broadcast_rows and fits_broadcast(sized, broadcast_rows):
         return left.join(F.broadcast(right), list(keys), "left")
     sampled = left if hot_from is None else hot_from
     rows = sampled.count()

@@ -147,9 +147,13 @@ def error_text(model: str, violations: Column | str = VIOLATIONS) -> Column:
     return F.concat_ws("\n", headline, lines)
 
 
-def error_report(checked: DataFrame, model: str) -> DataFrame:
-    """Rejected rows as ``row`` (the values as received) and ``error`` (the text)."""
-    values = [name for name in checked.columns if name != VIOLATIONS]
+def error_report(checked: DataFrame, model: str, raw: str = "raw") -> DataFrame:
+    """Rejected rows as ``row`` (the values as received) and ``error`` (the text).
+
+    A column with the row's own text stays beside them.
+    """
+    values = [name for name in checked.columns if name not in (VIOLATIONS, raw)]
+    kept = [raw] if raw in checked.columns else []
     return checked.select(
-        F.struct(*values).alias("row"), error_text(model).alias("error")
+        F.struct(*values).alias("row"), error_text(model).alias("error"), *kept
     )

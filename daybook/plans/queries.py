@@ -270,9 +270,12 @@ def enriched_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("latitude"),
         F.col("c_nationkey").cast("double").alias("longitude"),
     )
-    users = table(spark, sf_dir, "events").select("event_id", "user_id")
     placed = lookup_join(
-        _clicks_with_view(spark, sf_dir), places, ["user_id"], hot_from=users
+        _clicks_with_view(spark, sf_dir),
+        places,
+        ["user_id"],
+        size_from=table(spark, sf_dir, "customer"),
+        hot_from=table(spark, sf_dir, "events").select("event_id", "user_id"),
     ).withColumn("temperature", F.col("observed.temperature"))
     told = with_status(placed, "latitude", "observed", "temperature", "latitude", "longitude")
     return told.select(
@@ -333,7 +336,8 @@ def ordered_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
     )
-    named = lookup_join(lines, part, ["l_partkey"])
+    keys = lines.select("l_partkey", "l_orderkey", "l_linenumber")
+    named = lookup_join(lines, part, ["l_partkey"], hot_from=keys)
     return ordered_text(
         named,
         ["l_orderkey"],
@@ -420,14 +424,15 @@ def last_choice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = rules.accepted(table(spark, sf_dir, "customer"), customer_rules()).select(
+    customer = table(spark, sf_dir, "customer")
+    places = rules.accepted(customer, customer_rules()).select(
         F.col("c_custkey").alias("user_id"), "c_nationkey", F.col("c_acctbal").alias("latitude")
     )
     nation = table(spark, sf_dir, "nation")
     known = label_lookup(places, "c_nationkey", nation, "n_nationkey", "n_name", "nation")
 
     def enrich(batch: DataFrame) -> DataFrame:
-        placed = lookup_join(batch, known, ["user_id"])
+        placed = lookup_join(batch, known, ["user_id"], size_from=customer)
         told = with_status(placed, "latitude", "value", "value", "latitude", "value")
         return told.select("event_id", "user_id", "nation", "status", "latitude_text")
 

@@ -14,21 +14,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sales_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as sales records: nation, market segment, price and month."""
-    customer = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_nationkey", F.col("c_mktsegment").alias("category")
-    )
+    customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
-    buyers = label_lookup(customer, "c_nationkey", nation, "n_nationkey", "n_name", "region").select(
-        "o_custkey", "category", "region"
-    )
+    buyers = label_lookup(
+        customer, "c_nationkey", nation, "n_nationkey", "n_name", "region"
+    ).select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("category"), "region")
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey",
+        "o_orderkey",
         F.col("o_totalprice").alias("amount"),
         F.date_format("o_orderdate", "yyyy-MM").alias("month"),
     )
-    return lookup_join(orders, buyers, ["o_custkey"]).select(
-        "region", "category", "amount", "month"
-    )
+    return lookup_join(
+        orders,
+        buyers,
+        ["o_custkey"],
+        size_from=customer,
+        hot_from=orders.select("o_custkey", "o_orderkey"),
+    ).select("region", "category", "amount", "month")
 
 
 def event_counter(events: DataFrame) -> DataFrame:

@@ -45,6 +45,7 @@ REJECT_SCHEMA = T.StructType(
     [T.StructField("row", RAW_ROW_SCHEMA), T.StructField("error", T.StringType())]
 )
 
+RAW = "raw"
 SALES_MODEL = "SalesRecord"
 ASSIGNMENT_PREFIX = r"^\s*[A-Za-z_]\w*\s*=\s*"
 
@@ -79,6 +80,25 @@ def read_assigned_array(
     )
 
 
+def read_raw_records(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_ROW_SCHEMA
+) -> DataFrame:
+    """Array files, with or without assignment prefix, keeping each record's own text.
+
+    A value of the wrong kind becomes NULL, to be refused by the rules instead of failing the
+    read; ``raw`` still has it, and tells a missing key from a NULL.
+    """
+    texts = F.from_json(
+        F.regexp_replace("value", ASSIGNMENT_PREFIX, ""), "array<string>", {"mode": "FAILFAST"}
+    )
+    return (
+        spark.read.text(path, wholetext=True)
+        .select(F.explode(texts).alias(RAW))
+        .withColumn("record", F.from_json(RAW, schema))
+        .select("record.*", RAW)
+    )
+
+
 def read_array_lines(
     spark: SparkSession, path: str | list[str], schema: T.StructType = SALES_SCHEMA
 ) -> DataFrame:
@@ -122,8 +142,21 @@ def read_csv(
 
 
 def write_rejects(report: DataFrame, path: str) -> None:
-    """Reject report as JSON lines; keys without a value are left out."""
-    report.select("row", "error").write.json(path)
+    """Reject report as JSON lines.
+
+    With the record's own text the row is written as it was received, else keys without a
+    value are left out.
+    """
+    if RAW not in report.columns:
+        report.select("row", "error").write.json(path)
+        return
+    line = F.concat(
+        F.lit('{"row":'),
+        F.regexp_replace(RAW, r"[\r\n]+", " "),
+        F.lit(","),
+        F.substring(F.to_json(F.struct("error")), 2, 2**31 - 1),
+    )
+    report.select(line.alias("value")).write.text(path)
 
 
 def read_rejects(
@@ -156,8 +189,9 @@ def write_split(
     checked.withColumn("is_accepted", F.size(VIOLATIONS) == 0).write.partitionBy(
         "is_accepted"
     ).parquet(work_path)
+    outcome_field = T.StructField("is_accepted", T.BooleanType())
     outcome = spark.read.schema(
-        checked.schema.add("is_accepted", T.BooleanType())
+        T.StructType([*checked.schema.fields, outcome_field])
     ).parquet(work_path)
     write_csv(as_accepted(outcome.filter("is_accepted")), accepted_path)
     failed = outcome.filter("NOT is_accepted").drop("is_accepted")
