@@ -23,8 +23,12 @@ from pyspark.sql.window import Window, WindowSpec
 
 SEGMENT = "_segment"
 CUTS_OF_KEY = "_cuts_of_key"
-_CUTS = "_cuts"
 _RANK = "_rank"
+_PLACE = "_place"
+_NUMBER = "_number"
+_COARSE = "_coarse"
+_FINE = "_fine"
+_GROUP = "_group"
 
 
 @dataclass(frozen=True)
@@ -66,33 +70,37 @@ def hash_sample(df: DataFrame, columns: Sequence[str], stride: int) -> DataFrame
 def cut_points(
     places: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, cutting: Cutting
 ) -> DataFrame:
-    """For each key with many rows, the sorted array of the first places of its segments."""
+    """The places at which the segments of keys with many rows begin, numbered from 1."""
     stride = max(1, math.ceil(rows / cutting.sample_rows))
     per_segment = max(
         cutting.sample_rows_per_segment, math.ceil(cutting.smallest_segment / stride)
     )
     sample = hash_sample(
-        places.select(*keys, F.struct(*order).alias("_place")), [*keys, "_place"], stride
+        places.select(*keys, F.struct(*order).alias(_PLACE)), [*keys, _PLACE], stride
     ).distinct()
     ranked = sample.withColumn(
-        _RANK, F.row_number().over(Window.partitionBy(*keys).orderBy("_place"))
+        _RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(_PLACE))
     )
-    return (
-        ranked.filter(F.col(_RANK) % per_segment == 0)
-        .groupBy(*[F.col(key).alias(f"_cut_{key}") for key in keys])
-        .agg(F.sort_array(F.collect_list("_place")).alias(_CUTS))
+    return ranked.filter(F.col(_RANK) % per_segment == 0).select(
+        *[F.col(key).alias(f"_cut_{key}") for key in keys],
+        _PLACE,
+        F.floor(F.col(_RANK) / per_segment).cast("int").alias(_NUMBER),
     )
 
 
-def _segment_number(cuts: Column, place: Column, most_cuts: int) -> Column:
-    """How many cuts lie at or before the place, by halving steps."""
-    steps = F.array(*[F.lit(2**i) for i in reversed(range(most_cuts.bit_length()))])
-    found = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(cuts, at + step - 1) <= place, at + step).otherwise(at),
-    )
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(found)
+def _add_reached(df: DataFrame, cuts: str, most: int, into: str) -> DataFrame:
+    """Add how many of the sorted cuts lie at or before the row's place, by halving steps.
+
+    Each step is a projection of its own, which keeps the search in compiled code.
+    """
+    others = [name for name in df.columns if name != into]
+    found = df.select(*others, F.lit(0).alias(into))
+    for step in [2**i for i in reversed(range(most.bit_length()))]:
+        reaches = F.get(F.col(cuts), F.col(into) + (step - 1)) <= F.col(_PLACE)
+        found = found.select(
+            *others, F.when(reaches, F.col(into) + step).otherwise(F.col(into)).alias(into)
+        )
+    return found
 
 
 def add_segments(
@@ -107,18 +115,39 @@ def add_segments(
     ``order`` must tell all rows of a key apart, else equal rows stay together.
     ``cut_from`` may name a table with the same keys and order that is cheaper to read than
     ``df``. Its rows are counted first; a table of one segment needs no cuts.
+
+    The cuts of a key are searched in two steps, first among every n-th and then among the
+    n between two of those, so that no row is joined with a long array.
     """
     places = df if cut_from is None else cut_from
     rows = places.count()
     if rows <= cutting.smallest_segment:
         return df.withColumn(SEGMENT, F.lit(0)).withColumn(CUTS_OF_KEY, F.lit(0))
+    most = cutting.most_cuts(rows)
+    step = math.isqrt(most) + 1
     cuts = cut_points(places, keys, order, rows, cutting)
-    joined = df.join(F.broadcast(cuts), same_keys(df, cuts, keys, "_cut_"), "left")
-    place = F.struct(*[df[name] for name in order])
-    return joined.select(
+    cut_keys = [f"_cut_{key}" for key in keys]
+    every_nth = F.when(F.col(_NUMBER) % step == 0, F.col(_PLACE))
+    coarse = cuts.groupBy(*cut_keys).agg(
+        F.sort_array(F.collect_list(every_nth)).alias(_COARSE),
+        F.count("*").cast("int").alias(CUTS_OF_KEY),
+    )
+    fine = cuts.groupBy(
+        *cut_keys, F.floor(F.col(_NUMBER) / step).cast("int").alias(f"_cut_{_GROUP}")
+    ).agg(F.sort_array(F.collect_list(_PLACE)).alias(_FINE))
+
+    grouped = df.join(F.broadcast(coarse), same_keys(df, coarse, keys, "_cut_"), "left").select(
         *[df[name] for name in df.columns],
-        _segment_number(F.col(_CUTS), place, cutting.most_cuts(rows)).alias(SEGMENT),
-        F.coalesce(F.size(_CUTS), F.lit(0)).alias(CUTS_OF_KEY),
+        F.struct(*[df[name] for name in order]).alias(_PLACE),
+        F.coalesce(CUTS_OF_KEY, F.lit(0)).alias(CUTS_OF_KEY),
+        _COARSE,
+    )
+    grouped = _add_reached(grouped, _COARSE, most // step + 1, _GROUP).drop(_COARSE)
+    on = same_keys(grouped, fine, [*keys, _GROUP], "_cut_")
+    searched = grouped.join(F.broadcast(fine), on, "left").select(*grouped.columns, _FINE)
+    before = F.greatest(F.col(_GROUP) * step - 1, F.lit(0))
+    return _add_reached(searched, _FINE, step, SEGMENT).select(
+        *df.columns, (before + F.col(SEGMENT)).alias(SEGMENT), CUTS_OF_KEY
     )
 
 
@@ -164,15 +193,16 @@ def carry_last(
     """Add the last value of ``item`` that is not NULL at or before each row of its key."""
     cut = add_segments(df, keys, order, cutting, cut_from)
     closing = (
-        cut.filter((F.col(CUTS_OF_KEY) > F.col(SEGMENT)) & F.col(item).isNotNull())
+        cut.filter((F.col(CUTS_OF_KEY) > 0) & F.col(item).isNotNull())
         .groupBy(*keys, SEGMENT, CUTS_OF_KEY)
         .agg(F.max_by(item, F.struct(*order)).alias("_carried"))
     )
     following = F.lead(SEGMENT).over(Window.partitionBy(*keys).orderBy(SEGMENT))
+    later = F.when(
+        F.col(SEGMENT) < F.col(CUTS_OF_KEY), F.sequence(F.col(SEGMENT) + 1, F.col("_until"))
+    )
     carried = closing.withColumn("_until", F.coalesce(following, CUTS_OF_KEY)).select(
-        *keys,
-        F.explode(F.sequence(F.col(SEGMENT) + 1, F.col("_until"))).alias(SEGMENT),
-        "_carried",
+        *keys, F.explode(later).alias(SEGMENT), "_carried"
     )
     inside = cut.withColumn(
         into, F.last(item, ignorenulls=True).over(segment_window(keys, order))

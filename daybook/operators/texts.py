@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from daybook.operators.segments import (
     CUTS_OF_KEY,
@@ -30,6 +31,15 @@ def item_line(name: Column, count: Column) -> Column:
     return F.concat(F.lit(ITEM_MARK), name, count.cast("string"), F.lit(ITEM_UNIT + "\n"))
 
 
+def _joined(numbered: DataFrame, keys: Sequence[str], lines_per_part: int) -> DataFrame:
+    """The lines of each part as one text; a part has few enough lines for one task."""
+    part = F.floor((F.col("_place") - 1) / lines_per_part).alias("part")
+    lines = F.sort_array(F.collect_list(F.struct("_place", "_line")))
+    return numbered.groupBy(*keys, part).agg(
+        F.array_join(F.transform(lines, lambda item: item["_line"]), "").alias("text")
+    )
+
+
 def ordered_text(
     rows: DataFrame,
     keys: Sequence[str],
@@ -40,42 +50,29 @@ def ordered_text(
     cutting: Cutting = Cutting(),
     cut_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Per key the lines joined in order, as numbered parts.
+    """Per key the lines joined in order, as numbered parts of ``lines_per_part`` lines.
 
-    Most keys have one part, numbered 0. A key with more lines than fit a part continues in
-    further parts, since one text can't grow without end; joined by number they are the
-    whole text.
+    Most keys have one part, numbered 0. A longer text continues in further parts, since one
+    cell can't grow without end; joined by number they are the whole text.
     """
     lines = rows.select(*keys, *order, F.coalesce(line, F.lit("")).alias("_line"))
     cut = add_segments(lines, keys, order, cutting, cut_from)
-    pieces = (
-        cut.withColumn("_place", F.row_number().over(segment_window(keys, order)))
-        .withColumn("_part", F.floor((F.col("_place") - 1) / lines_per_part))
-        .groupBy(*keys, SEGMENT, "_part")
-        .agg(
-            F.array_join(
-                F.transform(
-                    F.sort_array(F.collect_list(F.struct("_place", "_line"))),
-                    lambda item: item["_line"],
-                ),
-                "",
-            ).alias("text")
-        )
+    short = cut.filter(F.col(CUTS_OF_KEY) == 0).withColumn(
+        "_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     )
-    parts = (
-        cut.filter(F.col(CUTS_OF_KEY) > 0)
-        .groupBy(*keys, SEGMENT)
-        .agg(F.ceil(F.count("*") / lines_per_part).alias("_parts"))
+    long = cut.filter(F.col(CUTS_OF_KEY) > 0)
+    earlier = (
+        long.groupBy(*keys, SEGMENT)
+        .agg(F.count("*").alias("_lines"))
+        .select(*keys, SEGMENT, F.sum("_lines").over(earlier_segments(keys)).alias("_earlier"))
     )
-    earlier = parts.select(
-        *keys, SEGMENT, F.sum("_parts").over(earlier_segments(keys)).alias("_earlier")
-    )
-    part = (F.col("_part") + F.coalesce("_earlier", F.lit(0))).cast("long")
-    numbered = join_per_segment(pieces, earlier, keys).select(
-        *keys, part.alias("part"), "text"
+    placed = join_per_segment(
+        long.withColumn("_place", F.row_number().over(segment_window(keys, order))), earlier, keys
+    ).withColumn("_place", F.col("_place") + F.coalesce("_earlier", F.lit(0)))
+    parts = _joined(short, keys, lines_per_part).unionByName(
+        _joined(placed, keys, lines_per_part)
     )
     if not heading:
-        return numbered
-    return numbered.withColumn(
-        "text", F.concat(F.when(F.col("part") == 0, heading).otherwise(""), "text")
-    )
+        return parts
+    first = F.when(F.col("part") == 0, heading).otherwise("")
+    return parts.withColumn("text", F.concat(first, "text"))

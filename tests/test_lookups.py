@@ -33,12 +33,18 @@ def hot_rows(spark, rows=6000):
 
 def test_hot_keys_are_cut(spark):
     rows = hot_rows(spark)
-    cuts = cut_points(rows, ["key"], ["ts", "id"], rows.count(), FINE).collect()
-    by_key = {r["_cut_key"]: len(r["_cuts"]) for r in cuts}
-    assert by_key[0] > 10
-    assert sum(by_key.values()) <= FINE.sample_rows / FINE.sample_rows_per_segment * 2
-    sizes = add_segments(rows, ["key"], ["ts", "id"], FINE).groupBy("key", "_segment").count()
+    cuts = cut_points(rows, ["key"], ["ts", "id"], rows.count(), FINE)
+    of_hot = cuts.filter("_cut_key = 0").orderBy("_number").collect()
+    assert [r["_number"] for r in of_hot] == list(range(1, len(of_hot) + 1)) and len(of_hot) > 10
+    assert [r["_place"] for r in of_hot] == sorted(r["_place"] for r in of_hot)
+    assert cuts.count() <= FINE.sample_rows / FINE.sample_rows_per_segment * 2
+    cut = add_segments(rows, ["key"], ["ts", "id"], FINE)
+    sizes = cut.groupBy("key", "_segment").count()
     assert sizes.agg(F.max("count")).first()[0] < rows.count() / 10
+    places = [(r["_place"].ts, r["_place"].id) for r in of_hot]
+    for row in cut.filter("key = 0").collect():
+        assert row["_segment"] == sum(place <= (row.ts, row.id) for place in places)
+        assert row["_cuts_of_key"] == len(places)
 
 
 def test_small_tables_are_not_cut(spark):

@@ -39,6 +39,7 @@ def test_parts_give_the_whole_text(spark):
         for key, pieces in found.items():
             assert [p.part for p in pieces] == list(range(len(pieces)))
             assert "".join(p.text for p in pieces).split() == expected[key]
+            assert [p.text.count("\n") for p in pieces[1:-1]] == [40] * len(pieces[1:-1])
         assert set(found) == set(expected)
         assert len(found[0]) > 30
 
