@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from daybook.functions.choices import lookup_status
 from daybook.functions.numbers import fixed_decimals
 from daybook.operators.segments import Cutting, carry_last, hash_sample, hashable, same_keys
+from daybook.session import saved_table
 
 BROADCAST_ROWS = 50_000
 
@@ -98,7 +99,8 @@ def lookup_join(
     rows = sampled.count()
     if rows <= salting.smallest_table:
         return left.join(right, list(keys), "left")
-    return _salted_join(left, right, keys, hot_keys(sampled, keys, rows, salting))
+    hot = saved_table(hot_keys(sampled, keys, rows, salting), "hot-keys")
+    return _salted_join(left, right, keys, hot)
 
 
 def label_lookup(

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from daybook.session import saved_table
+
 SEGMENT = "_segment"
 CUTS_OF_KEY = "_cuts_of_key"
 _RANK = "_rank"
@@ -125,7 +127,7 @@ def add_segments(
         return df.withColumn(SEGMENT, F.lit(0)).withColumn(CUTS_OF_KEY, F.lit(0))
     most = cutting.most_cuts(rows)
     step = math.isqrt(most) + 1
-    cuts = cut_points(places, keys, order, rows, cutting)
+    cuts = saved_table(cut_points(places, keys, order, rows, cutting), "cuts")
     cut_keys = [f"_cut_{key}" for key in keys]
     every_nth = F.when(F.col(_NUMBER) % step == 0, F.col(_PLACE))
     coarse = cuts.groupBy(*cut_keys).agg(

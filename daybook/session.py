@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 
@@ -40,3 +40,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             _local_folders[app] = tempfile.mkdtemp(prefix="daybook-")
         base = _local_folders[app]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def saved_table(small: DataFrame, purpose: str) -> DataFrame:
+    """A small table of known bound, computed once and read back from the shared folder."""
+    path = shared_folder(small.sparkSession, purpose)
+    small.repartition(1).write.parquet(path)
+    return small.sparkSession.read.schema(small.schema).parquet(path)
