@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.operators.lookups import label_lookup, lookup_join
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; its schema is read from the files only once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def sales_records(spark: SparkSession, sf_dir: str) -> DataFrame:
