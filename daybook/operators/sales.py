@@ -69,11 +69,11 @@ def sales_pivot(sales: DataFrame, months: Sequence[str]) -> DataFrame:
 def top_category(sales: DataFrame) -> DataFrame:
     """The category with the highest total per region; on a tie the first by name."""
     cells = sales_cells(sales, ("region", "category"))
+    total = F.col("total")
+    rank = F.struct(total.isNull(), -total, "category")
     return (
         cells.groupBy("region")
-        .agg(
-            F.min_by(F.struct("category", "total"), F.struct(-F.col("total"), "category")).alias("top")
-        )
+        .agg(F.min_by(F.struct("category", "total"), rank).alias("top"))
         .select("region", "top.category", F.col("top.total").cast("double").alias("total"))
     )
 
