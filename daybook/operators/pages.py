@@ -1,7 +1,8 @@
 """Facts, links, lists and tables out of HTML pages.
 
 Each page is handled inside its own row by column expressions; only the in-link count
-shuffles. The patterns expect well-formed markup and do not follow nested lists or tables.
+shuffles. Closing tags that a page may leave out are not needed; nested lists and tables are
+not followed.
 """
 
 from __future__ import annotations
@@ -12,7 +13,11 @@ from pyspark.sql import functions as F
 from daybook.functions.binding import let
 
 # The markup patterns.
-HIDDEN = r"(?is)<(?:!--.*?--|script(?:\s[^>]*)?>.*?</script|style(?:\s[^>]*)?>.*?</style)>"
+HIDDEN = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    r"|<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
+    r"|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
+)
 TAG = r"(?s)<[^>]*>"
 LINE_BREAK = r"(?i)<br\s*/?>"
 TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title>"
@@ -23,15 +28,17 @@ TIME = r"(?is)<time\s[^>]*>"
 ATTRIBUTE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 SPAN = r"""(?is)^<t[dh]\s(?:[^>]*?\s)?{name}\s*=\s*["']?\s*(\d{{1,5}})"""
 QUOTES = r"""^["']|["']$"""
-ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)</li>"
-TERM = r"(?is)<dt(?:\s[^>]*)?>(.*?)</dt>(.*?)(?=<dt[\s>]|</dl\s*>|$)"
-TERM_TEXT = r"(?is)<dd(?:\s[^>]*)?>(.*?)</dd>"
+ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)(?=</li\s*>|<li[\s>]|</[uo]l\s*>|\z)"
+TERM = r"(?is)<dt(?:\s[^>]*)?>(.*?)(?=</dt\s*>|<d[td][\s>]|</dl\s*>|\z)(.*?)(?=<dt[\s>]|</dl\s*>|\z)"
+TERM_TEXT = r"(?is)<dd(?:\s[^>]*)?>(.*?)(?=</dd\s*>|<dd[\s>]|\z)"
 BEFORE_HEADING = r"(?i)(?=<h2[\s>])"
 HEADING = r"(?is)^<h2(?:\s[^>]*)?>(.*?)</h2>"
-SCHEDULE_LINE = r"(?is)<p(?:\s[^>]*)?>\s*<b>\s*(\d{1,2}:\d{2})\s*</b>\s*-\s*(.*?)</p>"
-TABLE = r"(?is)<table(?:\s[^>]*)?>(.*?)</table>"
-TABLE_ROW = r"(?is)<tr(?:\s[^>]*)?>(.*?)</tr>"
-TABLE_CELL = r"(?is)<t[dh](?:\s[^>]*)?>.*?</t[dh]>"
+SCHEDULE_LINE = (
+    r"(?is)<p(?:\s[^>]*)?>\s*<b>\s*(\d{1,2}:\d{2})\s*</b>\s*-\s*(.*?)(?=</p\s*>|<p[\s>]|\z)"
+)
+TABLE = r"(?is)<table(?:\s[^>]*)?>(.*?)(?:</table\s*>|\z)"
+TABLE_ROW = r"(?is)<tr(?:\s[^>]*)?>(.*?)(?=</tr\s*>|<tr[\s>]|\z)"
+TABLE_CELL = r"(?is)<t[dh](?:\s[^>]*)?>.*?(?=</t[dh]\s*>|<t[dh][\s>]|\z)"
 YEAR_CAPTION = r"\((\d{4})년[^)]*\)"
 SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:|//)"
 MAIL_SCHEME = "mailto:"

@@ -50,7 +50,8 @@ _FIGURES = """CAST(sum(amount) AS DOUBLE) AS total, count(amount) AS records,
   CAST(sum(amount) AS DOUBLE) / count(amount) AS mean"""
 
 _HIDDEN = (
-    r"(?is)<!--.*?-->|<script(?:\s[^>]*)?>.*?</script>|<style(?:\s[^>]*)?>.*?</style>"
+    r"(?is)<!--.*?(?:-->|\z)|<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
+    r"|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
 )
 
 

@@ -203,6 +203,27 @@ def test_odd_tables(spark):
     }
 
 
+def test_left_out_closing_tags(spark):
+    html = (
+        "<ul><li>a<li class=x>b</ul><ol><li>c</ol>"
+        "<dl><dt>One<dd>first<dd>more<dt>Two<dd>second</dl>"
+        "<h2>Day<p><b>09:00</b> - up<p><b>10:00</b> - out"
+        "<table><tr><td rowspan=2>a<td>b<tr><td>c</table>"
+        "<li>last<!-- <li>hidden"
+    )
+    frame = spark.createDataFrame([(1, html)], "page_id int, html string")
+    items = pages.page_items(frame).orderBy("pos").collect()
+    assert [r.text for r in items] == ["a", "b", "c", "last"]
+    assert pages.description_map(frame).first().descriptions == {
+        "One": "first\nmore", "Two": "second"
+    }
+    lines = pages.schedule_lines(frame).orderBy("pos").collect()
+    assert [r.time for r in lines] == ["09:00", "10:00"] and lines[0].text == "up"
+    assert grid(pages.table_slots(frame).collect()) == {
+        (1, 0): {(0, 0): "a", (0, 1): "b", (1, 0): "a", (1, 1): "c"}
+    }
+
+
 def test_page_files(spark, tmp_path):
     (tmp_path / "a.html").write_text(HOME, encoding="utf-8")
     (tmp_path / "b.html").write_text(PLAIN, encoding="utf-8")
