@@ -325,18 +325,15 @@ def place_cells(cells: Column) -> Column:
         )
 
     def place_row(state: Column, row_cells: Column) -> Column:
-        line = F.aggregate(
+        return F.aggregate(
             row_cells,
             F.struct(
                 state["free"].alias("free"), F.lit(0).alias("next"), no_columns.alias("columns")
             ),
             lambda inner, cell: place_cell(inner, cell, F.size(state["placed"])),
-        )
-        return let(
-            line,
-            lambda placed: F.struct(
-                placed["free"].alias("free"),
-                F.concat(state["placed"], F.array(placed["columns"])).alias("placed"),
+            lambda line: F.struct(
+                line["free"].alias("free"),
+                F.concat(state["placed"], F.array(line["columns"])).alias("placed"),
             ),
         )
 
@@ -354,20 +351,29 @@ def table_slots(pages: DataFrame, page_id: str = "page_id", html: str = "html")
     """One row per slot of each table's grid, a spanning cell repeated in all its slots."""
     key = [page_id, "table_pos"]
     cells = table_cells(pages, page_id, html)
-    placed = cells.select(
-        *key,
-        F.size("cells").alias("_height"),
-        F.posexplode(F.arrays_zip("cells", place_cells(F.col("cells")).alias("starts"))).alias(
-            "_row", "_line"
+    lines = F.transform(
+        F.arrays_zip("cells", place_cells(F.col("cells")).alias("starts")),
+        lambda line: F.struct(
+            line["cells"].alias("cells"),
+            line["starts"].alias("starts"),
+            F.size("cells").alias("height"),
         ),
     )
-    per_cell = placed.select(
-        *key,
-        "_height",
-        "_row",
-        F.explode(F.arrays_zip("_line.cells", "_line.starts")).alias("_cell"),
-    ).select(
-        *key, "_height", "_row", F.col("_cell.starts").alias("_start"), F.col("_cell.cells.*")
+    per_cell = (
+        cells.select(*key, F.posexplode(lines).alias("_row", "_line"))
+        .select(
+            *key,
+            F.col("_line.height").alias("_height"),
+            "_row",
+            F.explode(F.arrays_zip("_line.cells", "_line.starts")).alias("_cell"),
+        )
+        .select(
+            *key,
+            "_height",
+            "_row",
+            F.col("_cell.starts").alias("_start"),
+            F.col("_cell.cells.*"),
+        )
     )
     last_row = F.when(F.col("rowspan") == 0, F.col("_height")).otherwise(
         F.least(F.col("_row") + F.col("rowspan"), F.col("_height"))
