@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.llm.near_copies import keep_one
 from daybook.llm.packing import packed
 from daybook.llm.quality import keep_good
 from daybook.llm.saving import saved
 from daybook.llm.secret_scan import mask_secrets
-from daybook.llm.simhash import keep_one
 from daybook.llm.suffixes import without_repeats
 
 

@@ -1,0 +1,211 @@
+"""Groups of documents of which five-word shingles are alike, and one of each group.
+
+Two documents belong together if their sets of shingles have a similarity (Jaccard) of at
+least ``SIMILARITY``. At that similarity fingerprints of 64 bits differ in about ten bits,
+more than buckets of equal blocks can find. So candidates come from bands of minimum hashes:
+``BANDS`` bands of ``ROWS_OF_BAND`` miss a pair at the threshold once in 4,000 times, and
+closer pairs far less often. All documents that share a band, directly or in steps, form a
+candidate group. Within a group, fingerprints are compared in bit-sliced form with a wide
+radius, and the pairs that are left are decided by their whole sets of shingles, unless they
+are already connected.
+
+Exact copies are one candidate. A large group is cut into slices by number and by bytes, and
+each pair of slices is a task's group, so no task holds a group of unbounded size. Links are
+never all pairs: a task gives those that connect its documents.
+
+Defined results: a null text is an empty one; texts without words are copies of each other
+only if they are equal. Of rows that repeat both id and text one stays. Other columns pass
+through untouched.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from daybook.llm.links import components
+from daybook.llm.saving import saved
+from daybook.llm.simhash import fingerprint_of, near_pairs, shingle_hashes
+
+SHINGLE = 5
+SIMILARITY = 0.8
+BANDS = 16
+ROWS_OF_BAND = 4
+NEAR_BITS = 24
+SLICE_TEXTS = 2048
+SLICE_BYTES = 8 << 20
+HASHES_AT_ONCE = 4096
+#: Odd factors, each of which orders the hashes in another way.
+FACTORS = np.array(
+    [xxhash.xxh64_intdigest(str(i), 1) | 1 for i in range(BANDS * ROWS_OF_BAND)], np.uint64
+)
+
+
+def sketch(text: str | None) -> tuple[int, list[int]]:
+    """The fingerprint of a text and the keys of its bands; no bands if it has no words."""
+    parts = list(shingle_hashes(text, SHINGLE))
+    if not parts:
+        return 0, []
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for part in parts:
+        for start in range(0, len(part), HASHES_AT_ONCE):
+            ordered = part[start : start + HASHES_AT_ONCE] * FACTORS[:, None]
+            least = np.minimum(least, ordered.min(axis=1))
+    bands = least.reshape(BANDS, ROWS_OF_BAND)
+    keys = [xxhash.xxh64_intdigest(band.tobytes(), i) - (1 << 63) for i, band in enumerate(bands)]
+    return fingerprint_of(iter(parts)), keys
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [sketch(text.as_py()) for text in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array([x[0] for x in found], pa.int64()),
+                pa.array([x[1] for x in found], pa.list_(pa.int64())),
+                batch.column(3),
+            ],
+            ["doc_id", "node", "print", "bands", "bytes"],
+        )
+
+
+def alike(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets have at least the similarity."""
+    if min(len(one), len(other)) < similarity * max(len(one), len(other)):
+        return False
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return both >= similarity * (len(one) + len(other) - both)
+
+
+def verified_links(
+    nodes: np.ndarray, prints: np.ndarray, texts: list[str], similarity: float
+) -> list[tuple[int, int]]:
+    """Links that connect the texts that are alike."""
+    above = list(range(len(nodes)))
+    sets: dict[int, np.ndarray] = {}
+
+    def top(x: int) -> int:
+        while above[x] != x:
+            above[x] = above[above[x]]
+            x = above[x]
+        return x
+
+    def shingles(x: int) -> np.ndarray:
+        if x not in sets:
+            sets[x] = np.unique(np.concatenate(list(shingle_hashes(texts[x], SHINGLE))))
+        return sets[x]
+
+    links = []
+    for one, other in near_pairs(np.zeros(len(nodes), np.int64), prints, NEAR_BITS):
+        for a, b in zip(one.tolist(), other.tolist()):
+            root, low = top(a), top(b)
+            if root != low and alike(shingles(a), shingles(b), similarity):
+                above[low] = root
+                links.append((int(nodes[a]), int(nodes[b])))
+    return links
+
+
+def node_of(text: Column) -> Column:
+    """Equal texts are one node."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, node, component_id): ``component_id`` is the smallest id of the group."""
+
+    def verify(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("node")
+        links = verified_links(
+            rows["node"].to_numpy(),
+            rows["print"].to_numpy().view(np.uint64),
+            rows["text"].to_pylist(),
+            similarity,
+        )
+        ends = list(zip(*links)) or [[], []]
+        return pa.table([pa.array(x, pa.int64()) for x in ends], names=["a", "b"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    keyed = docs.select(
+        "doc_id",
+        node_of(F.col("text")).alias("node"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+    of_docs = saved(
+        keyed.select("doc_id", "node", "text", F.octet_length("text").cast("bigint").alias("bytes")).mapInArrow(
+            _sketches, f"doc_id {kind}, node bigint, print bigint, bands array<bigint>, bytes bigint"
+        ),
+        "sketches",
+    )
+    nodes = saved(
+        of_docs.groupBy("node").agg(
+            F.min("doc_id").alias("least_id"),
+            F.first("print").alias("print"),
+            F.first("bands").alias("bands"),
+            F.first("bytes").alias("bytes"),
+        ),
+        "nodes",
+    )
+    # The bands: each node is linked with the smallest one of its band.
+    banded = nodes.select("node", F.explode("bands").alias("band"))
+    bands = saved(
+        banded.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n"))
+        .filter("n > 1").select("band", "least"),
+        "bands",
+    )
+    loose = banded.join(bands, "band").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    groups = saved(components(loose.filter("a <> b").distinct()), "groups")
+    sized = groups.join(nodes.select("node", "print", "bytes"), "node")
+    slices = saved(
+        sized.groupBy("root").agg(
+            F.greatest(
+                F.ceil(F.count("*") / SLICE_TEXTS), F.ceil(F.sum("bytes") / SLICE_BYTES)
+            ).cast("int").alias("slices")
+        ),
+        "slices",
+    )
+    members = saved(
+        sized.join(slices, "root").select("node", "root", "print", "slices"), "members"
+    )
+    # One text of each node in a group, sent to each pair of slices with its own.
+    texts = (
+        keyed.select("node", "text")
+        .join(members, "node")
+        .groupBy("node", "root", "print", "slices")
+        .agg(F.min("text").alias("text"))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
+    )
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("slices") - 1),
+        lambda other: F.struct(
+            F.least(F.col("own"), other).alias("one"), F.greatest(F.col("own"), other).alias("other")
+        ),
+    )
+    sliced = texts.select("node", "root", "print", "text", F.inline(pairs))
+    links = sliced.groupBy("root", "one", "other").applyInArrow(verify, "a bigint, b bigint")
+    roots = saved(components(links), "roots").withColumnRenamed("root", "top")
+    member = nodes.join(roots, "node", "left").select(
+        "node", "least_id", F.coalesce("top", "node").alias("top")
+    )
+    least = saved(member.groupBy("top").agg(F.min("least_id").alias("component_id")), "least")
+    labels = saved(member.join(least, "top").select("node", "component_id"), "labels")
+    return of_docs.select("doc_id", "node").join(labels, "node")
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each group: the one with the smallest id; its columns as they were."""
+    keepers = (
+        similar_documents(docs, similarity)
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("_kept_id"), F.col("node").alias("_kept_node"))
+        .distinct()
+    )
+    kept = docs.withColumn("_node", node_of(F.col("text")))
+    same = kept["doc_id"].eqNullSafe(keepers["_kept_id"]) & (kept["_node"] == keepers["_kept_node"])
+    return kept.join(keepers, same, "left_semi").dropDuplicates(["doc_id", "_node"]).drop("_node")

@@ -42,25 +42,35 @@ ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 ONE = np.uint64(1)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The SimHash of a text's word shingles, as a signed 64-bit number."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """The hashes of a text's word shingles, repeats included, in parts of bounded length."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
-    total, ones = max(1, len(words) - shingle + 1), np.zeros(64, np.int64)
-    for start in range(0, total, SHINGLES_AT_ONCE):
+        return
+    if len(words) < shingle:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
+        return
+    for start in range(0, len(words) - shingle + 1, SHINGLES_AT_ONCE):
         part = words[start : start + SHINGLES_AT_ONCE + shingle - 1]
-        shingles = (
-            [b" ".join(part)]
-            if len(words) < shingle
-            else map(b" ".join, zip(*(part[i:] for i in range(shingle))))
-        )
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        shingles = map(b" ".join, zip(*(part[i:] for i in range(shingle))))
+        yield np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
+
+
+def fingerprint_of(hashes: Iterator[np.ndarray]) -> int:
+    """The SimHash of hashes, as a signed 64-bit number; 0 if there are none."""
+    total, ones = 0, np.zeros(64, np.int64)
+    for part in hashes:
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+        total += len(part)
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The SimHash of a text's word shingles."""
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, print) for each row. A null text is an empty one, with the print 0."""
 
@@ -149,47 +159,43 @@ def _planes(prints: np.ndarray) -> np.ndarray:
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
-def _near(prints, planes, row, block, wanted) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which of the (row, block) pairs hold near fingerprints, and where in the block."""
-    ones, twos, over = (np.zeros(len(row), np.uint64) for _ in range(3))
+def _near(prints, planes, row, block, wanted, radius) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of the (row, block) pairs hold near fingerprints, and where in the block.
+
+    The counters start so that they overflow at the first difference beyond the radius.
+    """
+    preset = (1 << radius.bit_length()) - 1 - radius
+    counters = [
+        np.full(len(row), ALL if preset >> bit & 1 else 0, np.uint64)
+        for bit in range(radius.bit_length())
+    ]
+    over = np.zeros(len(row), np.uint64)
     own = prints[row]
+    near = wanted
     for plane in range(64):
-        differing = planes[plane][block] ^ ((own >> np.uint64(plane) & ONE) * ALL)
-        carry = ones & differing
-        ones ^= differing
-        over |= twos & carry
-        twos ^= carry
+        carry = planes[plane][block] ^ ((own >> np.uint64(plane) & ONE) * ALL)
+        for counter in counters:
+            rest = counter & carry
+            counter ^= carry
+            carry = rest
+        over |= carry
         if plane % PLANES_AT_ONCE == PLANES_AT_ONCE - 1:
-            near = wanted & ~(over | (ones & twos))
+            near = wanted & ~over
             alive = np.flatnonzero(near)
             if len(alive) < len(row):
                 row, block, wanted, own = row[alive], block[alive], wanted[alive], own[alive]
-                ones, twos, over, near = ones[alive], twos[alive], over[alive], near[alive]
+                counters = [counter[alive] for counter in counters]
+                over, near = over[alive], near[alive]
     return row, block, near
 
 
-def _merge(label: np.ndarray, one: np.ndarray, other: np.ndarray) -> None:
-    """Give linked rows the smallest label of their component, in place."""
-    while True:
-        a, b = label[one], label[other]
-        apart = a != b
-        if not apart.any():
-            return
-        one, other, a, b = one[apart], other[apart], a[apart], b[apart]
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            shorter = label[label]
-            if np.array_equal(shorter, label):
-                break
-            label[:] = shorter
-
-
-def local_links(group: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what is near within each run of equal group numbers."""
+def near_pairs(
+    group: np.ndarray, prints: np.ndarray, radius: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows with near fingerprints within each run of equal group numbers."""
     rows = np.arange(len(prints))
     last = np.searchsorted(group, group, side="right") - 1
     planes = _planes(prints)
-    label = rows.copy()
     blocks_of = last // 64 - rows // 64 + 1
     ends = np.cumsum(blocks_of)
     start = 0
@@ -206,12 +212,35 @@ def local_links(group: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.n
         )
         there = block == last[row] // 64
         wanted[there] &= ALL >> (63 - last[row[there]] % 64).astype(np.uint64)
-        row, block, near = _near(prints, planes, row, block, wanted)
+        row, block, near = _near(prints, planes, row, block, wanted, radius)
         bits = np.unpackbits(near.view(np.uint8), bitorder="little").reshape(-1, 64)
         pair, bit = np.nonzero(bits)
-        _merge(label, row[pair], block[pair] * 64 + bit)
+        yield row[pair], block[pair] * 64 + bit
         start = stop
-    linked = np.flatnonzero(label != rows)
+
+
+def _merge(label: np.ndarray, one: np.ndarray, other: np.ndarray) -> None:
+    """Give linked rows the smallest label of their component, in place."""
+    while True:
+        a, b = label[one], label[other]
+        apart = a != b
+        if not apart.any():
+            return
+        one, other, a, b = one[apart], other[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            shorter = label[label]
+            if np.array_equal(shorter, label):
+                break
+            label[:] = shorter
+
+
+def local_links(group: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what is near within each run of equal group numbers."""
+    label = np.arange(len(prints))
+    for one, other in near_pairs(group, prints, RADIUS):
+        _merge(label, one, other)
+    linked = np.flatnonzero(label != np.arange(len(prints)))
     return prints[linked], prints[label[linked]]
 
 
@@ -273,20 +302,3 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = S
     return of_docs.join(labels, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def keep_one(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """One document of each group: the one with the smallest id; its columns as they were.
-
-    Of rows that repeat both id and text one stays.
-    """
-    keepers = (
-        near_duplicates(docs, shingle)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept_id"))
-        .distinct()
-    )
-    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["_kept_id"]), "left_semi")
-    return kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(
-        ["doc_id", "_text_hash"]
-    ).drop("_text_hash")
