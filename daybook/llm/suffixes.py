@@ -46,7 +46,7 @@ from daybook.llm.saving import saved
 
 WIDTH = 50
 GRAM = 24
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 BUCKET = 8 << 20
 WINDOWS_AT_ONCE = 1 << 19
 HOT = 4096
@@ -238,7 +238,7 @@ class Chunk:
                 starts = self.place[(own >> np.uint64(window) & np.uint64(1)).astype(bool)] + window
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + WIDTH, -1)
-        return np.cumsum(change[:-1]) > 0
+        return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def equal_windows(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
