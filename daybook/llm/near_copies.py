@@ -161,7 +161,7 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     )
     loose = banded.join(bands, "band").select(F.col("node").alias("a"), F.col("least").alias("b"))
     groups = saved(components(loose.filter("a <> b").distinct()), "groups")
-    sized = groups.join(nodes.select("node", "print", "bytes"), "node")
+    sized = groups.join(nodes.select("node", "least_id", "print", "bytes"), "node")
     slices = saved(
         sized.groupBy("root").agg(
             F.greatest(
@@ -171,12 +171,14 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
         "slices",
     )
     members = saved(
-        sized.join(slices, "root").select("node", "root", "print", "slices"), "members"
+        sized.join(slices, "root").select("node", "root", "print", "slices", "least_id"), "members"
     )
-    # One text of each node in a group, sent to each pair of slices with its own.
+    # One text of each node in a group, that of its smallest id: joined by id as well, the
+    # copies of a text are not brought together.
+    of_least = (keyed["node"] == members["node"]) & keyed["doc_id"].eqNullSafe(members["least_id"])
     texts = (
-        keyed.select("node", "text")
-        .join(members, "node")
+        keyed.join(members, of_least)
+        .select(members["node"], "root", "print", "slices", "text")
         .groupBy("node", "root", "print", "slices")
         .agg(F.min("text").alias("text"))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
