@@ -15,6 +15,7 @@ from daybook.operators.segments import Cutting, carry_last, hash_sample, hashabl
 from daybook.session import saved_table
 
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 32 << 20
 
 _SALT = "_salt"
 _SALTS = "_salts"
@@ -32,9 +33,17 @@ class Salting:
     smallest_table: int = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most that many rows. Counting Parquet reads only its footers."""
-    return df.count() <= rows
+def fits_broadcast(
+    df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a table has at most that many rows and bytes, as text.
+
+    Counting Parquet reads only its footers; the bytes are added up only if the rows are few.
+    """
+    if df.count() > rows:
+        return False
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(width)).first()[0] or 0) <= size
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int, salting: Salting) -> DataFrame:
@@ -106,9 +115,12 @@ def lookup_join(
 def label_lookup(
     rows: DataFrame, code: str, dimension: DataFrame, dimension_code: str, label: str, into: str
 ) -> DataFrame:
-    """Add the label of a code; NULL where the dimension lacks the code."""
-    labels = dimension.select(F.col(dimension_code).alias(code), F.col(label).alias(into))
-    return lookup_join(rows, labels, [code])
+    """Add the label of a code; NULL where the dimension lacks the code.
+
+    Of a code that the dimension has several times the first label by order counts.
+    """
+    labels = dimension.groupBy(F.col(dimension_code).alias(code)).agg(F.min(label).alias(into))
+    return lookup_join(rows, labels, [code], size_from=dimension.select(dimension_code, label))
 
 
 def best_candidate(

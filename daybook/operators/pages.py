@@ -18,15 +18,19 @@ HIDDEN = (
     r"|<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
     r"|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
 )
-TAG = r"(?s)<[^>]*>"
+# What stands in a tag; a quoted value may hold the sign that ends a tag.
+INSIDE = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|)|["'])*+"""
+TAG = rf"(?s)<{INSIDE}>"
 LINE_BREAK = r"(?i)<br\s*/?>"
 TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title>"
 ROOT = r"(?is)<html(?:\s[^>]*)?>"
-META = r"(?is)<meta\s[^>]*>"
-ANCHOR = r"(?is)<a\s[^>]*>"
-TIME = r"(?is)<time\s[^>]*>"
+META = rf"(?is)<meta\s{INSIDE}>"
+ANCHOR = rf"(?is)<a\s{INSIDE}>"
+TIME = rf"(?is)<time\s{INSIDE}>"
 ATTRIBUTE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-SPAN = r"""(?is)^<t[dh]\s(?:[^>]*?\s)?{name}\s*=\s*["']?\s*(\d{{1,5}})"""
+SPAN = r"""(?is)^<t[dh]\s(?:[^>]*?\s)?{name}\s*=\s*["']?\s*0*(\d+)"""
+# The limits of the HTML standard for spans; a larger number counts as the limit.
+SPAN_LIMITS = {"colspan": 1000, "rowspan": 65534}
 QUOTES = r"""^["']|["']$"""
 ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)(?=</li\s*>|<li[\s>]|</[uo]l\s*>|\z)"
 TERM = r"(?is)<dt(?:\s[^>]*)?>(.*?)(?=</dt\s*>|<d[td][\s>]|</dl\s*>|\z)(.*?)(?=<dt[\s>]|</dl\s*>|\z)"
@@ -39,6 +43,7 @@ SCHEDULE_LINE = (
 TABLE = r"(?is)<table(?:\s[^>]*)?>(.*?)(?:</table\s*>|\z)"
 TABLE_ROW = r"(?is)<tr(?:\s[^>]*)?>(.*?)(?=</tr\s*>|<tr[\s>]|\z)"
 TABLE_CELL = r"(?is)<t[dh](?:\s[^>]*)?>.*?(?=</t[dh]\s*>|<t[dh][\s>]|\z)"
+DAY = r"^(\d{4,}-\d{2}-\d{2})(?:$|[T ])"
 YEAR_CAPTION = r"\((\d{4})년[^)]*\)"
 SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:|//)"
 MAIL_SCHEME = "mailto:"
@@ -111,27 +116,58 @@ def page_links(
 
 
 def resolve_link(url: Column, href: Column) -> Column:
-    """The address that an internal link leads to, without its fragment."""
+    """The address that a link leads to, without its fragment and without dot segments."""
     path = F.regexp_replace(href, r"(?s)#.*$", "")
     page = F.regexp_replace(url, r"(?s)[?#].*$", "")
-    site = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)", 1)
+    site = site_of(page)
     place = F.substr(page, F.length(site) + 1)
     folder = F.when(place == "", "/").otherwise(F.regexp_replace(place, r"[^/]*$", ""))
-    return (
+    scheme = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    return _without_dots(
         F.when((path == "") | path.startswith("?"), F.concat(page, path))
+        .when(path.startswith("//"), F.concat(scheme, path))
         .when(path.startswith("/"), F.concat(site, path))
+        .when(path.rlike(SCHEME), path)
         .otherwise(F.concat(site, folder, path))
     )
 
 
+def site_of(address: Column) -> Column:
+    """Scheme and host of an address; empty where it has none."""
+    return F.regexp_extract(address, r"^([A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?)", 1)
+
+
+def _without_dots(address: Column) -> Column:
+    """The address with the segments ``.`` and ``..`` of its path resolved."""
+    site = site_of(address)
+    path = F.regexp_extract(F.substr(address, F.length(site) + 1), r"(?s)^([^?]*)", 1)
+    query = F.substr(address, F.length(site) + F.length(path) + 1)
+    last = F.regexp_extract(path, r"[^/]*$", 0)
+    # A dot segment at the end stands for a folder: an empty segment follows it.
+    segments = F.split(F.when(last.isin(".", ".."), F.concat(path, F.lit("/"))).otherwise(path), "/")
+    kept = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda above, part: F.when(part == ".", above)
+        .when(part == "..", F.slice(above, 1, F.greatest(F.size(above) - 1, F.lit(1))))
+        .otherwise(F.concat(above, F.array(part))),
+    )
+    resolved = F.concat(site, F.array_join(kept, "/"), query)
+    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), resolved).otherwise(address)
+
+
 def inlinks(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html"
 ) -> DataFrame:
-    """How many internal links lead to each address."""
-    internal = page_links(pages, page_id, html, url).filter(F.col("kind") == "internal")
-    return internal.groupBy(resolve_link(F.col(url), F.col("href")).alias("target")).agg(
-        F.count("*").alias("links")
-    )
+    """How many links within a site lead to each address.
+
+    Absolute links count if they stay on the page's own site.
+    """
+    links = page_links(pages, page_id, html, url).filter(F.col("kind") != "mailto")
+    targets = links.select("kind", url, resolve_link(F.col(url), F.col("href")).alias("target"))
+    own = F.lower(site_of(F.col("target"))) == F.lower(site_of(F.col(url)))
+    within = targets.filter((F.col("kind") == "internal") | own)
+    return within.groupBy("target").agg(F.count("*").alias("links"))
 
 
 def page_items(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
@@ -233,8 +269,8 @@ def dated_marks(pages: DataFrame, page_id: str = "page_id", html: str = "html")
         lambda day, at: F.struct(
             F.lit("time").alias("kind"),
             at.cast("long").alias("pos"),
-            F.try_to_date(day, "yyyy-MM-dd").alias("day"),
-            _digits(day, r"^(\d{4})").alias("year"),
+            F.try_to_date(F.regexp_extract(day, DAY, 1), "yyyy-MM-dd").alias("day"),
+            _digits(day, r"^(\d{4,})(?:-|$)").alias("year"),
         ),
     )
     captions = F.transform(
@@ -252,15 +288,21 @@ def dated_marks(pages: DataFrame, page_id: str = "page_id", html: str = "html")
 
 
 def _digits(text: Column, pattern: str) -> Column:
-    """A found group of few digits as integer; NULL where nothing is found."""
+    """A found group of digits as integer, at most the largest one; NULL without digits."""
     return let(
-        F.regexp_extract(text, pattern, 1), lambda found: F.when(found != "", found.cast("int"))
+        F.regexp_extract(text, pattern, 1),
+        lambda found: F.when(
+            found != "", F.coalesce(found.try_cast("int"), F.lit(2**31 - 1))
+        ),
     )
 
 
 def _span(cell: Column, name: str, smallest: int) -> Column:
     return F.greatest(
-        F.coalesce(_digits(cell, SPAN.format(name=name)), F.lit(1)), F.lit(smallest)
+        F.least(
+            F.coalesce(_digits(cell, SPAN.format(name=name)), F.lit(1)), F.lit(SPAN_LIMITS[name])
+        ),
+        F.lit(smallest),
     )
 
 

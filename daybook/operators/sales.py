@@ -10,14 +10,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 DIMENSIONS = ("region", "category", "month")
 
 
 def sales_cells(sales: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
-    """Exact total and count per combination of the dimensions."""
-    amount = F.col("amount").cast("decimal(18,2)")
+    """Exact total and count per combination of the dimensions.
+
+    Decimal amounts keep their scale. Amounts of floating point are added up with ten
+    decimals; a total beyond 28 digits before the point fails the job.
+    """
+    amount = F.col("amount")
+    if not isinstance(sales.schema["amount"].dataType, T.DecimalType):
+        amount = amount.cast("decimal(38,10)")
     return sales.groupBy(*dimensions).agg(
         F.sum(amount).alias("total"), F.count("amount").alias("records")
     )
@@ -36,33 +43,46 @@ def _figures() -> list[Column]:
     ]
 
 
+def _level() -> Column:
+    return F.grouping_id().cast("long").alias("level")
+
+
 def sales_by(sales: DataFrame, *dimensions: str) -> DataFrame:
     """Total, count and mean by the given dimensions."""
     return sales_cells(sales, dimensions).select(*dimensions, *_figures())
 
 
 def sales_cube(sales: DataFrame) -> DataFrame:
-    """Region x category totals with subtotals and the grand total (NULL means all)."""
+    """Region x category totals with subtotals and the grand total.
+
+    ``level`` tells them apart: 0 for a cell, 1 for all categories, 2 for all regions, 3 for
+    all. A NULL in a column that is not summed over is a value like any other.
+    """
     cells = sales_cells(sales, ("region", "category"))
-    return cells.cube("region", "category").agg(*_merged()).select(
-        "region", "category", *_figures()
+    return cells.cube("region", "category").agg(*_merged(), _level()).select(
+        "region", "category", *_figures(), "level"
     )
 
 
 def sales_rollup(sales: DataFrame) -> DataFrame:
-    """Region x category totals with a subtotal per region and the grand total."""
+    """Region x category totals with a subtotal per region and the grand total; see the cube."""
     cells = sales_cells(sales, ("region", "category"))
-    return cells.rollup("region", "category").agg(*_merged()).select(
-        "region", "category", *_figures()
+    return cells.rollup("region", "category").agg(*_merged(), _level()).select(
+        "region", "category", *_figures(), "level"
     )
 
 
 def sales_pivot(sales: DataFrame, months: Sequence[str]) -> DataFrame:
-    """Totals per region with one column per month; NULL where nothing was sold."""
-    cells = sales_cells(sales, ("region", "month"))
-    wide = cells.groupBy("region").pivot("month", list(months)).agg(F.sum("total"))
+    """Totals per region with one column per month; NULL where nothing was sold.
+
+    ``m_other`` has the total of all months that are not listed, and of records without one.
+    """
+    columns = [*months, "other"]
+    month = F.when(F.col("month").isin(list(months)), F.col("month")).otherwise("other")
+    cells = sales_cells(sales, ("region", "month")).withColumn("month", month)
+    wide = cells.groupBy("region").pivot("month", columns).agg(F.sum("total"))
     return wide.select(
-        "region", *[F.col(f"`{m}`").cast("double").alias(f"m_{m}") for m in months]
+        "region", *[F.col(f"`{m}`").cast("double").alias(f"m_{m}") for m in columns]
     )
 
 

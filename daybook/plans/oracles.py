@@ -360,13 +360,13 @@ LEFT JOIN nation ON c_nationkey = n_nationkey
     "sales_by_region": _by("region"),
     "sales_by_category": _by("category"),
     "sales_by_month": _by("month"),
-    "sales_cube": f"{_SALES} SELECT region, category, {_FIGURES} FROM sales GROUP BY CUBE (region, category)",
-    "sales_rollup": f"{_SALES} SELECT region, category, {_FIGURES} FROM sales GROUP BY ROLLUP (region, category)",
+    "sales_cube": f"{_SALES} SELECT region, category, CAST(GROUPING(region, category) AS BIGINT) AS level, {_FIGURES} FROM sales GROUP BY CUBE (region, category)",
+    "sales_rollup": f"{_SALES} SELECT region, category, CAST(GROUPING(region, category) AS BIGINT) AS level, {_FIGURES} FROM sales GROUP BY ROLLUP (region, category)",
     "sales_pivot": f"{_SALES} SELECT region, "
     + ", ".join(
         f"CAST(sum(amount) FILTER (month LIKE '%-{m}') AS DOUBLE) AS m_{m}" for m in CALENDAR_MONTHS
     )
-    + " FROM sales GROUP BY region",
+    + ", CAST(sum(amount) FILTER (month IS NULL) AS DOUBLE) AS m_other FROM sales GROUP BY region",
     "top_category": f"""{_SALES}
 SELECT region, category, CAST(total AS DOUBLE) AS total FROM (
   SELECT region, category, sum(amount) AS total,

@@ -45,7 +45,13 @@ from daybook.session import shared_folder
 from daybook.sources.literals import CITIES, code_table
 from daybook.sources.payloads import with_coordinates, with_weather
 from daybook.sources.query_strings import param_rows
-from daybook.sources.sales_files import read_csv, read_rejects, sales_rules, write_split
+from daybook.sources.sales_files import (
+    read_csv,
+    read_rejects,
+    sales_rules,
+    write_accepted,
+    write_rejected,
+)
 from daybook.streaming.choices import change_events, run_enriched, run_latest_choice
 
 MISSING_FROM = 400
@@ -105,24 +111,16 @@ def _raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _write_sales(spark: SparkSession, sf_dir: str) -> str:
-    folder = shared_folder(spark, "sales")
-    write_split(
-        _raw_sales(spark, sf_dir),
-        sales_rules(),
-        f"{folder}/checked",
-        f"{folder}/accepted",
-        f"{folder}/rejected",
-    )
-    return folder
-
-
 def written_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_csv(spark, f"{_write_sales(spark, sf_dir)}/accepted")
+    path = shared_folder(spark, "accepted")
+    write_accepted(_raw_sales(spark, sf_dir), sales_rules(), path)
+    return read_csv(spark, path)
 
 
 def written_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_rejects(spark, f"{_write_sales(spark, sf_dir)}/rejected").select("row.*", "error")
+    path = shared_folder(spark, "rejected")
+    write_rejected(_raw_sales(spark, sf_dir), sales_rules(), path)
+    return read_rejects(spark, path).select("row.*", "error")
 
 
 def secret_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:

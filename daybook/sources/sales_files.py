@@ -46,6 +46,9 @@ REJECT_SCHEMA = T.StructType(
 )
 
 RAW = "raw"
+CSV_CELLS = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# What the reader takes an unquoted empty cell for; no cell can hold it.
+NO_CELL = "\x00"
 SALES_MODEL = "SalesRecord"
 ASSIGNMENT_PREFIX = r"^\s*[A-Za-z_]\w*\s*=\s*"
 
@@ -102,18 +105,22 @@ def read_raw_records(
 def read_array_lines(
     spark: SparkSession, path: str | list[str], schema: T.StructType = SALES_SCHEMA
 ) -> DataFrame:
-    """Arrays with one record per line, with or without an assignment prefix.
+    """Arrays with whole records on each line, with or without an assignment prefix.
 
-    Only for files of that layout. Their lines can be read by many tasks, so one file may be
+    Only for files of that layout; a line may hold several records, and a record that goes on
+    in the next line fails the read. Their lines can be read by many tasks, so one file may be
     of any size; the other two readers take a whole file into one task.
     """
     line = F.regexp_replace(F.regexp_replace("value", r"^\s*(?:\[\s*(?=\{))?", ""), r"[\s,\]]+$", "")
     body = F.regexp_replace(line, r"^[A-Za-z_]\w*\s*=\s*\[?\s*", "")
+    records = F.from_json(
+        F.concat(F.lit("["), "body", F.lit("]")), T.ArrayType(schema), {"mode": "FAILFAST"}
+    )
     return (
         spark.read.text(path)
         .select(body.alias("body"))
         .filter(~F.col("body").isin("", "["))
-        .select(F.from_json("body", schema, {"mode": "FAILFAST"}).alias("record"))
+        .select(F.explode(records).alias("record"))
         .select("record.*")
     )
 
@@ -124,18 +131,41 @@ def as_accepted(rows: DataFrame) -> DataFrame:
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
-    """CSV files with a header and CRLF line ends; a NULL is an empty cell."""
-    rows.write.option("header", True).option("lineSep", "\r\n").csv(path)
+    """CSV files with a header and CRLF line ends; a NULL is an empty cell.
+
+    Blanks stay, quotes are doubled, and an empty text is a quoted empty cell. A line break
+    in a cell fails the write: files whose lines are records can be read by many tasks.
+    """
+    broken = F.raise_error(F.lit("a line break in a cell of a CSV file"))
+    cells = [
+        F.when(F.col(field.name).rlike(r"[\r\n]"), broken.cast("string"))
+        .otherwise(F.col(field.name))
+        .alias(field.name)
+        if isinstance(field.dataType, T.StringType)
+        else F.col(field.name)
+        for field in rows.schema
+    ]
+    (
+        rows.select(*cells)
+        .write.option("header", True)
+        .option("lineSep", "\r\n")
+        .options(**CSV_CELLS)
+        .option("emptyValue", '""')
+        .csv(path)
+    )
 
 
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType = ACCEPTED_SCHEMA
 ) -> DataFrame:
-    """CSV files with a header and CRLF line ends."""
+    """CSV files with a header and CRLF line ends, as `write_csv` leaves them."""
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("lineSep", "\r\n")
+        .options(**CSV_CELLS)
+        .option("nullValue", NO_CELL)
+        .option("emptyValue", "")
         .option("mode", "FAILFAST")
         .csv(path)
     )
@@ -171,28 +201,31 @@ def read_rejects(
     )
 
 
+def write_accepted(rows: DataFrame, rules: Sequence[Rule], path: str) -> None:
+    """Write the accepted sales records."""
+    checked = check(rows, rules)
+    write_csv(as_accepted(checked.filter(F.size(VIOLATIONS) == 0)), path)
+
+
+def write_rejected(
+    rows: DataFrame, rules: Sequence[Rule], path: str, model: str = SALES_MODEL
+) -> None:
+    """Write the report of the rejected sales records."""
+    checked = check(rows, rules)
+    write_rejects(error_report(checked.filter(F.size(VIOLATIONS) > 0), model), path)
+
+
 def write_split(
     rows: DataFrame,
     rules: Sequence[Rule],
-    work_path: str,
     accepted_path: str,
     rejected_path: str,
     model: str = SALES_MODEL,
 ) -> None:
-    """Check sales records once and write the accepted and the rejected ones.
+    """Check sales records and write the accepted and the rejected ones.
 
-    The checked rows are first written below ``work_path``, in the shared folder, divided
-    by outcome; each sink then reads only its own part.
+    Each sink reads the records and applies the rules, which are narrow, so nothing is kept
+    in between.
     """
-    spark = rows.sparkSession
-    checked = check(rows, rules)
-    checked.withColumn("is_accepted", F.size(VIOLATIONS) == 0).write.partitionBy(
-        "is_accepted"
-    ).parquet(work_path)
-    outcome_field = T.StructField("is_accepted", T.BooleanType())
-    outcome = spark.read.schema(
-        T.StructType([*checked.schema.fields, outcome_field])
-    ).parquet(work_path)
-    write_csv(as_accepted(outcome.filter("is_accepted")), accepted_path)
-    failed = outcome.filter("NOT is_accepted").drop("is_accepted")
-    write_rejects(error_report(failed, model), rejected_path)
+    write_accepted(rows, rules, accepted_path)
+    write_rejected(rows, rules, rejected_path, model)

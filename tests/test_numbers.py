@@ -13,6 +13,7 @@ from daybook.functions.numbers import (
     fixed_decimals,
     integer_between,
     is_number,
+    number_text,
     random_integer,
     to_number,
     trimmed,
@@ -95,6 +96,23 @@ def test_labels(spark):
     assert value_of(spark, lambda c: shown_or_error(c, "none"), 2.5, "double") == "2.5"
 
 
+@pytest.mark.parametrize(
+    "value, text",
+    [(0.0001, "0.0001"), (12345678.9, "12345678.9"), (60.0, "60"), (1e20, "100000000000000000000"),
+     (1e21, "1e+21"), (1.5e-7, "1.5e-7"), (-0.00025, "-0.00025"), (1e7, "10000000"), (None, None)],
+)
+def test_number_text(spark, value, text):
+    assert value_of(spark, number_text, value, "double") == text
+
+
+def test_long_radix_numbers(spark):
+    assert value_of(spark, to_number, "0x" + "0" * 30 + "5") == 5.0
+    assert value_of(spark, to_number, "0x1" + "0" * 16) == 2.0**64
+    assert value_of(spark, to_number, " 0b" + "1" * 70 + " ") == float(2**70 - 1)
+    assert value_of(spark, to_number, "0o0") == 0.0
+    assert value_of(spark, to_number, "0x") is None
+
+
 def test_formats(spark):
     assert value_of(spark, fixed_decimals, 37.566, "double") == "37.5660"
     assert value_of(spark, fixed_decimals, None, "double") is None

@@ -44,7 +44,17 @@ def test_subtotals(records):
 
 def test_pivot(records):
     wide = sales.sales_pivot(records, ["2024-01", "2024-02", "2024-03", "2024-04"])
-    assert as_dict(wide, "region")[("서울",)] == (1500.0, 1500.0, None, None)
+    assert as_dict(wide, "region")[("서울",)] == (1500.0, 1500.0, None, None, None)
+    narrow = sales.sales_pivot(records, ["2024-02"])
+    assert as_dict(narrow, "region")[("부산",)] == (None, 1600.0)
+
+
+def test_small_and_large_amounts(spark):
+    rows = [("a", "x", 0.004, "m"), ("a", "x", 0.004, "m"), ("b", "x", 1e17, "m"), (None, "x", 1.0, "m")]
+    frame = spark.createDataFrame(rows, "region string, category string, amount double, month string")
+    assert as_dict(sales.sales_by(frame, "region"), "region")[("a",)][0] == 0.008
+    cube = as_dict(sales.sales_cube(frame), "region", "category", "level")
+    assert cube[(None, "x", 0)][0] == 1.0 and cube[(None, "x", 2)][1] == 4
 
 
 def test_top_category_takes_the_first_name_on_a_tie(records):
