@@ -15,32 +15,7 @@ import time
 from daybook.plans.queries import QUERIES
 from daybook.session import local_session
 
-HEADLINE = [
-    "accepted_rows",
-    "rejected_rows",
-    "label_lookup",
-    "first_match",
-    "current_value",
-    "observed_value",
-    "enriched_status",
-    "last_choice",
-    "score_result",
-    "attempts_to_hit",
-    "attempts_to_purchase",
-    "ordered_text",
-    "form_violations",
-    "query_params",
-    "page_facts",
-    "page_links",
-    "inlinks",
-    "page_items",
-    "table_slots",
-    "last_choice_stream",
-    "enriched_stream",
-    "sales_by_region",
-    "sales_cube",
-    "month_change",
-]
+HEADLINE = list(QUERIES)
 
 
 def timed(run) -> float:
