@@ -110,6 +110,8 @@ WITH sent AS (
 
 _PART = "SELECT p_partkey AS page_id, p_brand, p_type, p_size, p_size % 3 + 1 AS high, p_size % 4 + 1 AS wide FROM part"
 
+_RAW_ROWS = f"{_RAW_SALES} SELECT region, category, amount, month FROM raw"
+
 ORACLES: dict[str, str] = {
     "accepted_rows": """
 SELECT c_custkey, c_name, c_acctbal AS amount, c_mktsegment FROM customer
@@ -144,6 +146,9 @@ SELECT c_custkey,
   CAST(CAST('0x' || substring(md5(CAST(c_custkey AS VARCHAR)), 1, 12) AS BIGINT) % 50 + 1 AS INT) AS secret
 FROM customer
 """,
+    "json_array_rows": _RAW_ROWS,
+    "assigned_array_rows": _RAW_ROWS,
+    "array_line_rows": _RAW_ROWS,
     "written_accepted": f"""{_RAW_SALES}
 SELECT month, region, CAST(amount AS DOUBLE) AS amount, category FROM raw
 WHERE length(month) >= 1 AND length(region) >= 1 AND amount > 0
@@ -210,6 +215,10 @@ SELECT n_nationkey, n_name, c_custkey, c_acctbal FROM nation LEFT JOIN (
 """,
     "current_value": f"SELECT event_id, user_id, value AS view_value FROM ({_AS_OF})",
     "observed_value": _AS_OF,
+    "observed_value_cut": _AS_OF,
+    "label_lookup_salted": """
+SELECT c_custkey, n_name AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+""",
     "enriched_status": f"""
 SELECT a.event_id, a.user_id,
   CASE WHEN c_custkey IS NULL THEN '{CITY_NOT_FOUND}'
@@ -263,6 +272,13 @@ SELECT user_id, min(nr) AS attempts FROM (
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nr
   FROM events WHERE value IS NOT NULL)
 WHERE event_type = 'purchase' GROUP BY user_id
+""",
+    "attempts_to_purchase_cut": """
+SELECT user_id, min(nr) AS attempts FROM (
+  SELECT user_id, event_type,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nr
+  FROM events WHERE value IS NOT NULL)
+WHERE event_type = 'purchase' GROUP BY user_id
 """,
     "ordered_text": f"""
 SELECT l_orderkey, CAST((nr - 1) // {LINES_PER_PART} AS BIGINT) AS part,
@@ -272,6 +288,15 @@ FROM (SELECT l_orderkey, '🌀' || p_name || CAST(CAST(l_quantity AS INT) AS VAR
           ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) AS nr
       FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)
 GROUP BY 1, 2
+""",
+    "ordered_text_parts": f"""
+SELECT l_orderkey, CAST((nr - 1) // 3 AS BIGINT) AS part,
+       string_agg(line, '' ORDER BY nr) AS text
+FROM (SELECT l_orderkey, '🌀' || p_name || CAST(CAST(l_quantity AS INT) AS VARCHAR) || '개' || chr(10) AS line,
+        row_number() OVER (PARTITION BY l_orderkey
+          ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) AS nr
+      FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)
+GROUP BY 1, 2
 """,
     "page_facts": rf"""
 SELECT page_id,

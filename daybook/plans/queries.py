@@ -19,6 +19,7 @@ from daybook.functions.numbers import integer_between
 from daybook.operators import forms, pages, rules, sales
 from daybook.operators.latest import latest_value
 from daybook.operators.lookups import (
+    Salting,
     as_of_lookup,
     current_value,
     first_match,
@@ -32,7 +33,8 @@ from daybook.operators.scores import (
     label_guesses,
     score_results,
 )
-from daybook.operators.texts import item_line, ordered_text
+from daybook.operators.segments import Cutting
+from daybook.operators.texts import LINES_PER_PART, item_line, ordered_text
 from daybook.plans.tables import (
     customer_pages,
     event_counter,
@@ -46,7 +48,10 @@ from daybook.sources.literals import CITIES, code_table
 from daybook.sources.payloads import with_coordinates, with_weather
 from daybook.sources.query_strings import param_rows
 from daybook.sources.sales_files import (
+    read_array_lines,
+    read_assigned_array,
     read_csv,
+    read_json_array,
     read_rejects,
     sales_rules,
     write_accepted,
@@ -123,6 +128,34 @@ def written_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rejects(spark, path).select("row.*", "error")
 
 
+def _array_files(spark: SparkSession, sf_dir: str, prefix: str, per_line: int) -> str:
+    """Raw sales rows as array files: one array per file, or whole records on each line."""
+    path = shared_folder(spark, "arrays")
+    rows = _raw_sales(spark, sf_dir).select(
+        F.monotonically_increasing_id().alias("nr"), F.to_json(F.struct("*")).alias("record")
+    )
+    grouped = rows.groupBy(F.floor(F.col("nr") / per_line)).agg(
+        F.array_join(F.collect_list("record"), ", ").alias("records")
+    )
+    writer = grouped.select(
+        F.concat(F.lit(prefix), "records", F.lit("," if not prefix else "]")).alias("value")
+    ).write
+    (writer.option("maxRecordsPerFile", 1) if prefix else writer).text(path)
+    return path
+
+
+def json_array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_json_array(spark, _array_files(spark, sf_dir, "[", 1000))
+
+
+def assigned_array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_assigned_array(spark, _array_files(spark, sf_dir, "sales = [", 1000))
+
+
+def array_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_array_lines(spark, _array_files(spark, sf_dir, "", 3))
+
+
 def secret_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         "c_custkey", integer_between(F.col("c_custkey"), 1, 50).alias("secret")
@@ -190,6 +223,20 @@ def query_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Lookups
 
 
+#: Sizes at which small tables, too, have segments and salted keys.
+FINE_CUTTING = Cutting(sample_rows=5000, sample_rows_per_segment=4, smallest_segment=8)
+FINE_SALTING = Salting(sample_rows=5000, sample_rows_per_part=4, smallest_table=8)
+
+
+def label_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation")
+    )
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    found = lookup_join(customer, nation, ["c_nationkey"], broadcast_rows=0, salting=FINE_SALTING)
+    return found.select("c_custkey", "nation")
+
+
 def label_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = label_lookup(
         table(spark, sf_dir, "nation"),
@@ -250,14 +297,28 @@ def current_value_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def observed_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+def observed_value_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return observed_value(spark, sf_dir, FINE_CUTTING)
+
+
+def observed_value(
+    spark: SparkSession, sf_dir: str, cutting: Cutting = Cutting()
+) -> DataFrame:
     events = table(spark, sf_dir, "events")
     clicks = events.filter(F.col("event_type") == "click").select("event_id", "user_id", "ts")
     views = events.filter(F.col("event_type") == "view").select(
         F.col("event_id").alias("view_id"), "user_id", "ts", "value"
     )
     found = as_of_lookup(
-        clicks, views, ["user_id"], "ts", "event_id", "view_id", ["view_id", "value"], "observed"
+        clicks,
+        views,
+        ["user_id"],
+        "ts",
+        "event_id",
+        "view_id",
+        ["view_id", "value"],
+        "observed",
+        cutting,
     )
     return found.select("event_id", "user_id", "observed.view_id", "observed.value")
 
@@ -318,7 +379,13 @@ def attempts_to_hit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("told", attempts_sentence(F.col("attempts")))
 
 
-def attempts_to_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+def attempts_to_purchase_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attempts_to_purchase(spark, sf_dir, FINE_CUTTING)
+
+
+def attempts_to_purchase(
+    spark: SparkSession, sf_dir: str, cutting: Cutting = Cutting()
+) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "user_id",
         "ts",
@@ -326,10 +393,21 @@ def attempts_to_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").isNotNull().alias("counts"),
         (F.col("event_type") == "purchase").alias("hit"),
     )
-    return attempts_until(events, ["user_id"], ["ts", "event_id"], "counts", "hit")
+    return attempts_until(
+        events, ["user_id"], ["ts", "event_id"], "counts", "hit", cutting=cutting
+    )
+
+
+def ordered_text_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered_text_query(spark, sf_dir, 3, FINE_CUTTING)
 
 
-def ordered_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ordered_text_query(
+    spark: SparkSession,
+    sf_dir: str,
+    lines_per_part: int = LINES_PER_PART,
+    cutting: Cutting = Cutting(),
+) -> DataFrame:
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
@@ -341,6 +419,8 @@ def ordered_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"],
         item_line(F.col("p_name"), F.col("l_quantity").cast("int")),
+        lines_per_part=lines_per_part,
+        cutting=cutting,
         cut_from=lines,
     )
 
@@ -497,6 +577,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_by_region": _by("region"),
     "sales_by_category": _by("category"),
     "sales_by_month": _by("month"),
+    "json_array_rows": json_array_rows,
+    "assigned_array_rows": assigned_array_rows,
+    "array_line_rows": array_line_rows,
+    "label_lookup_salted": label_lookup_salted,
+    "observed_value_cut": observed_value_cut,
+    "attempts_to_purchase_cut": attempts_to_purchase_cut,
+    "ordered_text_parts": ordered_text_parts,
     "sales_cube": _over_sales(sales.sales_cube),
     "sales_rollup": _over_sales(sales.sales_rollup),
     "sales_pivot": sales_pivot,
