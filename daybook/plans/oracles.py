@@ -32,9 +32,12 @@ _RAW_SALES = """
 WITH raw AS (
   SELECT CASE WHEN c_custkey % 17 = 0 THEN ''
       ELSE '2024-' || lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') END AS month,
-    CASE WHEN c_custkey % 19 <> 0 THEN c_name END AS region,
+    CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 23 = 1 THEN '  a '
+      WHEN c_custkey % 23 = 2 THEN ' ' WHEN c_custkey % 23 = 3 THEN 'say "x", y'
+      ELSE c_name END AS region,
     CAST(floor(c_acctbal) AS BIGINT) AS amount,
-    CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS category
+    CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 7 = 1 THEN ''
+      ELSE c_mktsegment END AS category
   FROM customer)
 """
 
@@ -82,6 +85,16 @@ ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v
   ON c.user_id = v.user_id AND c.ts >= v.ts
 """
 
+_CITIES = """
+WITH cities AS (
+  SELECT n_nationkey AS city, n_name AS label, c_custkey AS station, c_acctbal AS latitude,
+         CAST(c_nationkey AS DOUBLE) AS longitude
+  FROM nation LEFT JOIN (
+    SELECT c_nationkey, min(c_custkey) AS c_custkey, arg_min(c_acctbal, c_custkey) AS c_acctbal
+    FROM customer WHERE length(c_name) >= 1 AND c_acctbal > 0 AND c_nationkey % 6 <> 5
+    GROUP BY c_nationkey) ON c_nationkey = n_nationkey)
+"""
+
 _ANCHORS = rf"""
 SELECT page_id, url, nr - 1 AS pos, regexp_replace(regexp_extract(tag,
          '(?is)\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), '^["'']|["'']$', '', 'g') AS href
@@ -131,15 +144,15 @@ SELECT c_custkey,
 FROM ({_FAILED_RULES}) GROUP BY c_custkey
 """,
     "score_reasons": """
-SELECT event_id,
-  CASE event_id % 7 WHEN 0 THEN 'not_a_number' WHEN 1 THEN 'not_a_number'
-    WHEN 2 THEN 'not_a_number' WHEN 3 THEN 'out_of_range' WHEN 4 THEN NULL
-    ELSE CASE WHEN value BETWEEN 0 AND 100 THEN 'ok' ELSE 'out_of_range' END END AS reason,
-  CASE WHEN event_id % 7 >= 5 AND value BETWEEN 0 AND 100 THEN value END AS score,
-  CASE WHEN event_id % 7 < 3 THEN '숫자를 입력해주세요.' WHEN event_id % 7 = 4 THEN NULL
-    WHEN event_id % 7 = 3 OR value NOT BETWEEN 0 AND 100
-    THEN '0점부터 100점 사이의 값을 입력해주세요.' END AS told
-FROM events
+SELECT event_id, reason, CASE WHEN reason = 'ok' THEN score END AS score,
+  CASE reason WHEN 'not_a_number' THEN '숫자를 입력해주세요.'
+    WHEN 'out_of_range' THEN '0점부터 100점 사이의 값을 입력해주세요.' END AS told
+FROM (SELECT event_id, score,
+  CASE WHEN event_id % 13 < 3 THEN 'not_a_number' WHEN event_id % 13 = 4 THEN NULL
+    WHEN event_id % 13 IN (3, 6) OR score NOT BETWEEN 0 AND 100 THEN 'out_of_range'
+    ELSE 'ok' END AS reason
+  FROM (SELECT event_id, CASE event_id % 13 WHEN 5 THEN 5 WHEN 7 THEN 5 WHEN 8 THEN 15
+    ELSE value END AS score FROM events))
 """,
     "secret_numbers": """
 SELECT c_custkey,
@@ -219,21 +232,24 @@ SELECT n_nationkey, n_name, c_custkey, c_acctbal FROM nation LEFT JOIN (
     "label_lookup_salted": """
 SELECT c_custkey, n_name AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
-    "enriched_status": f"""
-SELECT a.event_id, a.user_id,
-  CASE WHEN c_custkey IS NULL THEN '{CITY_NOT_FOUND}'
-    WHEN a.view_id IS NULL THEN '{WEATHER_UNAVAILABLE}'
-    WHEN a.value >= {MISSING_FROM} THEN '{NO_TEMPERATURE}' ELSE '{OK}' END AS status,
-  printf('%.4f', c_acctbal) AS latitude_text,
-  printf('%.4f', CAST(c_nationkey AS DOUBLE)) AS longitude_text,
-  CASE WHEN a.value < {MISSING_FROM} THEN a.value END AS temperature,
-  CASE WHEN c_custkey IS NULL THEN '도시 정보를 찾을 수 없습니다.'
-    WHEN a.view_id IS NULL THEN '날씨 정보를 불러올 수 없습니다.'
-    WHEN a.value >= {MISSING_FROM} THEN '날씨 데이터를 불러올 수 없습니다.'
-    ELSE '🌡️ 온도: ' || regexp_replace(CAST(a.value AS VARCHAR), '[.]0$', '') || '°C' || chr(10)
-      || '💧 습도: ' || c_nationkey || '%' END AS told
-FROM ({_AS_OF}) a LEFT JOIN (
-  SELECT * FROM customer WHERE length(c_name) >= 1 AND c_acctbal > 0) ON c_custkey = a.user_id
+    "enriched_status": f"""{_CITIES}
+SELECT e.event_id, e.user_id, label,
+  CASE WHEN station IS NULL THEN '{CITY_NOT_FOUND}'
+    WHEN view_id IS NULL THEN '{WEATHER_UNAVAILABLE}'
+    WHEN seen_value >= {MISSING_FROM} THEN '{NO_TEMPERATURE}' ELSE '{OK}' END AS status,
+  printf('%.4f', latitude) AS latitude_text,
+  printf('%.4f', longitude) AS longitude_text,
+  CASE WHEN seen_value < {MISSING_FROM} THEN seen_value END AS temperature,
+  CASE WHEN station IS NULL THEN '도시 정보를 찾을 수 없습니다.'
+    WHEN view_id IS NULL THEN '날씨 정보를 불러올 수 없습니다.'
+    WHEN seen_value >= {MISSING_FROM} THEN '날씨 데이터를 불러올 수 없습니다.'
+    ELSE '🌡️ 온도: ' || regexp_replace(CAST(seen_value AS VARCHAR), '[.]0$', '') || '°C' || chr(10)
+      || '💧 습도: ' || CAST(longitude AS INT) || '%' END AS told
+FROM (SELECT event_id, user_id, ts, cities.* FROM events LEFT JOIN cities ON city = user_id % 25
+      WHERE event_type = 'click') e
+ASOF LEFT JOIN (SELECT event_id AS view_id, user_id AS seen_by, ts AS seen, value AS seen_value
+                FROM events WHERE event_type = 'view') v
+  ON e.station = v.seen_by AND e.ts >= v.seen
 """,
     "last_choice": _LAST_CHOICE,
     "score_result": """
@@ -254,11 +270,11 @@ SELECT user_id, total, total / 3 AS mean,
 FROM totals
 """,
     "guess_answers": """
-SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS guess,
-  CASE WHEN CAST(json_extract(props, '$.k') AS DOUBLE) > user_id % 50 + 1 THEN 'Down'
-    WHEN CAST(json_extract(props, '$.k') AS DOUBLE) < user_id % 50 + 1 THEN 'Up'
-    ELSE 'hit' END AS answer
-FROM events
+SELECT event_id, guess, CASE WHEN guess IS NULL THEN 'invalid' WHEN guess > target THEN 'Down'
+    WHEN guess < target THEN 'Up' ELSE 'hit' END AS answer
+FROM (SELECT event_id, user_id % 50 + 1 AS target,
+  CASE event_id % 9 WHEN 0 THEN 0 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN 5
+    ELSE CAST(json_extract(props, '$.k') AS DOUBLE) END AS guess FROM events)
 """,
     "attempts_to_hit": """
 SELECT user_id, min(nr) AS attempts, '축하합니다! ' || min(nr) || '번 만에 맞추셨습니다.' AS told FROM (
@@ -373,14 +389,15 @@ UNION ALL SELECT page_id, 0, 1, CASE WHEN high > 1 THEN 1 ELSE 0 END, 'second' F
 UNION ALL SELECT page_id, 0, 2, CASE WHEN high > 2 THEN 1 ELSE 0 END, 'third' || chr(10) || 'line' FROM p
 """,
     "last_choice_stream": _LAST_CHOICE,
-    "enriched_stream": f"""
-SELECT event_id, user_id, CASE WHEN c_custkey IS NOT NULL THEN n_name END AS nation,
-  CASE WHEN c_custkey IS NULL THEN '{CITY_NOT_FOUND}'
-    WHEN value IS NULL THEN '{WEATHER_UNAVAILABLE}' ELSE '{OK}' END AS status,
-  printf('%.4f', c_acctbal) AS latitude_text
-FROM events LEFT JOIN (
-  SELECT * FROM customer WHERE length(c_name) >= 1 AND c_acctbal > 0) ON c_custkey = user_id
-LEFT JOIN nation ON c_nationkey = n_nationkey
+    "late_choice_stream": _LAST_CHOICE,
+    "enriched_stream": f"""{_CITIES}
+SELECT event_id, user_id, label,
+  CASE WHEN station IS NULL THEN '{CITY_NOT_FOUND}'
+    WHEN event_type = 'error' THEN '{WEATHER_UNAVAILABLE}'
+    WHEN value >= {MISSING_FROM} THEN '{NO_TEMPERATURE}' ELSE '{OK}' END AS status,
+  printf('%.4f', latitude) AS latitude_text,
+  CASE WHEN event_type <> 'error' AND value < {MISSING_FROM} THEN value END AS temperature
+FROM events LEFT JOIN cities ON city = user_id % 25
 """,
     "sales_by_region": _by("region"),
     "sales_by_category": _by("category"),

@@ -43,7 +43,7 @@ from daybook.plans.tables import (
     submission_urls,
     table,
 )
-from daybook.session import shared_folder
+from daybook.session import saved_table, shared_folder
 from daybook.sources.literals import CITIES, code_table
 from daybook.sources.payloads import with_coordinates, with_weather
 from daybook.sources.query_strings import param_rows
@@ -59,7 +59,9 @@ from daybook.sources.sales_files import (
 )
 from daybook.streaming.choices import change_events, run_enriched, run_latest_choice
 
-MISSING_FROM = 400
+MISSING_FROM = 100
+CITY_COUNT = 25
+ARRIVALS = 4
 CALENDAR_MONTHS = [f"{month:02d}" for month in range(1, 13)]
 
 
@@ -91,10 +93,11 @@ def error_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("value").cast("string")
     raw = F.expr(
-        "CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN '\t ' WHEN 2 THEN '1d' WHEN 3 THEN '-1' "
-        "WHEN 4 THEN NULL END"
+        "CASE event_id % 13 WHEN 0 THEN '' WHEN 1 THEN '\t ' WHEN 2 THEN '1d' WHEN 3 THEN '-1' "
+        "WHEN 4 THEN NULL WHEN 5 THEN '0x00000000000000000005' WHEN 6 THEN '0x10000000000000000' "
+        "WHEN 7 THEN concat('0b', repeat('0', 70), '101') WHEN 8 THEN '0o17' END"
     )
-    entered = F.when(F.col("event_id") % 7 < 5, raw).otherwise(F.concat(F.lit(" "), value))
+    entered = F.when(F.col("event_id") % 13 < 9, raw).otherwise(F.concat(F.lit(" "), value))
     reason = score_reason(entered)
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -105,14 +108,24 @@ def score_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as raw sales rows, some without month, region or category, some not positive."""
+    """Customers as raw sales rows, some without month, region or category, some not positive.
+
+    Some regions have blanks at their ends, are blank, or hold quotes and commas.
+    """
     key = F.col("c_custkey")
+    region = (
+        F.when(key % 23 == 1, "  a ")
+        .when(key % 23 == 2, " ")
+        .when(key % 23 == 3, 'say "x", y')
+        .otherwise(F.col("c_name"))
+    )
+    category = F.when(key % 7 == 1, "").otherwise(F.col("c_mktsegment"))
     return table(spark, sf_dir, "customer").select(
         F.when(key % 17 == 0, "").otherwise(F.concat(F.lit("2024-"), F.lpad(key % 12 + 1, 2, "0")))
         .alias("month"),
-        F.when(key % 19 != 0, F.col("c_name")).alias("region"),
+        F.when(key % 19 != 0, region).alias("region"),
         F.floor("c_acctbal").cast("long").alias("amount"),
-        F.when(key % 5 != 0, F.col("c_mktsegment")).alias("category"),
+        F.when(key % 5 != 0, category).alias("category"),
     )
 
 
@@ -275,16 +288,13 @@ def _clicks_with_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .filter(F.col("event_type").isin("click", "view"))
         .select("event_id", "user_id", "ts", "event_type", "value")
-        .withColumn(
-            "temperature", F.when(F.col("value") < MISSING_FROM, F.col("value"))
-        )
     )
     found = current_value(
         events,
         ["user_id"],
         ["ts", "event_id"],
         F.col("event_type") == "view",
-        ["value", "temperature"],
+        ["value"],
         "observed",
         cut_from=table(spark, sf_dir, "events"),
     )
@@ -323,23 +333,55 @@ def observed_value(
     return found.select("event_id", "user_id", "observed.view_id", "observed.value")
 
 
+def _cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as cities: the label of each, and the first of its places; NULL without any.
+
+    Places are the accepted customers; every sixth nation has none.
+    """
+    cities = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("long").alias("city"), F.col("n_name").alias("label")
+    )
+    places = (
+        rules.accepted(table(spark, sf_dir, "customer"), customer_rules())
+        .filter(F.col("c_nationkey") % 6 != 5)
+        .select(
+            F.col("c_nationkey").cast("long").alias("city"),
+            F.col("c_custkey").alias("station"),
+            F.col("c_acctbal").alias("latitude"),
+            F.col("c_nationkey").cast("double").alias("longitude"),
+        )
+    )
+    return first_match(cities, places, ["city"], [F.col("station")], "place")
+
+
 def enriched_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = rules.accepted(table(spark, sf_dir, "customer"), customer_rules()).select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_acctbal").alias("latitude"),
-        F.col("c_nationkey").cast("double").alias("longitude"),
-    )
-    placed = lookup_join(
-        _clicks_with_view(spark, sf_dir),
-        places,
-        ["user_id"],
-        size_from=table(spark, sf_dir, "customer"),
-        hot_from=table(spark, sf_dir, "events").select("event_id", "user_id"),
-    ).withColumn("temperature", F.col("observed.temperature"))
-    told = with_status(placed, "latitude", "observed", "temperature", "latitude", "longitude")
+    """A chain: the city's first place, then the observation of the station that it names."""
+    events = table(spark, sf_dir, "events")
+    chosen = events.filter(F.col("event_type") == "click").select(
+        "event_id", "user_id", "ts", (F.col("user_id") % CITY_COUNT).alias("city")
+    )
+    placed = lookup_join(chosen, _cities(spark, sf_dir), ["city"], size_from=table(spark, sf_dir, "nation"))
+    # A row without a place gets a station of its own, which has no observation: such rows
+    # spread over the tasks.
+    asked = placed.withColumn("station", F.coalesce("place.station", -F.col("event_id")))
+    views = events.filter(F.col("event_type") == "view").select(
+        F.col("event_id").alias("view_id"),
+        F.col("user_id").alias("station"),
+        "ts",
+        F.when(F.col("value") < MISSING_FROM, F.col("value")).alias("temperature"),
+    )
+    observed = as_of_lookup(
+        asked, views, ["station"], "ts", "event_id", "view_id", ["view_id", "temperature"], "observed"
+    )
+    known = observed.select(
+        "event_id", "user_id", "label", "place", "observed", "observed.temperature",
+        "place.latitude", "place.longitude",
+    )
+    told = with_status(known, "place", "observed", "temperature", "latitude", "longitude")
     return told.select(
         "event_id",
         "user_id",
+        "label",
         "status",
         "latitude_text",
         "longitude_text",
@@ -370,7 +412,12 @@ def score_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def guess_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = event_counter(table(spark, sf_dir, "events"))
-    return label_guesses(counted, "raw", "target").select("event_id", "guess", "answer")
+    odd = F.expr(
+        "CASE event_id % 9 WHEN 0 THEN '' WHEN 1 THEN 'abc' WHEN 2 THEN NULL "
+        "WHEN 3 THEN '0x00000000000000000005' ELSE raw END"
+    )
+    entered = counted.withColumn("raw", odd)
+    return label_guesses(entered, "raw", "target").select("event_id", "guess", "answer")
 
 
 def attempts_to_hit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -501,18 +548,36 @@ def last_choice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
-    places = rules.accepted(customer, customer_rules()).select(
-        F.col("c_custkey").alias("user_id"), "c_nationkey", F.col("c_acctbal").alias("latitude")
+def late_choice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same out of several files, one per batch, each with events of the whole time."""
+    events = table(spark, sf_dir, "events")
+    arrived = shared_folder(spark, "arrived")
+    events.repartition(ARRIVALS, "event_id").write.parquet(arrived)
+    return run_latest_choice(
+        change_events(spark, arrived, events.schema, files_per_trigger=1),
+        ["user_id"],
+        ["event_type", "event_id"],
+        ["ts", "event_id"],
+        shared_folder(spark, "late-choice"),
     )
-    nation = table(spark, sf_dir, "nation")
-    known = label_lookup(places, "c_nationkey", nation, "n_nationkey", "n_name", "nation")
+
+
+def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One row per nation; made once, not for each batch.
+    cities = saved_table(_cities(spark, sf_dir), "cities")
 
     def enrich(batch: DataFrame) -> DataFrame:
-        placed = lookup_join(batch, known, ["user_id"], size_from=customer)
-        told = with_status(placed, "latitude", "value", "value", "latitude", "value")
-        return told.select("event_id", "user_id", "nation", "status", "latitude_text")
+        value = F.when(F.col("event_type") != "error", F.col("value"))
+        chosen = batch.select(
+            "event_id",
+            "user_id",
+            (F.col("user_id") % CITY_COUNT).alias("city"),
+            value.alias("observed"),
+            F.when(value < MISSING_FROM, value).alias("temperature"),
+        )
+        placed = lookup_join(chosen, cities, ["city"]).select("*", "place.latitude", "place.longitude")
+        told = with_status(placed, "place", "observed", "temperature", "latitude", "longitude")
+        return told.select("event_id", "user_id", "label", "status", "latitude_text", "temperature")
 
     return run_enriched(_event_stream(spark, sf_dir), enrich, shared_folder(spark, "enriched"))
 
@@ -573,6 +638,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "description_map": description_map,
     "table_slots": table_slots,
     "last_choice_stream": last_choice_stream,
+    "late_choice_stream": late_choice_stream,
     "enriched_stream": enriched_stream,
     "sales_by_region": _by("region"),
     "sales_by_category": _by("category"),

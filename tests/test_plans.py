@@ -7,7 +7,7 @@ import pytest
 from daybook.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-STREAMS = {"last_choice_stream", "enriched_stream"}
+STREAMS = {"last_choice_stream", "late_choice_stream", "enriched_stream"}
 
 
 def plan(spark, name):
