@@ -1,8 +1,8 @@
 """Facts, links, lists and tables out of HTML pages.
 
 Each page is handled inside its own row by column expressions; only the in-link count
-shuffles. Closing tags that a page may leave out are not needed; nested lists and tables are
-not followed.
+shuffles. Closing tags that a page may leave out are not needed; nested tables are not
+followed.
 """
 
 from __future__ import annotations
@@ -33,6 +33,9 @@ SPAN = r"""(?is)^<t[dh]\s(?:[^>]*?\s)?{name}\s*=\s*["']?\s*0*(\d+)"""
 SPAN_LIMITS = {"colspan": 1000, "rowspan": 65534}
 QUOTES = r"""^["']|["']$"""
 ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)(?=</li\s*>|<li[\s>]|</[uo]l\s*>|\z)"
+LIST = r"(?i)<[uo]l[\s>]"
+LIST_MARK = r"(?i)^</?(?:li|[uo]l)(?=[\s>])"
+BEFORE_LIST_MARK = r"(?i)(?=</?(?:li|[uo]l)[\s>])"
 TERM = r"(?is)<dt(?:\s[^>]*)?>(.*?)(?=</dt\s*>|<d[td][\s>]|</dl\s*>|\z)(.*?)(?=<dt[\s>]|</dl\s*>|\z)"
 TERM_TEXT = r"(?is)<dd(?:\s[^>]*)?>(.*?)(?=</dd\s*>|<dd[\s>]|\z)"
 BEFORE_HEADING = r"(?i)(?=<h2[\s>])"
@@ -170,10 +173,53 @@ def inlinks(
     return within.groupBy("target").agg(F.count("*").alias("links"))
 
 
+def _nested_items(shown: Column) -> Column:
+    """The markup of each list item where items hold lists.
+
+    ``open`` has for each open list the number of its open item, or -1. Text after an inner
+    list belongs to the item around it, on a line of its own.
+    """
+
+    def add(state: Column, piece: Column) -> Column:
+        items, held = state["items"], state["open"]
+        mark = F.lower(F.regexp_extract(piece, LIST_MARK, 0))
+        outer = F.slice(held, 1, F.size(held) - 1)
+        now_open = (
+            F.when(mark.isin("<ul", "<ol"), F.concat(held, F.array(F.lit(-1))))
+            .when(mark.isin("</ul", "</ol") & (F.size(held) > 1), outer)
+            .when(mark == "<li", F.concat(outer, F.array(F.size(items))))
+            .when(mark != "", F.concat(outer, F.array(F.lit(-1))))
+            .otherwise(held)
+        )
+        more = F.transform(
+            items,
+            lambda item, number: F.when(
+                number == F.array_max(now_open), F.concat(item, F.lit("\n"), piece)
+            ).otherwise(item),
+        )
+        return F.struct(
+            F.when(mark == "<li", F.concat(items, F.array(piece)))
+            .when(plain(piece) != "", more)
+            .otherwise(items)
+            .alias("items"),
+            now_open.alias("open"),
+        )
+
+    none = F.struct(
+        F.array().cast("array<string>").alias("items"), F.array(F.lit(-1)).alias("open")
+    )
+    return F.aggregate(
+        F.split(shown, BEFORE_LIST_MARK), none, add, lambda state: state["items"]
+    )
+
+
 def page_items(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """One row per list item, with its position in the page."""
-    items = F.posexplode(_all(visible(F.col(html)), ITEM)).alias("pos", "item")
-    return pages.select(page_id, items).select(
+    """One row per list item, with its position in the page; a nested item has its own row."""
+    shown = pages.select(page_id, visible(F.col(html)).alias("_shown"))
+    found = shown.select(page_id, "_shown", _all(F.col("_shown"), ITEM).alias("_found"))
+    nested = F.exists("_found", lambda item: item.rlike(LIST))
+    items = F.when(nested, _nested_items(F.col("_shown"))).otherwise(F.col("_found"))
+    return found.select(page_id, F.posexplode(items).alias("pos", "item")).select(
         page_id, F.col("pos").cast("long").alias("pos"), plain(F.col("item")).alias("text")
     )
 

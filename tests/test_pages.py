@@ -151,6 +151,16 @@ def test_items(corpus):
     ]
 
 
+def test_nested_items(spark):
+    html = (
+        "<ul>\n <li>a <b>1</b><ol class='x'>\n <li>b</li>\n <li>c<ul><li>d</ul>after d</ol>tail</li>\n"
+        " <li>e<li>f</ul> outside <li>g</li> gone"
+    )
+    frame = spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id int, html string")
+    found = pages.page_items(frame).orderBy("pos").collect()
+    assert [r.text for r in found] == ["a 1\ntail", "b", "c\nafter d", "d", "e", "f", "g"]
+
+
 def test_descriptions(corpus):
     rows = pages.description_rows(corpus).orderBy("pos").collect()
     assert [(r.page_id, r.term, r.text) for r in rows] == [
