@@ -161,7 +161,7 @@ def quality_report(docs: DataFrame) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         "kept",
-        "failed_rules",
+        F.array_join("failed_rules", ",").alias("failed_rules"),
     )
 
 

@@ -87,7 +87,54 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": op10_bpe,
 }
 
+_STOP_WORDS = ", ".join(f"'{word}'" for word in sorted(set(quality.STOP_WORDS)))
+_FOLLOWING = ", ".join(f"lead(word, {step}) OVER of_text" for step in range(1, quality.WINDOW))
+
 LLM_ORACLES: dict[str, str] = {
+    "op6_quality": rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS t FROM documents
+), split AS (
+    SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts
+), placed AS (
+    SELECT nr, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM split
+), windows AS (
+    SELECT nr, place, concat_ws(' ', word, {_FOLLOWING}) AS content,
+           lead(place, {quality.WINDOW - 1}) OVER of_text AS until
+    FROM placed WINDOW of_text AS (PARTITION BY nr ORDER BY place)
+), repeated AS (
+    SELECT nr, place FROM (
+        SELECT nr, place, count(*) OVER (PARTITION BY nr, content) AS n FROM windows WHERE until IS NOT NULL)
+    WHERE n > 1
+), covered AS (
+    SELECT nr, sum(least({quality.WINDOW}, coalesce(following - place, {quality.WINDOW}))) AS n
+    FROM (SELECT nr, place, lead(place) OVER (PARTITION BY nr ORDER BY place) AS following FROM repeated)
+    GROUP BY nr
+), measured AS (
+    SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+           length(regexp_replace(t, '\P{{L}}+', '', 'g')) AS n_letters,
+           len(list_filter(words, lambda x: lower(x) IN ({_STOP_WORDS}))) AS n_stop_words
+    FROM split LEFT JOIN covered USING (nr)
+), judged AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+           concat_ws(',',
+               CASE WHEN word_chars / greatest(n_words, 1) NOT BETWEEN 2 AND 15 THEN 'mean_word_length' END,
+               CASE WHEN n_symbols / greatest(n_words, 1) > 0.2::DOUBLE THEN 'symbol_ratio' END,
+               CASE WHEN n_letters / greatest(word_chars, 1) < 0.5::DOUBLE THEN 'letter_ratio' END,
+               CASE WHEN n_stop_words / greatest(n_words, 1) < 0.02::DOUBLE THEN 'stop_word_ratio' END,
+               CASE WHEN n_dup_lines / greatest(n_lines, 1) > 0.3::DOUBLE THEN 'duplicate_line_ratio' END
+           ) AS failed_rules
+    FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed_rules = '' AS kept, failed_rules
+FROM judged
+""",
     "op4_top_k": """
 WITH usable AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT::DOUBLE) AS x
