@@ -90,9 +90,44 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _STOP_WORDS = ", ".join(f"'{word}'" for word in sorted(set(quality.STOP_WORDS)))
 _FOLLOWING = ", ".join(f"lead(word, {step}) OVER of_text" for step in range(1, quality.WINDOW))
 
+
+def _matches(place: int, rule: secret_scan.Rule) -> str:
+    """The matches of a rule; what stands between and in the earlier ones gives the starts."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+    SELECT nr, {place} AS place, '{rule.kind}' AS kind, length(whole[i]) AS size,
+           list_sum(list_transform(between_[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM (
+        SELECT nr, regexp_extract_all(t, '{pattern}') AS whole,
+               regexp_extract_all(t, '{pattern}', {rule.group}) AS part,
+               string_split_regex(t, '{pattern}') AS between_ FROM texts))
+    WHERE length(part[i]) >= {rule.least}"""
+
+
+_SECRETS = " UNION ALL ".join(_matches(i, rule) for i, rule in enumerate(secret_scan.RULES))
+_BASE = ", ".join(f"'{rule.kind}'" for rule in secret_scan.RULES if rule.base)
+
 LLM_ORACLES: dict[str, str] = {
+    "op9_secrets": rf"""
+WITH texts AS MATERIALIZED (
+    SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS t FROM documents
+), found AS ({_SECRETS}
+), named AS (
+    SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + size AS BIGINT) AS span FROM found
+), joined AS (
+    SELECT nr, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(span, ',' ORDER BY start, place) FILTER (kind IN ({_BASE})) AS base,
+           string_agg(span, ',' ORDER BY start, place) AS spans
+    FROM named GROUP BY nr
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (nr)
+""",
     "op6_quality": rf"""
-WITH texts AS (
+WITH texts AS MATERIALIZED (
     SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS t FROM documents
 ), split AS (
     SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
