@@ -37,6 +37,17 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
+# A key reaches from its first line to its last one, or, if that is missing, over the base64
+# run: up to its last 32 characters in a row, and one shorter word that is not only letters.
+# There is no repeated group, so a match needs no deep stack, and no body goes past a hyphen,
+# so many first lines without a last one are read once.
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"(?:[\x20\t\r\n\\]*n?Proc-Type:\x20*[0-9]+,[A-Z-]+[\x20\t\r\n\\]*n?DEK-Info:\x20*[A-Z0-9-]+,[0-9A-Fa-f]+)?"
+    r"(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:[A-Za-z0-9+/\x20\t\r\n\\]*[A-Za-z0-9+/]{32}=*)?"
+    r"(?:[\x20\t\r\n\\]+[A-Za-z]*[0-9+/=][A-Za-z0-9+/=]*)?)"
+)
 
 
 @dataclass(frozen=True)
@@ -54,7 +65,7 @@ RULES = (
     Rule("assign", ASSIGN, group=2, least=6, base=True),
     Rule("access", ACCESS, base=True),
     Rule("hex", HEX, base=True),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY),
     Rule("slack", r"xox[baprs]-[0-9A-Za-z-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36}"),
