@@ -5,9 +5,10 @@ least ``SIMILARITY``. At that similarity fingerprints of 64 bits differ in about
 more than buckets of equal blocks can find. So candidates come from bands of minimum hashes:
 ``BANDS`` bands of ``ROWS_OF_BAND`` miss a pair at the threshold once in 4,000 times, and
 closer pairs far less often. All documents that share a band, directly or in steps, form a
-candidate group. Within a group, fingerprints are compared in bit-sliced form with a wide
-radius, and the pairs that are left are decided by their whole sets of shingles, unless they
-are already connected.
+candidate group. Within a group, pairs that share a band or whose fingerprints are near are decided by
+their whole sets of shingles, unless they are already connected. Fingerprints, of distinct
+shingles as the sets are, only give the order: near ones come first, in bit-sliced form, so
+that most of the others are connected by then.
 
 Exact copies are one candidate. A large group is cut into slices by number and by bytes, and
 each pair of slices is a task's group, so no task holds a group of unbounded size. Links are
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.links import components
 from daybook.llm.saving import saved
-from daybook.llm.simhash import fingerprint_of, near_pairs, shingle_hashes
+from daybook.llm.simhash import SHINGLES_AT_ONCE, fingerprint_of, near_pairs, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -51,14 +52,15 @@ def sketch(text: str | None) -> tuple[int, list[int]]:
     parts = list(shingle_hashes(text, SHINGLE))
     if not parts:
         return 0, []
+    distinct = np.unique(np.concatenate(parts))
     least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for part in parts:
-        for start in range(0, len(part), HASHES_AT_ONCE):
-            ordered = part[start : start + HASHES_AT_ONCE] * FACTORS[:, None]
-            least = np.minimum(least, ordered.min(axis=1))
+    for start in range(0, len(distinct), HASHES_AT_ONCE):
+        ordered = distinct[start : start + HASHES_AT_ONCE] * FACTORS[:, None]
+        least = np.minimum(least, ordered.min(axis=1))
     bands = least.reshape(BANDS, ROWS_OF_BAND)
     keys = [xxhash.xxh64_intdigest(band.tobytes(), i) - (1 << 63) for i, band in enumerate(bands)]
-    return fingerprint_of(iter(parts)), keys
+    prints = (distinct[i : i + SHINGLES_AT_ONCE] for i in range(0, len(distinct), SHINGLES_AT_ONCE))
+    return fingerprint_of(prints), keys
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,31 +86,54 @@ def alike(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(one) + len(other) - both)
 
 
+def band_pairs(
+    prints: np.ndarray, bands: np.ndarray, label: np.ndarray
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows and the later rows of their bands, the nearest first, that are not yet connected.
+
+    Pairs within ``NEAR_BITS`` or with an equal band before this one are not given again.
+    ``label`` is read when a row is due.
+    """
+    for place in range(bands.shape[1]):
+        order = np.argsort(bands[:, place], kind="stable")
+        key = bands[order, place]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        for start, stop in zip(starts, np.r_[starts[1:], len(key)]):
+            for at in range(start, stop - 1):
+                row, later = order[at], order[at + 1 : stop]
+                later = later[label[later] != label[row]]
+                distance = np.bitwise_count(prints[later] ^ prints[row])
+                before = (bands[later, :place] == bands[row, :place]).any(axis=1)
+                due = (distance > NEAR_BITS) & ~before
+                if due.any():
+                    yield int(row), later[due][np.argsort(distance[due], kind="stable")]
+
+
 def verified_links(
-    nodes: np.ndarray, prints: np.ndarray, texts: list[str], similarity: float
+    nodes: np.ndarray, prints: np.ndarray, bands: np.ndarray, texts: list[str], similarity: float
 ) -> list[tuple[int, int]]:
-    """Links that connect the texts that are alike."""
-    above = list(range(len(nodes)))
+    """Links that connect the texts that are alike and share a band or have near fingerprints."""
+    label = np.arange(len(nodes))
     sets: dict[int, np.ndarray] = {}
 
-    def top(x: int) -> int:
-        while above[x] != x:
-            above[x] = above[above[x]]
-            x = above[x]
-        return x
-
     def shingles(x: int) -> np.ndarray:
         if x not in sets:
             sets[x] = np.unique(np.concatenate(list(shingle_hashes(texts[x], SHINGLE))))
         return sets[x]
 
     links = []
+
+    def decide(a: int, b: int) -> None:
+        if label[a] != label[b] and alike(shingles(a), shingles(b), similarity):
+            label[label == label[b]] = label[a]
+            links.append((int(nodes[a]), int(nodes[b])))
+
     for one, other in near_pairs(np.zeros(len(nodes), np.int64), prints, NEAR_BITS):
         for a, b in zip(one.tolist(), other.tolist()):
-            root, low = top(a), top(b)
-            if root != low and alike(shingles(a), shingles(b), similarity):
-                above[low] = root
-                links.append((int(nodes[a]), int(nodes[b])))
+            decide(a, b)
+    for a, later in band_pairs(prints, bands, label):
+        for b in later.tolist():
+            decide(a, b)
     return links
 
 
@@ -125,6 +150,7 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
         links = verified_links(
             rows["node"].to_numpy(),
             rows["print"].to_numpy().view(np.uint64),
+            np.array(rows["bands"].to_pylist(), np.int64).reshape(rows.num_rows, -1),
             rows["text"].to_pylist(),
             similarity,
         )
@@ -161,7 +187,7 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     )
     loose = banded.join(bands, "band").select(F.col("node").alias("a"), F.col("least").alias("b"))
     groups = saved(components(loose.filter("a <> b").distinct()), "groups")
-    sized = groups.join(nodes.select("node", "least_id", "print", "bytes"), "node")
+    sized = groups.join(nodes.select("node", "least_id", "print", "bands", "bytes"), "node")
     slices = saved(
         sized.groupBy("root").agg(
             F.greatest(
@@ -171,16 +197,16 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
         "slices",
     )
     members = saved(
-        sized.join(slices, "root").select("node", "root", "print", "slices", "least_id"), "members"
+        sized.join(slices, "root").select("node", "root", "print", "bands", "slices", "least_id"), "members"
     )
     # One text of each node in a group, that of its smallest id: joined by id as well, the
     # copies of a text are not brought together.
     of_least = (keyed["node"] == members["node"]) & keyed["doc_id"].eqNullSafe(members["least_id"])
     texts = (
         keyed.join(members, of_least)
-        .select(members["node"], "root", "print", "slices", "text")
+        .select(members["node"], "root", "print", "bands", "slices", "text")
         .groupBy("node", "root", "print", "slices")
-        .agg(F.min("text").alias("text"))
+        .agg(F.min("text").alias("text"), F.first("bands").alias("bands"))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
     )
     pairs = F.transform(
@@ -189,7 +215,7 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
             F.least(F.col("own"), other).alias("one"), F.greatest(F.col("own"), other).alias("other")
         ),
     )
-    sliced = texts.select("node", "root", "print", "text", F.inline(pairs))
+    sliced = texts.select("node", "root", "print", "bands", "text", F.inline(pairs))
     links = sliced.groupBy("root", "one", "other").applyInArrow(verify, "a bigint, b bigint")
     roots = saved(components(links), "roots").withColumnRenamed("root", "top")
     member = nodes.join(roots, "node", "left").select(

@@ -102,6 +102,24 @@ def test_similar_documents(spark, docs, no_docs):
     assert near_copies.keep_one(no_docs).count() == 0
 
 
+def test_similar_documents_with_repeated_words(spark):
+    random.seed(7)
+    rows = []
+    for i, (size, more) in enumerate([(1000, 300), (3000, 600), (150, 55)] * 4):
+        words = [f"w{random.getrandbits(40)}" for _ in range(size)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + ["-"] * more))]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    groups = dict(near_copies.similar_documents(table).select("doc_id", "component_id").collect())
+    assert groups == {i: i - i % 2 for i, _ in rows}
+
+
+def test_pairs_of_a_band_are_decided_whatever_their_fingerprints():
+    texts = [" ".join(f"w{i}" for i in range(200)), " ".join(f"w{i}" for i in range(198))]
+    prints, bands = np.array([0, 2**64 - 1], np.uint64), np.array([[1, 5], [2, 5]])
+    links = near_copies.verified_links(np.array([7, 8]), prints, bands, texts, 0.8)
+    assert links == [(7, 8)] or links == [(8, 7)]
+
+
 @pytest.mark.parametrize("sizes", [{}, {"chunk_size": 500, "bucket_size": 500, "hot": 2}])
 def test_repeated_passages(docs, no_docs, sizes):
     expected = sorted(brute.repeats([(i, text) for i, text, _, _ in TEXTS]), key=repr)
