@@ -196,6 +196,34 @@ def test_main_text(spark):
     assert wrappers.main_text(table.limit(0)).count() == 0
 
 
+def texts_of(spark, pages):
+    """The main texts of pages of one host, by their places in the list."""
+    rows = [(i, "http://a.example/", page) for i, page in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {row.page_id: row.text for row in wrappers.main_text(table).collect()}
+
+
+def test_texts_of_copies_and_of_odd_pages_stay(spark):
+    story = "<p>The first part of a long story about a river.</p><p>The second part of it.</p>"
+    last = "<p>The end of the story, which only its copies have.</p>"
+    copies = [f"<article>{story}{last}<p>day {i}</p></article>" for i in range(12)]
+    others = [f"<article><p>Page {i} is about the {i}</p></article>" for i in range(8)]
+    texts = texts_of(spark, copies + others)
+    assert texts[3] == "\n\n".join(
+        [
+            "The first part of a long story about a river.",
+            "The second part of it.",
+            "The end of the story, which only its copies have.",
+            "day 3",
+        ]
+    )
+    notes = ["Call us", *["All rights kept"] * 19]
+    pages = [f"<article><p>Page {i} is about the {i}</p><p>{x}</p></article>" for i, x in enumerate(notes)]
+    texts = texts_of(spark, pages)
+    assert texts[0] == "Page 0 is about the 0\n\nCall us"
+    assert texts[1] == "Page 1 is about the 1"
+
+
 def test_tree_matching_with_deep_and_broken_pages():
     deep = wrappers.Tree("<div>" * 500 + "x" + "</p>" * 3)
     other = wrappers.Tree("<div>" * 400 + "y<p>z")
