@@ -224,6 +224,26 @@ def test_texts_of_copies_and_of_odd_pages_stay(spark):
     assert texts[1] == "Page 1 is about the 1"
 
 
+def test_templates_that_one_page_lacks(spark):
+    words = [f"Page {i} is about the {i} and what belongs to it" for i in range(40)]
+    promo = "<p>Win a journey to the sea</p>"
+    pages = [f"<article><p>{x}</p>{promo * (i % 2)}<p>End {i}</p></article>" for i, x in enumerate(words)]
+    texts = texts_of(spark, ["", "<p>Not found</p>", *pages])
+    assert all(texts[i + 2] == f"{x}\n\nEnd {i}" for i, x in enumerate(words))
+    one = [f"<div class=a><p>{x}</p><p>First kind</p></div>" for x in words[:30]]
+    two = [f"<table><tr><td>{x}<td>Second kind</table>" for x in words[30:]]
+    texts = texts_of(spark, one + two)
+    assert [texts[i] for i in range(40)] == words
+
+
+def test_many_copies_are_one_page(spark):
+    story = "<p>The first part of a long story about a river.</p><p>The second part of it.</p>"
+    copies = [f"<article>{story}<p>day {i}</p></article>" for i in range(60)]
+    others = [f"<article><p>Page {i} is about the {i}</p></article>" for i in range(5)]
+    texts = texts_of(spark, copies + others)
+    assert texts[0] == "The first part of a long story about a river.\n\nThe second part of it.\n\nday 0"
+
+
 def test_tree_matching_with_deep_and_broken_pages():
     deep = wrappers.Tree("<div>" * 500 + "x" + "</p>" * 3)
     other = wrappers.Tree("<div>" * 400 + "y<p>z")
