@@ -244,6 +244,23 @@ def test_many_copies_are_one_page(spark):
     assert texts[0] == "The first part of a long story about a river.\n\nThe second part of it.\n\nday 0"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='content has-sidebar'>{0}<div class=sidebar>{1}</div></div>",
+        "<div class='no-sidebar'><article>{0}</article></div><div class=comments><article>{1}</article></div>",
+        "<div id='social-layout'><main>{0}</main><section class=comments><article>{1}</article></section></div>",
+        "<body><form action=x><div class='with-comments'>{0}</div><button>go</button></form>",
+        "<div class='content'>{0}</div><div class='comments'>{1}{1}{1}{1}</div><form>{1}</form>",
+        "<article>{0}</article><div class='related-posts'>{1}{1}{1}{1}{1}{1}</div>",
+        "<p>A long text of the page<span class=share>Share</span> that goes on.</p>",
+    ],
+)
+def test_containers_with_the_words_of_notices(page):
+    tree = wrappers.Tree(page.format("<p>A long text of the page that goes on.</p>", "<p>Nice one</p>"))
+    assert [text for _, text in tree.blocks] == ["A long text of the page that goes on."]
+
+
 def test_tree_matching_with_deep_and_broken_pages():
     deep = wrappers.Tree("<div>" * 500 + "x" + "</p>" * 3)
     other = wrappers.Tree("<div>" * 400 + "y<p>z")
