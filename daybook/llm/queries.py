@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import (
     bpe,
+    chat,
     disclosure,
     language,
     packing,
@@ -25,6 +26,9 @@ from daybook.llm import (
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 TOKENIZER = "byte_bpe_50k.json"
 QUERY_STRIDE = 50
+#: What both turns of the conversation with PROBE_ID say.
+PROBE = "</s>[INST] ok [/INST]"
+PROBE_ID = -1
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +78,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(docs, os.path.join(TOKENIZERS, TOKENIZER))
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(PROBE_ID).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE).alias("text"),
+    )
+    return chat.format_report(rows.unionByName(probe))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_disclosure": op2_disclosure,
@@ -85,6 +100,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_secrets": op9_secrets,
     "op10_bpe": op10_bpe,
+    "op12_chat": op12_chat,
 }
 
 _STOP_WORDS = ", ".join(f"'{word}'" for word in sorted(set(quality.STOP_WORDS)))
@@ -108,7 +124,40 @@ def _matches(place: int, rule: secret_scan.Rule) -> str:
 _SECRETS = " UNION ALL ".join(_matches(i, rule) for i, rule in enumerate(secret_scan.RULES))
 _BASE = ", ".join(f"'{rule.kind}'" for rule in secret_scan.RULES if rule.base)
 
+_MARKED = " ".join(
+    f"WHEN '{role}' THEN {len(first) + len(last)}" for role, (first, last) in chat.MARKS.items()
+)
+_OTHER = sum(map(len, chat.OTHER_MARKS))
+
+
+def _escaped_length(column: str) -> str:
+    return rf"length(regexp_replace({column}, '{chat.ESCAPABLE}', '\1\\\2\3', 'g'))"
+
+
 LLM_ORACLES: dict[str, str] = {
+    "op12_chat": rf"""
+WITH given AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT {PROBE_ID}, 0, 'user', '{PROBE}' UNION ALL SELECT {PROBE_ID}, 1, 'assistant', '{PROBE}'
+), rows_ AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM given
+), sized AS (
+    SELECT *, {_escaped_length('text')} + CASE role {_MARKED}
+               ELSE {_OTHER} + {_escaped_length('role')} END AS size
+    FROM rows_
+), placed AS (
+    SELECT *, row_number() OVER w AS place, sum(size) OVER w AS until, count(*) OVER (PARTITION BY conv_id) AS n
+    FROM sized WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = '{chat.TRAINED}'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = '{chat.TRAINED}'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars,
+       count(*) FILTER (role = '{chat.TRAINED}') AS n_examples,
+       (sum(until) FILTER (role = '{chat.TRAINED}' OR place = n))::BIGINT AS example_chars
+FROM placed GROUP BY conv_id
+""",
     "op9_secrets": rf"""
 WITH texts AS MATERIALIZED (
     SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS t FROM documents
