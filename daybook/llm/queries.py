@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from daybook.llm import (
     chat,
     disclosure,
     language,
+    lexical,
     packing,
     quality,
     secret_scan,
@@ -89,6 +91,10 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_report(rows.unionByName(probe))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_disclosure": op2_disclosure,
@@ -101,6 +107,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_bpe": op10_bpe,
     "op12_chat": op12_chat,
+    "op13_lexical": op13_lexical,
 }
 
 _STOP_WORDS = ", ".join(f"'{word}'" for word in sorted(set(quality.STOP_WORDS)))
@@ -134,7 +141,42 @@ def _escaped_length(column: str) -> str:
     return rf"length(regexp_replace({column}, '{chat.ESCAPABLE}', '\1\\\2\3', 'g'))"
 
 
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_NO_TERM = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
+
 LLM_ORACLES: dict[str, str] = {
+    "op13_lexical": rf"""
+WITH texts AS MATERIALIZED (
+    SELECT nr, doc_id, unnest(regexp_extract_all(translate(t, '{_UPPER}', '{_LOWER}'), '[^{_NO_TERM}]+')) AS term
+    FROM (SELECT row_number() OVER () AS nr, doc_id, text AS t FROM documents)
+), asked AS MATERIALIZED (
+    SELECT place, item_id, term, count(*) AS times
+    FROM (SELECT place, item_id, unnest(regexp_extract_all(translate(t, '{_UPPER}', '{_LOWER}'), '[^{_NO_TERM}]+')) AS term
+          FROM (SELECT row_number() OVER () AS place, * FROM (SELECT DISTINCT item_id, text AS t FROM benchmark)))
+    GROUP BY ALL
+), sizes AS (
+    SELECT nr, count(*) AS n FROM texts GROUP BY nr
+), total AS (
+    SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes
+), held AS (
+    SELECT nr, doc_id, term, count(*) AS tf FROM texts
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM held, total GROUP BY term, docs
+), impacts AS (
+    SELECT nr, doc_id, term,
+           w * ((1000000000 * tf) // (1000 * tf + 8 * ({100 - lexical.LENGTH_PART} + ({lexical.LENGTH_PART} * n * docs) // terms))) AS impact
+    FROM held JOIN weights USING (term) JOIN sizes USING (nr), total
+), scored AS (
+    SELECT place, item_id, nr, doc_id, sum(times * impact)::BIGINT AS score
+    FROM asked JOIN impacts USING (term) GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, doc_id NULLS LAST) AS spot
+    FROM scored WHERE score > 0
+)
+SELECT item_id, spot::INTEGER AS "rank", doc_id, score FROM ranked WHERE spot <= {lexical.K}
+""",
     "op12_chat": rf"""
 WITH given AS (
     SELECT conv_id, turn, role, text FROM conversations
