@@ -21,6 +21,7 @@ from daybook.llm import (
     simhash,
     suffixes,
     top_k,
+    turns,
     wrappers,
 )
 
@@ -80,6 +81,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(docs, os.path.join(TOKENIZERS, TOKENIZER))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return turns.repair_report(turns.damaged(conversations), conversations)
+
+
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -106,6 +112,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_secrets": op9_secrets,
     "op10_bpe": op10_bpe,
+    "op11_repair": op11_repair,
     "op12_chat": op12_chat,
     "op13_lexical": op13_lexical,
 }

@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in LLM_QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in LLM_QUERIES}
     assert {*LLM_QUERIES, "pipeline"} <= set(queries())
     assert set(LLM_ORACLES) <= set(oracle_sql())
 
