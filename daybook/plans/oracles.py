@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from daybook.functions.choices import CITY_NOT_FOUND, NO_TEMPERATURE, OK, WEATHER_UNAVAILABLE
 from daybook.operators.rules import GREATER_THAN_MESSAGE, HELP_ADDRESS, NON_EMPTY_MESSAGE
-from daybook.plans.queries import CALENDAR_MONTHS, MISSING_FROM
+from daybook.plans.queries import ARRIVALS, CALENDAR_MONTHS, DELAY, GAP, MISSING_FROM, SLIDE, WIDE
 from daybook.operators.texts import LINES_PER_PART
 
 _FAILED_RULES = f"""
@@ -125,6 +125,17 @@ _PART = "SELECT p_partkey AS page_id, p_brand, p_type, p_size, p_size % 3 + 1 AS
 
 _RAW_ROWS = f"{_RAW_SALES} SELECT region, category, amount, month FROM raw"
 
+_ARRIVED = f"""
+WITH marks AS (
+  SELECT batch, max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - INTERVAL '{DELAY}' AS mark
+  FROM (SELECT event_id % {ARRIVALS} AS batch, max(ts) AS latest FROM events GROUP BY ALL)),
+arrived AS (SELECT events.*, mark IS NOT NULL AND ts <= mark AS late
+  FROM events JOIN marks ON batch = event_id % {ARRIVALS}),
+over AS (SELECT max(ts) - INTERVAL '{DELAY}' AS mark FROM events)"""
+_WINDOW_FIGURES = """count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total"""
+_SHOWN = "'%Y-%m-%d %H:%M:%S'"
+
 ORACLES: dict[str, str] = {
     "accepted_rows": """
 SELECT c_custkey, c_name, c_acctbal AS amount, c_mktsegment FROM customer
@@ -162,6 +173,7 @@ FROM customer
     "json_array_rows": _RAW_ROWS,
     "assigned_array_rows": _RAW_ROWS,
     "array_line_rows": _RAW_ROWS,
+    "split_array_rows": _RAW_ROWS,
     "written_accepted": f"""{_RAW_SALES}
 SELECT month, region, CAST(amount AS DOUBLE) AS amount, category FROM raw
 WHERE length(month) >= 1 AND length(region) >= 1 AND amount > 0
@@ -390,6 +402,27 @@ UNION ALL SELECT page_id, 0, 2, CASE WHEN high > 2 THEN 1 ELSE 0 END, 'third' ||
 """,
     "last_choice_stream": _LAST_CHOICE,
     "late_choice_stream": _LAST_CHOICE,
+    "folded_choice_stream": _LAST_CHOICE,
+    "active_choice_stream": _LAST_CHOICE,
+    "late_events": f"{_ARRIVED} SELECT event_id, user_id FROM arrived WHERE late",
+    "sliding_windows": f"""{_ARRIVED},
+placed AS (SELECT event_type, value,
+    time_bucket(INTERVAL '{SLIDE}', ts, TIMESTAMP '1970-01-01') - i * INTERVAL '{SLIDE}' AS start
+  FROM arrived, range({int(WIDE.split()[0]) // int(SLIDE.split()[0])}) AS t(i) WHERE NOT late)
+SELECT strftime(start, {_SHOWN}) AS start, strftime(start + INTERVAL '{WIDE}', {_SHOWN}) AS "end",
+  event_type, {_WINDOW_FIGURES}
+FROM placed, over WHERE start + INTERVAL '{WIDE}' <= mark GROUP BY start, event_type
+""",
+    "session_windows": f"""{_ARRIVED},
+begun AS (SELECT user_id, ts, value,
+    coalesce(ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL '{GAP}', true) AS begins
+  FROM arrived WHERE NOT late),
+numbered AS (SELECT *, count(*) FILTER (begins) OVER (PARTITION BY user_id ORDER BY ts) AS nr FROM begun),
+sessions AS (SELECT user_id, nr, min(ts) AS start, max(ts) + INTERVAL '{GAP}' AS until, {_WINDOW_FIGURES}
+  FROM numbered GROUP BY user_id, nr)
+SELECT strftime(start, {_SHOWN}) AS start, strftime(until, {_SHOWN}) AS "end", user_id, events, total
+FROM sessions, over WHERE until <= mark
+""",
     "enriched_stream": f"""{_CITIES}
 SELECT event_id, user_id, label,
   CASE WHEN station IS NULL THEN '{CITY_NOT_FOUND}'

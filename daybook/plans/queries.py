@@ -48,6 +48,7 @@ from daybook.sources.literals import CITIES, code_table
 from daybook.sources.payloads import with_coordinates, with_weather
 from daybook.sources.query_strings import param_rows
 from daybook.sources.sales_files import (
+    RAW_ROW_SCHEMA,
     read_array_lines,
     read_assigned_array,
     read_csv,
@@ -57,7 +58,10 @@ from daybook.sources.sales_files import (
     write_accepted,
     write_rejected,
 )
+from daybook.sources.split_arrays import read_split_array
 from daybook.streaming.choices import change_events, run_enriched, run_latest_choice
+from daybook.streaming.quiet_keys import run_latest_choice_of_active_keys
+from daybook.streaming.windows import run_gate, run_windows
 
 MISSING_FROM = 100
 CITY_COUNT = 25
@@ -169,6 +173,15 @@ def array_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_array_lines(spark, _array_files(spark, sf_dir, "", 3))
 
 
+#: Ranges so small that the files of small tables, too, are cut.
+FINE_RANGES = 32 << 10
+
+
+def split_array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _array_files(spark, sf_dir, "sales = [", 1000)
+    return read_split_array(spark, path, RAW_ROW_SCHEMA, FINE_RANGES)
+
+
 def secret_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         "c_custkey", integer_between(F.col("c_custkey"), 1, 50).alias("secret")
@@ -562,6 +575,74 @@ def late_choice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def folded_choice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same out of a store that is folded every other batch."""
+    return run_latest_choice(
+        _arriving_events(spark, sf_dir),
+        ["user_id"],
+        ["event_type", "event_id"],
+        ["ts", "event_id"],
+        shared_folder(spark, "folded-choice"),
+        fold_every=2,
+    )
+
+
+def active_choice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a state that quiet keys leave."""
+    found, _ = run_latest_choice_of_active_keys(
+        _arriving_events(spark, sf_dir),
+        ["user_id"],
+        ["event_type", "event_id"],
+        ["ts", "event_id"],
+        shared_folder(spark, "active-choice"),
+    )
+    return found
+
+
+#: Event-time windows: how late a row may be, and the sizes of the windows.
+DELAY = "6 hours"
+WIDE, SLIDE, GAP = "6 hours", "2 hours", "3 hours"
+
+
+def _arriving_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in several batches, each with events of the whole time."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    arrived = shared_folder(spark, "arrived")
+    for batch in range(ARRIVALS):
+        part = events.filter(F.col("event_id") % ARRIVALS == batch)
+        # A batch is one file; it is the test's unit of arrival.
+        part.coalesce(1).write.mode("append").parquet(arrived)
+    return change_events(spark, arrived, events.schema, files_per_trigger=1)
+
+
+def _closed_windows(spark: SparkSession, sf_dir: str, window, keys: list[str]) -> DataFrame:
+    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")
+    found, _ = run_windows(
+        _arriving_events(spark, sf_dir),
+        "ts",
+        DELAY,
+        window,
+        keys,
+        [F.count("*").alias("events"), total],
+        shared_folder(spark, "windows"),
+    )
+    day = "yyyy-MM-dd HH:mm:ss"
+    return found.withColumn("start", F.date_format("start", day)).withColumn("end", F.date_format("end", day))
+
+
+def sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _closed_windows(spark, sf_dir, F.window("ts", WIDE, SLIDE), ["event_type"])
+
+
+def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _closed_windows(spark, sf_dir, F.session_window("ts", GAP), ["user_id"])
+
+
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, late = run_gate(_arriving_events(spark, sf_dir), "ts", DELAY, shared_folder(spark, "gate"))
+    return late.select("event_id", "user_id")
+
+
 def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One row per nation; made once, not for each batch.
     cities = saved_table(_cities(spark, sf_dir), "cities")
@@ -640,12 +721,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_choice_stream": last_choice_stream,
     "late_choice_stream": late_choice_stream,
     "enriched_stream": enriched_stream,
+    "folded_choice_stream": folded_choice_stream,
+    "active_choice_stream": active_choice_stream,
+    "sliding_windows": sliding_windows,
+    "session_windows": session_windows,
+    "late_events": late_events,
     "sales_by_region": _by("region"),
     "sales_by_category": _by("category"),
     "sales_by_month": _by("month"),
     "json_array_rows": json_array_rows,
     "assigned_array_rows": assigned_array_rows,
     "array_line_rows": array_line_rows,
+    "split_array_rows": split_array_rows,
     "label_lookup_salted": label_lookup_salted,
     "observed_value_cut": observed_value_cut,
     "attempts_to_purchase_cut": attempts_to_purchase_cut,

@@ -2,18 +2,20 @@
 
 Rows may arrive in any order: the event time decides which choice is the latest, so a late
 row never overwrites a newer one. There is no watermark, because it would drop late rows
-and forget the choices of quiet keys.
+and forget the choices of quiet keys. ``quiet_keys.py`` bounds the state without a loss,
+``windows.py`` has windows with a watermark and a table of late rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from daybook.operators.latest import latest_value
+from daybook.streaming.folds import FOLD_EVERY, FoldedChanges, read_or_none
 
 
 def change_events(
@@ -26,31 +28,19 @@ def change_events(
     return reader.parquet(path)
 
 
-def _run(rows: DataFrame, mode: str, save: Callable[[DataFrame, str], None], folder: str) -> str:
-    """Take in what has arrived; give the folder in which the batches were saved."""
-    saved = f"{folder}/batches"
-
-    def save_batch(batch: DataFrame, number: int) -> None:
-        save(batch, f"{saved}/batch={number}")
-
+def run_batches(
+    rows: DataFrame, mode: str, save: Callable[[DataFrame, int], None], folder: str
+) -> StreamingQuery:
+    """Take in what has arrived, batch by batch."""
     query = (
         rows.writeStream.outputMode(mode)
-        .foreachBatch(save_batch)
+        .foreachBatch(save)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return saved
-
-
-def _read_back(spark: SparkSession, saved: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(saved).drop("batch")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return query
 
 
 def run_latest_choice(
@@ -59,22 +49,26 @@ def run_latest_choice(
     values: Sequence[str],
     order: Sequence[str],
     folder: str,
+    fold_every: int = FOLD_EVERY,
 ) -> DataFrame:
     """Take in what has arrived and give the latest values per key.
 
     The state holds one row per key. Each batch saves only the keys that changed, under its
-    own number, so a repeated batch replaces itself. ``folder`` must be shared storage; a
-    further run with the same folder goes on where the last one stopped.
+    own number, so a repeated batch replaces itself; saved batches are folded into snapshots.
+    ``folder`` must be shared storage; a further run with the same folder goes on where the
+    last one stopped.
     """
     kept = [*values, *[name for name in order if name not in values]]
     latest = latest_value(changes, keys, kept, order)
-
-    def save(batch: DataFrame, path: str) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    saved = _run(latest, "update", save, folder)
-    history = _read_back(changes.sparkSession, saved, latest.schema)
-    return latest_value(history, keys, values, order)
+    store = FoldedChanges(
+        changes.sparkSession,
+        folder,
+        latest.schema,
+        lambda rows: latest_value(rows, keys, kept, order),
+        fold_every,
+    )
+    run_batches(latest, "update", store.save, folder)
+    return store.read().select(*keys, *values)
 
 
 def run_enriched(
@@ -86,10 +80,11 @@ def run_enriched(
     like those of any other table.
     """
 
-    def save(batch: DataFrame, path: str) -> None:
-        enrich(batch).write.mode("overwrite").parquet(path)
+    def save(batch: DataFrame, number: int) -> None:
+        enrich(batch).write.mode("overwrite").parquet(f"{folder}/batches/batch={number}")
 
-    saved = _run(changes, "append", save, folder)
+    run_batches(changes, "append", save, folder)
     spark = changes.sparkSession
     schema = enrich(spark.createDataFrame([], changes.schema)).schema
-    return _read_back(spark, saved, schema)
+    saved = read_or_none(spark, f"{folder}/batches", schema)
+    return spark.createDataFrame([], schema) if saved is None else saved.drop("batch")
