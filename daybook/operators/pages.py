@@ -36,6 +36,8 @@ ITEM = r"(?is)<li(?:\s[^>]*)?>(.*?)(?=</li\s*>|<li[\s>]|</[uo]l\s*>|\z)"
 LIST = r"(?i)<[uo]l[\s>]"
 LIST_MARK = r"(?i)^</?(?:li|[uo]l)(?=[\s>])"
 BEFORE_LIST_MARK = r"(?i)(?=</?(?:li|[uo]l)[\s>])"
+# Stands in no page: HTML leaves this sign out.
+BETWEEN_ITEMS = "\0"
 TERM = r"(?is)<dt(?:\s[^>]*)?>(.*?)(?=</dt\s*>|<d[td][\s>]|</dl\s*>|\z)(.*?)(?=<dt[\s>]|</dl\s*>|\z)"
 TERM_TEXT = r"(?is)<dd(?:\s[^>]*)?>(.*?)(?=</dd\s*>|<dd[\s>]|\z)"
 BEFORE_HEADING = r"(?i)(?=<h2[\s>])"
@@ -173,43 +175,95 @@ def inlinks(
     return within.groupBy("target").agg(F.count("*").alias("links"))
 
 
-def _nested_items(shown: Column) -> Column:
-    """The markup of each list item where items hold lists.
+def _owners(pieces: Column) -> Column:
+    """For each piece of markup the number of the list item that it belongs to, or -1.
 
-    ``open`` has for each open list the number of its open item, or -1. Text after an inner
-    list belongs to the item around it, on a line of its own.
+    ``open`` has for each open list the item that text in it belongs to: its own open item,
+    else that of the list around it. Numbers are gathered in chunks, so that no step copies
+    all that came before it.
     """
 
     def add(state: Column, piece: Column) -> Column:
-        items, held = state["items"], state["open"]
-        mark = F.lower(F.regexp_extract(piece, LIST_MARK, 0))
+        held = state["open"]
         outer = F.slice(held, 1, F.size(held) - 1)
-        now_open = (
-            F.when(mark.isin("<ul", "<ol"), F.concat(held, F.array(F.lit(-1))))
-            .when(mark.isin("</ul", "</ol") & (F.size(held) > 1), outer)
-            .when(mark == "<li", F.concat(outer, F.array(F.size(items))))
-            .when(mark != "", F.concat(outer, F.array(F.lit(-1))))
-            .otherwise(held)
-        )
-        more = F.transform(
-            items,
-            lambda item, number: F.when(
-                number == F.array_max(now_open), F.concat(item, F.lit("\n"), piece)
-            ).otherwise(item),
-        )
-        return F.struct(
-            F.when(mark == "<li", F.concat(items, F.array(piece)))
-            .when(plain(piece) != "", more)
-            .otherwise(items)
-            .alias("items"),
-            now_open.alias("open"),
+        above = F.coalesce(F.try_element_at(held, F.lit(-2)), F.lit(-1))
+
+        def moved(mark: Column) -> Column:
+            return (
+                F.when(mark.isin("<ul", "<ol"), F.concat(held, F.array(F.element_at(held, -1))))
+                .when(mark.isin("</ul", "</ol") & (F.size(held) > 1), outer)
+                .when(mark == "<li", F.concat(outer, F.array(state["items"])))
+                .when(mark != "", F.concat(outer, F.array(above)))
+                .otherwise(held)
+            )
+
+        def step(mark: Column) -> Column:
+            return let(
+                moved(mark),
+                lambda now: F.struct(
+                    (state["items"] + F.when(mark == "<li", 1).otherwise(0)).alias("items"),
+                    now.alias("open"),
+                    F.concat(state["owners"], F.array(F.element_at(now, -1))).alias("owners"),
+                ),
+            )
+
+        return let(F.lower(F.regexp_extract(piece, LIST_MARK, 0)), step)
+
+    none = F.array().cast("array<int>")
+    width = F.ceil(F.sqrt(F.size(pieces).cast("double"))).cast("int")
+
+    def add_chunk(state: Column, start: Column) -> Column:
+        begun = F.struct(state["items"], state["open"], none.alias("owners"))
+        return let(
+            F.aggregate(F.slice(pieces, start, width), begun, add),
+            lambda done: F.struct(
+                done["items"],
+                done["open"],
+                F.concat(state["chunks"], F.array(done["owners"])).alias("chunks"),
+            ),
         )
 
-    none = F.struct(
-        F.array().cast("array<string>").alias("items"), F.array(F.lit(-1)).alias("open")
+    begun = F.struct(
+        F.lit(0).alias("items"),
+        F.array(F.lit(-1)).alias("open"),
+        F.array().cast("array<array<int>>").alias("chunks"),
     )
-    return F.aggregate(
-        F.split(shown, BEFORE_LIST_MARK), none, add, lambda state: state["items"]
+    starts = F.sequence(F.lit(1), F.size(pieces), width)
+    return F.aggregate(starts, begun, add_chunk, lambda state: F.flatten(state["chunks"]))
+
+
+def _nested_items(shown: Column) -> Column:
+    """The markup of each list item where items hold lists.
+
+    Text after an inner list belongs to the item around it, on a line of its own. The pieces
+    are sorted by item once and joined with a sign between items that no page keeps.
+    """
+
+    def numbered(pieces: Column) -> Column:
+        return F.transform(
+            F.arrays_zip(_owners(pieces).alias("item"), pieces.alias("piece")),
+            lambda x, place: F.struct(x["item"], place.alias("place"), x["piece"]),
+        )
+
+    def kept(x: Column) -> Column:
+        is_item = F.lower(F.regexp_extract(x["piece"], LIST_MARK, 0)) == "<li"
+        return (x["item"] >= 0) & (is_item | (plain(x["piece"]) != ""))
+
+    def joined(rows: Column) -> Column:
+        def with_sign(x: Column, place: Column) -> Column:
+            earlier = F.get(rows, place - 1)["item"]
+            sign = F.when(earlier.isNull(), "").when(earlier == x["item"], "\n").otherwise(BETWEEN_ITEMS)
+            return F.concat(sign, x["piece"])
+
+        return F.array_join(F.transform(rows, with_sign), "")
+
+    pieces = F.split(F.translate(shown, BETWEEN_ITEMS, ""), BEFORE_LIST_MARK)
+    rows = let(pieces, lambda x: F.sort_array(F.filter(numbered(x), kept)))
+    return let(
+        rows,
+        lambda x: F.when(F.size(x) > 0, F.split(joined(x), BETWEEN_ITEMS)).otherwise(
+            F.array().cast("array<string>")
+        ),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from daybook.functions.choices import CITY_NOT_FOUND, NO_TEMPERATURE, OK, WEATHER_UNAVAILABLE
 from daybook.operators.rules import GREATER_THAN_MESSAGE, HELP_ADDRESS, NON_EMPTY_MESSAGE
-from daybook.plans.queries import ARRIVALS, CALENDAR_MONTHS, DELAY, GAP, MISSING_FROM, SLIDE, WIDE
+from daybook.plans.queries import ARRIVALS, CALENDAR_MONTHS, DELAY, GAP, MISSING_FROM, POINTS, SLIDE, WIDE
 from daybook.operators.texts import LINES_PER_PART
 
 _FAILED_RULES = f"""
@@ -136,6 +136,23 @@ over AS (SELECT max(ts) - INTERVAL '{DELAY}' AS mark FROM events)"""
 _WINDOW_FIGURES = """count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total"""
 _SHOWN = "'%Y-%m-%d %H:%M:%S'"
 
+_FACTS = rf"""nullif(regexp_extract(regexp_extract(shown, '(?is)<html(?:\s[^>]*)?>'), '\slang="([^"]*)"', 1), '') AS lang,
+  nullif({_plain("regexp_extract(shown, '(?is)<title(?:\\s[^>]*)?>(.*?)</title>', 1)")}, '') AS title,
+  nullif(regexp_extract(regexp_extract(shown, '(?is)<meta\s[^>]*?name="description"[^>]*>'),
+    '\scontent="([^"]*)"', 1), '') AS description"""
+
+_REJECTS = f"""
+SELECT month, region, amount, category, CAST(len(failed) AS VARCHAR)
+  || CASE WHEN len(failed) = 1 THEN ' validation error for ' ELSE ' validation errors for ' END
+  || 'SalesRecord' || chr(10) || array_to_string(failed, chr(10)) AS error
+FROM (SELECT *, list_filter([
+    CASE WHEN length(month) = 0 THEN {_problem("month", "string_too_short", NON_EMPTY_MESSAGE, "chr(39) || chr(39)", "str")} END,
+    CASE WHEN region IS NULL THEN {_problem("region", "string_too_short", NON_EMPTY_MESSAGE, "'None'", "NoneType")} END,
+    CASE WHEN amount <= 0 THEN {_problem("amount", "greater_than", GREATER_THAN_MESSAGE.format(bound=0), "CAST(amount AS VARCHAR)", "int")} END
+  ], lambda x: x IS NOT NULL) AS failed FROM raw)
+WHERE len(failed) > 0
+"""
+
 ORACLES: dict[str, str] = {
     "accepted_rows": """
 SELECT c_custkey, c_name, c_acctbal AS amount, c_mktsegment FROM customer
@@ -178,16 +195,20 @@ FROM customer
 SELECT month, region, CAST(amount AS DOUBLE) AS amount, category FROM raw
 WHERE length(month) >= 1 AND length(region) >= 1 AND amount > 0
 """,
-    "written_rejects": f"""{_RAW_SALES}
-SELECT month, region, amount, category, CAST(len(failed) AS VARCHAR)
-  || CASE WHEN len(failed) = 1 THEN ' validation error for ' ELSE ' validation errors for ' END
-  || 'SalesRecord' || chr(10) || array_to_string(failed, chr(10)) AS error
-FROM (SELECT *, list_filter([
-    CASE WHEN length(month) = 0 THEN {_problem("month", "string_too_short", NON_EMPTY_MESSAGE, "chr(39) || chr(39)", "str")} END,
-    CASE WHEN region IS NULL THEN {_problem("region", "string_too_short", NON_EMPTY_MESSAGE, "'None'", "NoneType")} END,
-    CASE WHEN amount <= 0 THEN {_problem("amount", "greater_than", GREATER_THAN_MESSAGE.format(bound=0), "CAST(amount AS VARCHAR)", "int")} END
-  ], lambda x: x IS NOT NULL) AS failed FROM raw)
-WHERE len(failed) > 0
+    "written_rejects": f"{_RAW_SALES} {_REJECTS}",
+    "written_split": f"""{_RAW_SALES}
+SELECT month, region, CAST(amount AS DOUBLE) AS amount, category, NULL AS error FROM raw
+WHERE length(month) >= 1 AND length(region) >= 1 AND amount > 0
+UNION ALL SELECT month, region, CAST(amount AS DOUBLE), category, error FROM ({_REJECTS})
+""",
+    "literal_points": f"""
+SELECT user_id, CAST(pos AS INTEGER) AS pos, event_type, CAST(sum(points) AS BIGINT) AS points
+FROM events JOIN (VALUES {", ".join(f"({pos}, '{kind}', {count})" for pos, (kind, count) in enumerate(POINTS))})
+  AS t(pos, event_type, points) USING (event_type) GROUP BY ALL
+""",
+    "page_files": rf"""
+SELECT {_FACTS}, length(html) AS chars
+FROM (SELECT html, {_shown()} AS shown FROM pages)
 """,
     "form_submissions": f"{_SENT} SELECT * FROM sent",
     "form_violations": f"""{_SENT}
@@ -327,11 +348,7 @@ FROM (SELECT l_orderkey, '🌀' || p_name || CAST(CAST(l_quantity AS INT) AS VAR
 GROUP BY 1, 2
 """,
     "page_facts": rf"""
-SELECT page_id,
-  nullif(regexp_extract(regexp_extract(shown, '(?is)<html(?:\s[^>]*)?>'), '\slang="([^"]*)"', 1), '') AS lang,
-  nullif({_plain("regexp_extract(shown, '(?is)<title(?:\\s[^>]*)?>(.*?)</title>', 1)")}, '') AS title,
-  nullif(regexp_extract(regexp_extract(shown, '(?is)<meta\s[^>]*?name="description"[^>]*>'),
-    '\scontent="([^"]*)"', 1), '') AS description
+SELECT page_id, {_FACTS}
 FROM (SELECT page_id, {_shown()} AS shown FROM pages)
 """,
     "page_links": f"SELECT page_id, pos, href, {_KIND} AS kind FROM ({_ANCHORS})",

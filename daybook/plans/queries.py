@@ -44,7 +44,8 @@ from daybook.plans.tables import (
     table,
 )
 from daybook.session import saved_table, shared_folder
-from daybook.sources.literals import CITIES, code_table
+from daybook.sources.literals import CITIES, code_table, item_table
+from daybook.sources.page_files import read_pages
 from daybook.sources.payloads import with_coordinates, with_weather
 from daybook.sources.query_strings import param_rows
 from daybook.sources.sales_files import (
@@ -57,6 +58,7 @@ from daybook.sources.sales_files import (
     sales_rules,
     write_accepted,
     write_rejected,
+    write_split,
 )
 from daybook.sources.split_arrays import read_split_array
 from daybook.streaming.choices import change_events, run_enriched, run_latest_choice
@@ -145,6 +147,15 @@ def written_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rejects(spark, path).select("row.*", "error")
 
 
+def written_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both files of a split, as one table."""
+    good, bad = (shared_folder(spark, name) for name in ("accepted", "rejected"))
+    write_split(_raw_sales(spark, sf_dir), sales_rules(), good, bad)
+    accepted = read_csv(spark, good).withColumn("error", F.lit(None).cast("string"))
+    rejected = read_rejects(spark, bad).select("row.*", "error")
+    return accepted.unionByName(rejected.withColumn("amount", F.col("amount").cast("double")))
+
+
 def _array_files(spark: SparkSession, sf_dir: str, prefix: str, per_line: int) -> str:
     """Raw sales rows as array files: one array per file, or whole records on each line."""
     path = shared_folder(spark, "arrays")
@@ -285,6 +296,17 @@ def city_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What an event of each type counts.
+POINTS = [("click", 1), ("view", 2), ("purchase", 25), ("signup", 10), ("refund", -25)]
+
+
+def literal_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of each user out of a literal table, the types in the order of the literal."""
+    points = F.broadcast(item_table(spark, POINTS, "event_type string, points int"))
+    counted = table(spark, sf_dir, "events").join(points, "event_type")
+    return counted.groupBy("user_id", "pos", "event_type").agg(F.sum("points").alias("points"))
+
+
 def first_match_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     candidates = table(spark, sf_dir, "customer").select(
@@ -504,6 +526,17 @@ def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_items(table(spark, sf_dir, "pages"))
 
 
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of pages that stand in files of their own."""
+    path = shared_folder(spark, "page-files")
+    pages_ = table(spark, sf_dir, "pages").select("html")
+    pages_.write.option("maxRecordsPerFile", 1).text(path)
+    found = read_pages(spark, path)
+    facts = pages.page_facts(found, html="html").withColumnRenamed("page_id", "file_id")
+    sized = found.select(F.col("page_id").alias("file_id"), (F.length("html") - 1).cast("bigint").alias("chars"))
+    return facts.join(sized, "file_id").drop("file_id")
+
+
 def site_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_facts(customer_pages(table(spark, sf_dir, "customer")))
 
@@ -687,6 +720,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "error_texts": error_texts,
     "written_accepted": written_accepted,
     "written_rejects": written_rejects,
+    "written_split": written_split,
+    "literal_points": literal_points,
+    "page_files": page_files,
     "score_reasons": score_reasons,
     "secret_numbers": secret_numbers,
     "form_submissions": form_submissions,

@@ -16,6 +16,7 @@ from daybook.operators.rules import (
     greater_than,
     non_empty,
 )
+from daybook.session import shared_folder
 
 SALES_SCHEMA = T.StructType(
     [
@@ -50,6 +51,7 @@ CSV_CELLS = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhi
 # What the reader takes an unquoted empty cell for; no cell can hold it.
 NO_CELL = "\x00"
 SALES_MODEL = "SalesRecord"
+_ACCEPTED = "_accepted"
 ASSIGNMENT_PREFIX = r"^\s*[A-Za-z_]\w*\s*=\s*"
 
 
@@ -224,8 +226,13 @@ def write_split(
 ) -> None:
     """Check sales records and write the accepted and the rejected ones.
 
-    Each sink reads the records and applies the rules, which are narrow, so nothing is kept
-    in between.
+    The source is read and checked once: the checked records are kept in the shared folder,
+    parted by their status, and each sink reads its own part.
     """
-    write_accepted(rows, rules, accepted_path)
-    write_rejected(rows, rules, rejected_path, model)
+    folder = shared_folder(rows.sparkSession, "split")
+    checked = check(rows, rules).withColumn(_ACCEPTED, F.size(VIOLATIONS) == 0)
+    checked.write.partitionBy(_ACCEPTED).parquet(folder)
+    kept = rows.sparkSession.read.schema(checked.schema).parquet(folder)
+    write_csv(as_accepted(kept.filter(_ACCEPTED)), accepted_path)
+    bad = kept.filter(~F.col(_ACCEPTED)).drop(_ACCEPTED)
+    write_rejects(error_report(bad, model), rejected_path)

@@ -161,6 +161,65 @@ def test_nested_items(spark):
     assert [r.text for r in found] == ["a 1\ntail", "b", "c\nafter d", "d", "e", "f", "g"]
 
 
+def plain_items(html):
+    """The same by a stack, one page at a time."""
+    import re
+
+    items, held = [], [-1]
+    for piece in re.split(r"(?i)(?=</?(?:li|[uo]l)[\s>])", html):
+        found = re.match(r"(?i)</?(?:li|[uo]l)(?=[\s>])", piece)
+        mark = found[0].lower() if found else ""
+        if mark in ("<ul", "<ol"):
+            held.append(-1)
+        elif mark in ("</ul", "</ol") and len(held) > 1:
+            held.pop()
+        elif mark == "<li":
+            held[-1] = len(items)
+        elif mark:
+            held[-1] = -1
+        text = re.sub(r"<[^>]*>", "", piece).strip()
+        if mark == "<li":
+            items.append([text])
+        elif text and max(held) >= 0:
+            items[max(held)].append(text)
+    return ["\n".join(item).strip() for item in items]
+
+
+def test_lists_in_lists_equal_a_stack(spark):
+    import random
+
+    rng = random.Random(5)
+    marks = ["<ul>", "</ul>", "<ol class=x>", "</ol>", "<li>", "<li>", "<li a>", "</li>", "t", "<b>w</b>", "u"]
+    htmls = ["<li>first<ul>" + "".join(rng.choice(marks) + (str(i) if rng.random() < 0.4 else "") for i in range(rng.randint(1, 60))) for _ in range(80)]
+    frame = spark.createDataFrame(list(enumerate(htmls)), "page_id int, html string")
+    found = {}
+    for row in pages.page_items(frame).orderBy("page_id", "pos").collect():
+        found.setdefault(row.page_id, []).append(" ".join(row.text.split()))
+    for i, html in enumerate(htmls):
+        if re_list(html):
+            assert found[i] == [" ".join(x.split()) for x in plain_items(html)], html
+
+
+def re_list(html):
+    """Whether an item of the page holds a list, as only then it is read by pieces."""
+    import re
+
+    items = re.findall(r"(?is)<li(?:\s[^>]*)?>.*?(?=</li\s*>|<li[\s>]|</[uo]l\s*>|\Z)", html)
+    return any(re.search(r"(?i)<[uo]l[\s>]", item) for item in items)
+
+
+def test_many_nested_items_are_read_in_time(spark):
+    import time
+
+    html = "<ul>" + "".join(f"<li>a{i}<ul><li>b{i}</li></ul>c{i}</li>" for i in range(4000)) + "</ul>"
+    frame = spark.createDataFrame([(1, html)], "page_id int, html string")
+    pages.page_items(frame.limit(1)).count()
+    start = time.perf_counter()
+    found = [row.text for row in pages.page_items(frame).orderBy("pos").collect()]
+    assert time.perf_counter() - start < 10
+    assert found == [text for i in range(4000) for text in (f"a{i}\nc{i}", f"b{i}")]
+
+
 def test_descriptions(corpus):
     rows = pages.description_rows(corpus).orderBy("pos").collect()
     assert [(r.page_id, r.term, r.text) for r in rows] == [
