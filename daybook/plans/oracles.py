@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from daybook.functions.choices import CITY_NOT_FOUND, NO_TEMPERATURE, OK, WEATHER_UNAVAILABLE
 from daybook.operators.rules import GREATER_THAN_MESSAGE, HELP_ADDRESS, NON_EMPTY_MESSAGE
-from daybook.plans.queries import ARRIVALS, CALENDAR_MONTHS, DELAY, GAP, MISSING_FROM, POINTS, SLIDE, WIDE
+from daybook.plans.queries import (
+    ARRIVALS,
+    CALENDAR_MONTHS,
+    DELAY,
+    GAP,
+    HORIZON,
+    LATENESS,
+    MISSING_FROM,
+    POINTS,
+    SLIDE,
+    WIDE,
+)
 from daybook.operators.texts import LINES_PER_PART
 
 _FAILED_RULES = f"""
@@ -153,6 +164,25 @@ FROM (SELECT *, list_filter([
 WHERE len(failed) > 0
 """
 
+_SIDES = """
+WITH e AS (SELECT CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 7 <> 1 THEN event_id % 400 END AS k,
+    event_id, event_type FROM events),
+s AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 0 WHEN s_suppkey % 7 <> 1 THEN s_suppkey % 300 END AS k,
+    s_suppkey, s_nationkey FROM supplier)"""
+_LINES = """
+WITH lines AS (SELECT l_extendedprice AS price, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem)"""
+_LINE_ORDER = "price, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
+_LATER = """
+WITH later AS (
+  SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 13 = 0 THEN c_acctbal + 1
+      WHEN c_custkey % 31 <> 0 THEN c_acctbal END AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 11 <> 0
+  UNION ALL SELECT c_custkey + 1000000000, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 17 = 0
+  UNION ALL SELECT * FROM customer WHERE c_custkey % 19 = 0),
+net AS (
+  SELECT 'added' AS kind, count(*) AS times, * FROM (SELECT * FROM later EXCEPT ALL SELECT * FROM customer) GROUP BY ALL
+  UNION ALL
+  SELECT 'removed', count(*), * FROM (SELECT * FROM customer EXCEPT ALL SELECT * FROM later) GROUP BY ALL)"""
+
 ORACLES: dict[str, str] = {
     "accepted_rows": """
 SELECT c_custkey, c_name, c_acctbal AS amount, c_mktsegment FROM customer
@@ -448,6 +478,59 @@ SELECT event_id, user_id, label,
   printf('%.4f', latitude) AS latitude_text,
   CASE WHEN event_type <> 'error' AND value < {MISSING_FROM} THEN value END AS temperature
 FROM events LEFT JOIN cities ON city = user_id % 25
+""",
+    "observed_stream": f"""
+WITH v AS (SELECT event_id AS view_id, user_id, ts, value FROM events WHERE event_type = 'view'),
+c AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'click'),
+best AS (SELECT event_id, max(struct_pack(ts := v.ts, view_id := view_id, value := value)) AS b
+  FROM c JOIN v ON c.user_id = v.user_id AND v.ts <= c.ts AND v.ts >= c.ts - INTERVAL '{HORIZON}' GROUP BY event_id)
+SELECT event_id, user_id, b.view_id AS view_id, b.value AS value FROM c LEFT JOIN best USING (event_id)
+WHERE b IS NOT NULL
+  OR ts <= (SELECT least((SELECT max(ts) FROM c), (SELECT max(ts) FROM v))) - INTERVAL '{LATENESS}'
+""",
+    "skewed_pairs": f"{_SIDES} SELECT event_type, s_nationkey, count(*) AS pairs FROM e JOIN s USING (k) GROUP BY ALL",
+    "skewed_full": f"""{_SIDES}
+SELECT coalesce(e.k, s.k) AS k, s_suppkey, count(event_id) AS events, count(*) AS rows
+FROM e FULL JOIN s ON e.k = s.k GROUP BY ALL
+""",
+    "skewed_semi_anti": f"""{_SIDES}
+SELECT event_id, CASE WHEN k IN (SELECT k FROM s WHERE k IS NOT NULL) THEN 'semi' ELSE 'anti' END AS kind FROM e
+""",
+    "interval_overlaps": """
+WITH r AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS begin FROM events)
+SELECT c.user_id, c.event_id AS click_id, v.event_id AS view_id
+FROM r c JOIN r v ON c.user_id = v.user_id AND c.event_type = 'click' AND v.event_type = 'view'
+  AND v.event_id % 4 > 0 AND c.begin < v.begin + v.event_id % 4 * 3600 AND v.begin < c.begin + 3600
+""",
+    "line_numbers": f"{_LINES} SELECT *, row_number() OVER (ORDER BY {_LINE_ORDER}) AS number FROM lines",
+    "line_tiles": f"{_LINES} SELECT *, ntile(7) OVER (ORDER BY {_LINE_ORDER}) AS tile FROM lines",
+    "quantity_ranks": f"""{_LINES}
+SELECT *, rank() OVER w AS "rank", dense_rank() OVER w AS dense_rank,
+  CAST(sum(CAST(price AS DECIMAL(18,2))) OVER w AS DOUBLE) AS total
+FROM lines WINDOW w AS (ORDER BY l_quantity)
+""",
+    "price_ranks": f"""{_LINES}, v AS (SELECT price, count(*) AS rows, sum(l_orderkey) AS amount FROM lines GROUP BY price)
+SELECT price, rows, CAST(sum(rows) OVER w - rows + 1 AS BIGINT) AS "rank", row_number() OVER w AS dense_rank,
+  CAST(sum(amount) OVER w AS BIGINT) AS total
+FROM v WINDOW w AS (ORDER BY price)
+""",
+    "top_quantities": f"""{_LINES}
+SELECT * FROM (SELECT *, rank() OVER (ORDER BY l_quantity DESC) AS "rank" FROM lines) WHERE "rank" <= 10
+""",
+    "snapshot_difference": f"{_LATER} SELECT * FROM net",
+    "snapshot_changes": f"""{_LATER},
+sides AS (SELECT *, sum(times) FILTER (kind = 'added') OVER w AS plus,
+    sum(times) FILTER (kind = 'removed') OVER w AS minus FROM net WINDOW w AS (PARTITION BY c_custkey))
+SELECT 'changed' AS kind, CAST(1 AS BIGINT) AS times, c_custkey, max(c_acctbal) FILTER (kind = 'removed') AS balance_before,
+  max(c_acctbal) FILTER (kind = 'added') AS balance_after
+FROM sides WHERE plus = 1 AND minus = 1 GROUP BY c_custkey
+UNION ALL SELECT kind, times, c_custkey, CASE kind WHEN 'removed' THEN c_acctbal END, CASE kind WHEN 'added' THEN c_acctbal END
+FROM sides WHERE NOT coalesce(plus = 1 AND minus = 1, false)
+""",
+    "sales_sketches": """
+SELECT o_orderpriority AS region, count(*) AS records, count(DISTINCT o_custkey) AS customers,
+  true AS distinct_kept, true AS median_kept, least(3, count(DISTINCT o_custkey)) AS named
+FROM orders GROUP BY o_orderpriority
 """,
     "sales_by_region": _by("region"),
     "sales_by_category": _by("category"),

@@ -16,7 +16,8 @@ from daybook.functions.messages import (
     weather_lines,
 )
 from daybook.functions.numbers import integer_between
-from daybook.operators import forms, pages, rules, sales
+from daybook.operators import forms, global_order, pages, rules, sales, sketches, snapshots
+from daybook.operators.intervals import interval_join
 from daybook.operators.latest import latest_value
 from daybook.operators.lookups import (
     Salting,
@@ -34,6 +35,7 @@ from daybook.operators.scores import (
     score_results,
 )
 from daybook.operators.segments import Cutting
+from daybook.operators.skewed_joins import skewed_join
 from daybook.operators.texts import LINES_PER_PART, item_line, ordered_text
 from daybook.plans.tables import (
     customer_pages,
@@ -61,6 +63,7 @@ from daybook.sources.sales_files import (
     write_split,
 )
 from daybook.sources.split_arrays import read_split_array
+from daybook.streaming.as_of import run_as_of
 from daybook.streaming.choices import change_events, run_enriched, run_latest_choice
 from daybook.streaming.quiet_keys import run_latest_choice_of_active_keys
 from daybook.streaming.windows import run_gate, run_windows
@@ -425,6 +428,157 @@ def enriched_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Joins of large tables
+
+
+def _skewed_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events and suppliers with a key that a third of both have, and NULL keys."""
+
+    def key(number: str, others: int):
+        return F.when(F.col(number) % 3 == 0, 0).when(F.col(number) % 7 != 1, F.col(number) % others)
+
+    events = table(spark, sf_dir, "events").select(key("event_id", 400).alias("k"), "event_id", "event_type")
+    suppliers = table(spark, sf_dir, "supplier").select(key("s_suppkey", 300).alias("k"), "s_suppkey", "s_nationkey")
+    return events, suppliers
+
+
+def skewed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = skewed_join(*_skewed_sides(spark, sf_dir), ["k"], salting=FINE_SALTING)
+    return pairs.groupBy("event_type", "s_nationkey").agg(F.count("*").alias("pairs"))
+
+
+def skewed_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = skewed_join(*_skewed_sides(spark, sf_dir), ["k"], "full", FINE_SALTING)
+    return joined.groupBy("k", "s_suppkey").agg(F.count("event_id").alias("events"), F.count("*").alias("rows"))
+
+
+def skewed_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with and without a supplier."""
+    sides = _skewed_sides(spark, sf_dir)
+    parts = [
+        skewed_join(*sides, ["k"], how, FINE_SALTING).select("event_id", F.lit(how).alias("kind"))
+        for how in ("semi", "anti")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def interval_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks of an hour and views of up to three hours of the same user that overlap."""
+    events = table(spark, sf_dir, "events").withColumn("begin", F.unix_timestamp(F.col("ts").cast("timestamp")))
+    clicks = events.filter(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), F.col("begin").alias("c_from"), (F.col("begin") + 3600).alias("c_to")
+    )
+    views = events.filter(F.col("event_type") == "view").select(
+        "user_id",
+        F.col("event_id").alias("view_id"),
+        F.col("begin").alias("v_from"),
+        (F.col("begin") + F.col("event_id") % 4 * 3600).alias("v_to"),
+    )
+    found = interval_join(
+        clicks, views, ["user_id"], ("c_from", "c_to"), ("v_from", "v_to"), 3600, FINE_SALTING
+    )
+    return found.select("user_id", "click_id", "view_id")
+
+
+# The order of a whole table
+
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = F.col("l_extendedprice").alias("price")
+    return table(spark, sf_dir, "lineitem").select(price, *_LINE)
+
+
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return global_order.row_numbers(_lines(spark, sf_dir), ["price", *_LINE], "number", FINE_CUTTING)
+
+
+def line_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return global_order.tiles(_lines(spark, sf_dir), ["price", *_LINE], 7, "tile", FINE_CUTTING)
+
+
+def quantity_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks by a value that very many rows share, and the running total of another."""
+    lines = _lines(spark, sf_dir).withColumn("amount", F.col("price").cast("decimal(18,2)"))
+    ranked = global_order.ranked_rows(lines, ["l_quantity"], "amount", FINE_CUTTING, FINE_SALTING)
+    return ranked.withColumn("total", F.col("total").cast("double")).drop("amount")
+
+
+def price_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = global_order.value_ranks(_lines(spark, sf_dir), ["price"], "l_orderkey", FINE_CUTTING)
+    return ranks.select("price", "rows", "rank", "dense_rank", "total")
+
+
+def top_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _lines(spark, sf_dir).withColumn("below", -F.col("l_quantity"))
+    return global_order.top_with_ties(lines, ["below"], 10).drop("below")
+
+
+# Snapshots and sketches
+
+
+def _customers_later(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers, and the same after some have gone, come, changed or been repeated."""
+    old = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    kept = old.filter(key % 11 != 0).withColumn(
+        "c_acctbal", F.when(key % 13 == 0, F.col("c_acctbal") + 1).when(key % 31 != 0, F.col("c_acctbal"))
+    )
+    new = old.filter(key % 17 == 0).withColumn("c_custkey", key + 1_000_000_000)
+    repeated = old.filter(key % 19 == 0)
+    return old, kept.unionByName(new).unionByName(repeated)
+
+
+def snapshot_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.difference(*_customers_later(spark, sf_dir), ["c_custkey"], 256)
+
+
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = snapshots.changes(*_customers_later(spark, sf_dir), ["c_custkey"], 256)
+    return found.select(
+        "kind",
+        "times",
+        "c_custkey",
+        F.col("before.c_acctbal").alias("balance_before"),
+        F.col("after.c_acctbal").alias("balance_after"),
+    )
+
+
+def sales_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether sketches of cells, merged by region, keep their bounds against exact figures."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("region"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.col("o_custkey").alias("customer"),
+        F.col("o_totalprice").alias("amount"),
+    )
+    path = shared_folder(spark, "sketches")
+    sketches.sketch_cells(orders, ["region", "month"]).write.parquet(path)
+    merged = sketches.merged_cells(spark.read.parquet(path), ["region"]).select(
+        "region",
+        "records",
+        sketches.distinct_customers().alias("estimate"),
+        sketches.amount_quantile(0.5).alias("median"),
+        F.size(sketches.frequent_customers(3)).alias("named"),
+    )
+    # One row per region; the exact figures read the orders again.
+    kept = F.broadcast(saved_table(merged, "merged"))
+    exact = orders.join(kept, "region").groupBy("region", "records", "estimate", "named").agg(
+        F.count_distinct("customer").alias("customers"),
+        F.avg((F.col("amount") <= F.col("median")).cast("double")).alias("share"),
+    )
+    off = F.abs(F.col("estimate") - F.col("customers")) / F.col("customers")
+    return exact.select(
+        "region",
+        "records",
+        "customers",
+        (off <= sketches.DISTINCT_ERROR).alias("distinct_kept"),
+        (F.abs(F.col("share") - 0.5) <= sketches.RANK_ERROR + 1 / F.col("records")).alias("median_kept"),
+        F.col("named").cast("bigint").alias("named"),
+    )
+
+
 # Aggregates
 
 
@@ -676,6 +830,36 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.select("event_id", "user_id")
 
 
+#: How old an observation may be, and how late either side.
+HORIZON, LATENESS = "2 days", "1 day"
+
+
+def observed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks with the latest view of their user, out of two streams that come day by day."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    paths = {kind: shared_folder(spark, kind) for kind in ("click", "view")}
+    for days in range(0, 31, 8):
+        for kind, path in paths.items():
+            now = F.dayofmonth("ts").between(days, days + 7) & (F.col("event_type") == kind)
+            # A batch is one file; it is the test's unit of arrival.
+            events.filter(now).coalesce(1).write.mode("append").parquet(path)
+    clicks, views = (change_events(spark, paths[kind], events.schema, 1) for kind in ("click", "view"))
+    found = run_as_of(
+        clicks.select("event_id", "user_id", "ts"),
+        views.select(F.col("event_id").alias("view_id"), "user_id", "ts", "value"),
+        ["user_id"],
+        "ts",
+        "event_id",
+        "view_id",
+        ["view_id", "value"],
+        HORIZON,
+        LATENESS,
+        shared_folder(spark, "observed"),
+        fold_every=2,
+    )
+    return found.select("event_id", "user_id", "observed.view_id", "observed.value")
+
+
 def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One row per nation; made once, not for each batch.
     cities = saved_table(_cities(spark, sf_dir), "cities")
@@ -762,6 +946,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sliding_windows": sliding_windows,
     "session_windows": session_windows,
     "late_events": late_events,
+    "observed_stream": observed_stream,
+    "skewed_pairs": skewed_pairs,
+    "skewed_full": skewed_full,
+    "skewed_semi_anti": skewed_semi_anti,
+    "interval_overlaps": interval_overlaps,
+    "line_numbers": line_numbers,
+    "line_tiles": line_tiles,
+    "quantity_ranks": quantity_ranks,
+    "price_ranks": price_ranks,
+    "top_quantities": top_quantities,
+    "snapshot_difference": snapshot_difference,
+    "snapshot_changes": snapshot_changes,
+    "sales_sketches": sales_sketches,
     "sales_by_region": _by("region"),
     "sales_by_category": _by("category"),
     "sales_by_month": _by("month"),
