@@ -1,6 +1,8 @@
 """Operators that compare documents, vectors or pages, against plain counterparts."""
 
+import functools
 import random
+import time
 
 import brute
 import numpy as np
@@ -270,3 +272,73 @@ def test_tree_matching_with_deep_and_broken_pages():
     assert wrappers.Tree('<a title=">" href=x>b</a>').blocks == []
     one, two = wrappers.Tree("<ul><li>a<li>b</ul>"), wrappers.Tree("<ul><li>a<li>n<li>b</ul>")
     assert wrappers.Alignment(one, two).weight(0, 0) == 4
+
+
+def test_headings_of_some_articles_stay(spark):
+    end = "<h2>References</h2><p>Thanks to all who helped</p>"
+    pages = [f"<article><p>Page {i} is about the {i}</p>{end * (i < 6)}</article>" for i in range(20)]
+    texts = texts_of(spark, pages)
+    for i in range(20):
+        rest = "\n\nReferences\n\nThanks to all who helped" * (i < 6)
+        assert texts[i] == f"Page {i} is about the {i}{rest}"
+
+
+DEEP = "<div>" * 60_000
+
+
+@pytest.mark.parametrize(
+    "page, other, least",
+    [
+        (DEEP + "<p>end</p>", DEEP + "<ul><li>x</ul>", 60_000),
+        ("<div><b>" * 100_000 + "x", "<div><b>" * 100_000 + "<p>y", 100_000),
+        ("<a " * 350_000, "<p>x", 0),
+        ("<!" * 350_000, "<p>x", 0),
+        ("<b>" * 20_000 + "</i>" * 20_000, "<b>" * 20_000, 20_000),
+        ("<ul>" * 10_000 + "x" + "</ul>" * 10_000, "<ul>" * 9_000, 9_000),
+        ("<div class=ad>" * 20_000 + "<article><p>inner", "<div class=ad>" * 20_000 + "<article><p>i<p>j", 20_000),
+        (
+            "<table>" + "".join(f"<tr><td>{'<b>' * (i % 9)}x" for i in range(20_000)) + "</table>",
+            "<table>" + "".join(f"<tr><td>{'<i>' * (i % 7)}x" for i in range(20_000)) + "</table>",
+            20_000,
+        ),
+    ],
+)
+def test_deep_broken_and_unlike_pages_end_soon(page, other, least):
+    start = time.perf_counter()
+    trees = wrappers.Tree(other), wrappers.Tree(page)
+    aligned = wrappers.Alignment(*trees).nodes()
+    assert time.perf_counter() - start < 10
+    assert len(aligned) >= least
+    for node, mate in aligned.items():
+        assert trees[1].tags[node] == trees[0].tags[mate]
+        assert not node or aligned[trees[1].above[node]] == trees[0].above[mate]
+
+
+def test_matching_is_the_best_one():
+    """Against all matchings of small trees, tried one by one."""
+    rng = random.Random(3)
+
+    def markup(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return ""
+        return "".join(f"<{tag}>{markup(depth - 1)}</{tag}>" for tag in rng.choices("bius", k=rng.randint(0, 3)))
+
+    def best(one, a, other, b):
+        if one.tags[a] != other.tags[b]:
+            return 0
+
+        @functools.cache
+        def of_lists(i, k):
+            if i == len(one.children[a]) or k == len(other.children[b]):
+                return 0
+            pair = best(one, one.children[a][i], other, other.children[b][k])
+            return max(of_lists(i + 1, k), of_lists(i, k + 1), pair + of_lists(i + 1, k + 1))
+
+        return 1 + of_lists(0, 0)
+
+    for _ in range(150):
+        one, other = wrappers.Tree(markup(4)), wrappers.Tree(markup(4))
+        alignment = wrappers.Alignment(one, other)
+        assert len(alignment.nodes()) == best(one, 0, other, 0) == alignment.weight(0, 0)
+        limited = wrappers.Alignment(one, other, work=2).nodes()
+        assert len(limited) <= best(one, 0, other, 0)
