@@ -1,25 +1,29 @@
 """Personal data, and terms that give it away, by information content.
 
 Protected entities are the personal data that fixed patterns find. How strongly a term
-reveals an entity is estimated from the corpus: with p the share of documents that hold
-something, a term t near an entity e discloses PMI(t; e) = log2(p(t, e) / (p(t) p(e))) bits
-of the -log2 p(e) bits that the entity holds. A term that discloses at least ``GENERALISE``
-of them is replaced by its kind, one that discloses at least ``REMOVE`` of them is removed,
-wherever it stands near that entity (after Sanchez and Batet, "C-sanitized", 2016).
-
-Terms near an entity are the words within ``REACH`` words of it, so their number grows with
-the number of entities and not with its square. Evidence counts documents, all of them: one
-document tells nothing about co-occurrence, so at least ``EVIDENCE`` documents must hold the
-pair. Copies of a text are one piece of evidence, told by the hash of the text.
-
-Counts are summed up per task before they are shuffled. The occurrences of one entity may be
-a third of all: they are joined with the saved pairs, one row each, and adaptive execution
-can split them.
+reveals an entity is estimated from the whole texts of the corpus: with p the share of
+documents that hold something, a term t discloses PMI(t; e) = log2(p(t, e) / (p(t) p(e))) bits
+of the -log2 p(e) bits that the entity e holds. A term that discloses at least ``GENERALISE``
+of them is generalised to its kind, one that discloses at least ``REMOVE`` of them is removed,
+wherever it stands, also in documents without the entity (after Sanchez and Batet,
+"C-sanitized", 2016).
+
+A few documents tell nothing about co-occurrence: at least ``EVIDENCE`` of them must hold the
+pair, and these must be unlike each other, as copies of a text share all of their words. Texts
+that share a band of minimum hashes of five-word shingles, directly or in steps, are one piece
+of evidence; all of their documents count in p.
+
+Not all pairs are formed. Entities without enough texts can't have evidence. For the others a
+term that more documents hold than the bound that follows from the least share can't disclose
+them, however often they meet: so terms are counted first, and only pairs within the bound are
+formed and added up. An entity or term that a third of all documents hold is summed up before
+it is shuffled, and joined as single rows, which adaptive execution can split.
 
 Defined results: a null text is an empty one, without spans. Starts and ends count code
 points. Base spans of one kind don't overlap and are the leftmost ones; a match that fails
-its check is dropped and not tried again. Rows with a null or repeated id have a result
-each. Columns other than doc_id and text don't matter.
+its check is dropped and not tried again. Words in base spans are no terms of a text, but
+count as occurrences of a term elsewhere. Rows with a null or repeated id have a result
+each. A text of any length is read as a whole. Columns other than doc_id and text don't matter.
 """
 
 from __future__ import annotations
@@ -35,15 +39,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.links import components
+from daybook.llm.near_copies import sketch
 from daybook.llm.saving import saved
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 5
 EVIDENCE = 3
 GENERALISE = 0.85
 REMOVE = 0.95
 COUNTED_AT_ONCE = 200_000
-FILTER_BITS = 20
+#: Sets of any size travel to the tasks as filters of 2 ** FILTER_BITS bits.
+FILTER_BITS = 22
+WORDS_REMEMBERED = 500_000
 
 # Fixed patterns of the base kinds. The e-mail pattern is split at its sign, and the others
 # say where a match can begin at all: this gives the same matches in linear time.
@@ -94,100 +101,145 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[tuple]:
-    """(entity, term, start, end) for the words near each span, without the spans themselves."""
-    if not spans:
-        return []
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The places of the words that no span touches."""
     starts = [start for start, _, _ in spans]
-    longest = max(end - start for start, _, end in spans)
-
-    def inside(start: int, end: int) -> bool:
+    longest = max((end - start for start, _, end in spans), default=0)
+    for match in WORD.finditer(text):
+        start, end = match.span()
         at = bisect_left(starts, start - longest)
-        while at < len(spans) and spans[at][0] < end:
-            if spans[at][2] > start:
-                return True
+        while at < len(spans) and starts[at] < end and spans[at][2] <= start:
             at += 1
-        return False
+        if at == len(spans) or starts[at] >= end:
+            yield start, end
 
-    words = [x.span() for x in WORD.finditer(text)]
-    words = [span for span in words if not inside(*span)]
-    places = [start for start, _ in words]
-    found = []
-    for start, kind, end in spans:
-        entity = f"{KINDS[kind]}:{text[start:end].lower()}"
-        at = bisect_left(places, start)
-        for a, b in words[max(0, at - reach) : at + reach]:
-            found.append((entity, text[a:b].lower(), a, b))
-    return found
+
+def terms_of(text: str) -> set[str]:
+    return {word.lower() for word in set(WORD.findall(text))}
 
 
 SPAN = "struct<start:bigint,place:int,end:bigint>"
-CONTEXT = "struct<entity:string,term:string,start:bigint,stop:bigint>"
 SPAN_TYPE = pa.struct([("start", pa.int64()), ("place", pa.int32()), ("end", pa.int64())])
-CONTEXT_TYPE = pa.struct(
-    [("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]
-)
 
 
-def found_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """(row, doc_id, text_hash, spans, contexts) for each row of ``docs``.
+def text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
 
-    ``row`` tells rows apart within this table.
-    """
+
+class Filter:
+    """A set of hashes as bits: lets all of the set through, with others."""
+
+    def __init__(self, hashes: DataFrame):
+        places = hashes.select(F.pmod(hashes.columns[0], F.lit(1 << FILTER_BITS)).cast("int")).distinct()
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        bits[[row[0] for row in places.collect()]] = True
+        packed = np.packbits(bits, bitorder="little")
+        self.shared = hashes.sparkSession.sparkContext.broadcast(packed)
+        self.known: dict[str, bool] = {}
+
+    def __getstate__(self):
+        return {"shared": self.shared, "known": {}}
+
+    def has(self, value: int) -> bool:
+        place = value % (1 << FILTER_BITS)
+        return bool(self.shared.value[place >> 3] >> (place & 7) & 1)
+
+    def has_term(self, term: str) -> bool:
+        """The same for the hash of a term, remembered for some time."""
+        found = self.known.get(term)
+        if found is None:
+            if len(self.known) >= WORDS_REMEMBERED:
+                self.known.clear()
+            found = self.known[term] = self.has(xxhash.xxh64_intdigest(term, 42))
+        return found
+
+
+def found_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, spans, entities) for each row of ``docs``."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, spans, near = [], [], []
-            for value in batch.column(1):
+            spans, entities = [], []
+            for value in batch.column(2):
                 text = value.as_py() or ""
                 own = base_spans(text)
-                hashes.append(xxhash.xxh64_intdigest(text) - (1 << 63))
                 spans.append([dict(zip(("start", "place", "end"), x)) for x in own])
-                near.append(
-                    [
-                        dict(zip(("entity", "term", "start", "stop"), x))
-                        for x in contexts(text, own, reach)
-                    ]
-                )
+                entities.append(sorted({f"{KINDS[kind]}:{text[start:end].lower()}" for start, kind, end in own}))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(hashes, pa.int64()),
+                    batch.column(1),
                     pa.array(spans, pa.list_(SPAN_TYPE)),
-                    pa.array(near, pa.list_(CONTEXT_TYPE)),
+                    pa.array(entities, pa.list_(pa.string())),
                 ],
-                ["doc_id", "text_hash", "spans", "contexts"],
+                ["doc_id", "text_hash", "spans", "entities"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", "text").mapInArrow(
-        of_batches,
-        f"doc_id {kind}, text_hash bigint, spans array<{SPAN}>, contexts array<{CONTEXT}>",
+    found = docs.select("doc_id", text_hash(), "text").mapInArrow(
+        of_batches, f"doc_id {kind}, text_hash bigint, spans array<{SPAN}>, entities array<string>"
+    )
+    return saved(found, "spans")
+
+
+def entity_places(found: DataFrame, evidence: int) -> DataFrame:
+    """(text_hash, entity, n, with_entity): texts of entities that enough texts have.
+
+    ``n`` counts the documents of the text, ``with_entity`` those of the entity.
+    """
+    of_texts = (
+        found.filter(F.size("entities") > 0)
+        .select("text_hash", F.explode("entities").alias("entity"))
+        .groupBy("text_hash", "entity")
+        .agg(F.count("*").alias("n"))
+    )
+    of_texts = saved(of_texts, "entity-texts")
+    several = (
+        of_texts.groupBy("entity")
+        .agg(F.sum("n").alias("with_entity"), F.count("*").alias("texts"))
+        .filter(F.col("texts") >= evidence)
+        .drop("texts")
+    )
+    return saved(of_texts.join(saved(several, "entities"), "entity"), "entity-places")
+
+
+def text_terms(docs: DataFrame, hashes: DataFrame) -> DataFrame:
+    """(text_hash, terms, bands) of the texts with one of the hashes, and of some others."""
+    wanted = Filter(hashes)
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if wanted.has(key):
+                    text = value.as_py() or ""
+                    words = {text[a:b].lower() for a, b in words_outside(text, base_spans(text))}
+                    rows.append((key, sorted(words), sketch(text)[1]))
+            kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)],
+                ["text_hash", "terms", "bands"],
+            )
+
+    found = docs.select(text_hash(), "text").mapInArrow(
+        of_batches, "text_hash bigint, terms array<string>, bands array<bigint>"
     )
-    return saved(found.select(F.monotonically_increasing_id().alias("row"), "*"), "spans")
+    one = found.groupBy("text_hash").agg(F.first("terms").alias("terms"), F.first("bands").alias("bands"))
+    return saved(one, "terms")
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, with_term): in how many documents of the corpus each of the terms occurs.
 
-    Each task adds up its own texts. It passes on what a filter of 2 ** FILTER_BITS bits lets
-    through: the filter's size is fixed, and it lets all of the terms through, with others.
+    Each task adds up its own texts and passes on what a filter lets through.
     """
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    place = F.pmod(F.xxhash64("term"), F.lit(1 << FILTER_BITS)).cast("int")
-    bits[[row[0] for row in terms.select(place).distinct().collect()]] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+    wanted = Filter(terms.select(F.xxhash64("term").alias("hash")))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value, bitorder="little")
         counts: Counter[str] = Counter()
 
         def out() -> pa.RecordBatch:
-            passed = [
-                (term, n)
-                for term, n in counts.items()
-                if wanted[xxhash.xxh64_intdigest(term, 42) % len(wanted)]
-            ]
+            passed = [(term, n) for term, n in counts.items() if wanted.has_term(term)]
             counts.clear()
             return pa.RecordBatch.from_arrays(
                 [
@@ -199,7 +251,7 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                counts.update(set(WORD.findall(text.as_py().lower())))
+                counts.update(terms_of(text.as_py()))
                 if len(counts) > COUNTED_AT_ONCE:
                     yield out()
         yield out()
@@ -210,6 +262,23 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return summed.join(terms.select("term").distinct(), "term", "left_semi")
 
 
+def unlike_texts(terms: DataFrame) -> DataFrame:
+    """(text_hash, alike): texts that share a band, directly or in steps, have one number."""
+    banded = terms.select("text_hash", F.explode("bands").alias("band"))
+    least = saved(
+        banded.groupBy("band")
+        .agg(F.min("text_hash").alias("b"), F.count("*").alias("n"))
+        .filter("n > 1")
+        .select("band", "b"),
+        "bands",
+    )
+    links = banded.join(least, "band").select(F.col("text_hash").alias("a"), "b")
+    groups = components(links).select(F.col("node").alias("text_hash"), "root")
+    return terms.select("text_hash").join(groups, "text_hash", "left").select(
+        "text_hash", F.coalesce("root", "text_hash").alias("alike")
+    )
+
+
 def disclosing_pairs(
     docs: DataFrame,
     found: DataFrame,
@@ -217,37 +286,65 @@ def disclosing_pairs(
     least: float = GENERALISE,
 ) -> DataFrame:
     """(entity, term, share): pairs in which the term discloses at least a share of the entity."""
-    near = found.filter(F.size("contexts") > 0).select(
-        "text_hash",
-        F.inline(
-            F.array_distinct(
-                F.transform("contexts", lambda x: F.struct(x["entity"], x["term"]))
-            )
-        ),
-    )
-    of_texts = near.groupBy("entity", "term", "text_hash").agg(F.count("*").alias("n"))
-    together = saved(
-        of_texts.groupBy("entity", "term")
-        .agg(F.sum("n").alias("together"), F.count("*").alias("texts"))
-        .filter(F.col("texts") >= evidence)
-        .select("entity", "term", "together"),
-        "together",
-    )
-    entities = found.filter(F.size("contexts") > 0).select(
-        F.explode(F.array_distinct(F.transform("contexts", lambda x: x["entity"]))).alias("entity")
-    )
-    of_entity = entities.groupBy("entity").agg(F.count("*").alias("with_entity"))
+    places = entity_places(found, evidence)
+    terms = text_terms(docs, places.select("text_hash").distinct())
+    terms = saved(terms.join(places.select("text_hash").distinct(), "text_hash", "left_semi"), "terms-of-texts")
+    exploded = terms.select("text_hash", F.explode("terms").alias("term"))
     total = found.count()
-    information = F.log2(total / F.col("with_entity"))
+
+    # together <= with_entity, so this is the most documents that a disclosing term can have.
+    bits = F.log2(total / F.col("with_entity"))
+    bound = F.col("with_entity") * F.pow(F.lit(2.0), (1 - least) * bits) * (1 + 1e-9)
+    most = places.agg(F.max(bound)).first()[0] or 0.0
+    counted = term_counts(docs, exploded.select("term").distinct())
+    rare = saved(counted.filter(F.col("with_term").between(evidence, most)), "rare-terms")
+    placed = places.select("*", bound.alias("bound")).join(unlike_texts(terms), "text_hash")
+    pairs = exploded.join(rare, "term").join(placed, "text_hash").filter("with_term <= bound")
+    together = (
+        pairs.groupBy("entity", "term", "with_entity", "with_term", "alike")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("entity", "term", "with_entity", "with_term")
+        .agg(F.sum("n").alias("together"), F.count("*").alias("unlike"))
+        .filter(F.col("unlike") >= evidence)
+    )
     pmi = F.log2(F.col("together") * total / (F.col("with_term") * F.col("with_entity")))
-    share = F.when(information > 0, pmi / information).otherwise(0.0)
-    rated = together.join(of_entity, "entity").join(term_counts(docs, together), "term")
-    return rated.select("entity", "term", share.alias("share")).filter(F.col("share") >= least)
+    share = F.when(bits > 0, pmi / bits).otherwise(0.0)
+    return together.select("entity", "term", share.alias("share")).filter(F.col("share") >= least)
+
+
+def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, start, end, place) of the given terms (term, place), in all texts."""
+    wanted = Filter(terms.select(F.xxhash64("term").alias("hash")))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    hit = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found = [], []
+            for row, value in enumerate(batch.column(2)):
+                text = value.as_py() or ""
+                candidates = {term for term in terms_of(text) if wanted.has_term(term)}
+                if candidates:
+                    outside = words_outside(text, base_spans(text))
+                    named = ((text[a:b].lower(), a, b) for a, b in outside)
+                    rows.append(row)
+                    found.append(
+                        [{"term": term, "start": a, "end": b} for term, a, b in named if term in candidates]
+                    )
+            chosen = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [chosen.column(0), chosen.column(1), pa.array(found, hit)], ["doc_id", "text_hash", "hits"]
+            )
+
+    hits = docs.select("doc_id", text_hash(), "text").mapInArrow(
+        of_batches,
+        f"doc_id {kind}, text_hash bigint, hits array<struct<term:string,start:bigint,end:bigint>>",
+    )
+    return hits.select("doc_id", "text_hash", F.inline("hits")).join(terms, "term").drop("term")
 
 
 def disclosed(
     docs: DataFrame,
-    reach: int = REACH,
     evidence: int = EVIDENCE,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
@@ -256,19 +353,23 @@ def disclosed(
 
     Kinds are those of the base, ``term`` for what is generalised and ``removed``.
     """
-    found = found_spans(docs, reach)
-    pairs = saved(disclosing_pairs(docs, found, evidence, generalise), "pairs")
-    near = found.filter(F.size("contexts") > 0).select("row", F.inline("contexts"))
+    found = found_spans(docs)
     place = F.when(F.col("share") >= remove, len(KINDS) + 1).otherwise(len(KINDS))
-    hits = near.join(pairs, ["entity", "term"]).select(
-        "row", F.struct("start", place.cast("int").alias("place"), F.col("stop").alias("end")).alias("span")
+    # Of a term that discloses several entities the strongest measure counts.
+    marked = (
+        disclosing_pairs(docs, found, evidence, generalise)
+        .groupBy("term")
+        .agg(F.max("share").alias("share"))
+        .select("term", place.cast("int").alias("place"))
     )
-    # Of a term near several entities the strongest measure counts.
+    # Rows with equal id and text have equal places, so they are kept once.
     terms = (
-        hits.groupBy("row", "span.start", "span.end")
-        .agg(F.max("span.place").alias("place"))
-        .groupBy("row")
+        term_places(docs, saved(marked, "marked"))
+        .groupBy("doc_id", "text_hash", "start", "end")
+        .agg(F.max("place").alias("place"))
+        .groupBy("doc_id", "text_hash")
         .agg(F.collect_list(F.struct("start", "place", "end")).alias("terms"))
+        .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     )
     names = F.array(*[F.lit(kind) for kind in (*KINDS, "term", "removed")])
     none = F.array().cast(f"array<{SPAN}>")
@@ -277,7 +378,8 @@ def disclosed(
         every,
         lambda x: F.struct(x["start"], x["place"], F.get(names, x["place"]).alias("kind"), x["end"]),
     )
-    return found.join(terms, "row", "left").select("doc_id", named.alias("spans"))
+    same = found["doc_id"].eqNullSafe(terms["_id"]) & (found["text_hash"] == terms["_hash"])
+    return found.join(terms, same, "left").select("doc_id", named.alias("spans"))
 
 
 def personal_data_report(docs: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Operators that compare documents, vectors or pages, against plain counterparts."""
 
 import functools
+import math
 import random
+import re
 import time
 
 import brute
@@ -35,6 +37,64 @@ def test_disclosing_terms(spark):
     assert texts[12] == rows[6][1]
 
 
+def plain_disclosure(rows, evidence=3, generalise=0.85, remove=0.95):
+    """All spans of texts that are unlike each other, pair by pair."""
+    word = re.compile(r"[^\W\d_]+")
+    names = [kind for kind, *_ in brute.PERSONAL]
+    held, entities, outside = [], [], []
+    for _, text in rows:
+        spans = brute._kinds(text or "", brute.PERSONAL)
+        free = [m.span() for m in word.finditer(text or "") if not any(a < m.end() and m.start() < b for a, _, _, b in spans)]
+        outside.append([(a, b, text[a:b].lower()) for a, b in free])
+        entities.append({(kind, text[a:b].lower()) for a, _, kind, b in spans})
+        held.append({m.lower() for m in word.findall(text or "")})
+    shares = {}
+    for entity in set().union(*entities):
+        mine = [i for i, found in enumerate(entities) if entity in found]
+        bits = math.log2(len(rows) / len(mine))
+        for term in {t for i in mine for *_, t in outside[i]}:
+            both = sum(any(t == term for *_, t in outside[i]) for i in mine)
+            n = sum(term in x for x in held)
+            if both >= evidence and bits > 0:
+                shares[term] = max(shares.get(term, 0), math.log2(both * len(rows) / n / len(mine)) / bits)
+    result = {}
+    for (i, text), places in zip(rows, outside):
+        spans = [(a, p, b) for a, p, _, b in brute._kinds(text or "", brute.PERSONAL)]
+        spans += [(a, len(names) + (shares[t] >= remove), b) for a, b, t in places if shares.get(t, 0) >= generalise]
+        kinds = [*names, "term", "removed"]
+        result[i] = ",".join(f"{kinds[p]}:{a}:{b}" for a, p, b in sorted(spans))
+    return result
+
+
+def test_terms_disclose_at_any_distance(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklm", k=4)) for _ in range(300)]
+
+    def some(count):
+        return " ".join(rng.choices(words, k=count))
+
+    rows = [(i, f"Zorblatt {some(30)} mail x@mail.org now {some(9)} zorblatt") for i in range(6)]
+    rows += [(10 + i, f"{some(25)} Quux{'!' * i} {some(20)} 10.0.0.{1 + i % 2} {some(4)}") for i in range(12)]
+    rows += [(40 + i, f"now {some(40)} mail") for i in range(60)]
+    rows += [(200, f"Zorblatt alone {some(20)}"), (201, None), (202, f"{some(30)} a@b.cd, a@b.cd Quux")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {row.doc_id: row.spans for row in disclosure.personal_data_report(table).collect()}
+    assert found == plain_disclosure(rows)
+    assert all(found[i].count("removed") + found[i].count("term") == 2 for i in range(6))
+    assert "0:8" in found[200]
+
+
+def test_near_copies_are_one_piece_of_evidence(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghijklm", k=6)) for _ in range(4000)]
+    story = rng.sample(words, 80)
+    rows = [(i, " ".join([*story, f"word{i}", "to z@mail.org"])) for i in range(20)]
+    rows += [(100 + i, " ".join(rng.choices(words, k=30))) for i in range(50)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {row.doc_id: row.spans for row in disclosure.personal_data_report(table).collect()}
+    assert all(span.startswith("email") for i in range(20) for span in found[i].split(","))
+
+
 def test_fingerprints_and_groups(docs, no_docs):
     prints = [brute.simhash(text) for _, text, _, _ in TEXTS]
     label = brute.components(len(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
