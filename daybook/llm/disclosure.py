@@ -39,8 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.bands import bands
 from daybook.llm.links import components
-from daybook.llm.near_copies import sketch
 from daybook.llm.saving import saved
 
 KINDS = ("email", "ip", "card", "phone")
@@ -214,7 +214,7 @@ def text_terms(docs: DataFrame, hashes: DataFrame) -> DataFrame:
                 if wanted.has(key):
                     text = value.as_py() or ""
                     words = {text[a:b].lower() for a, b in words_outside(text, base_spans(text))}
-                    rows.append((key, sorted(words), sketch(text)[1]))
+                    rows.append((key, sorted(words), bands(text)))
             kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)],

@@ -280,15 +280,8 @@ def near_links(prints: DataFrame, slice_size: int = SLICE) -> DataFrame:
     return grouped.mapInArrow(_compare, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = SLICE) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for each row of ``docs``.
-
-    ``component_id`` is the smallest id that the document reaches over links of near
-    fingerprints. Null and empty texts have the fingerprint 0, which links like any other.
-    Rows that repeat an id each have their row; a null id never becomes a component's id,
-    unless all ids of the component are null.
-    """
-    of_docs = saved(fingerprints(docs, shingle), "prints")
+def labels(of_docs: DataFrame, slice_size: int = SLICE) -> DataFrame:
+    """(print, root, component_id) for each distinct fingerprint of (doc_id, print)."""
     distinct = saved(of_docs.groupBy("print").agg(F.min("doc_id").alias("least_id")), "distinct")
     roots = saved(components(near_links(distinct, slice_size)), "roots")
     member = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
@@ -298,7 +291,44 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = S
         F.min("least_id").alias("component_id")
     )
     least = saved(least, "least")
-    labels = saved(member.join(least, "root").select("print", "component_id"), "labels")
-    return of_docs.join(labels, "print").select(
+    return saved(member.join(least, "root").select("print", "root", "component_id"), "labels")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = SLICE) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for each row of ``docs``.
+
+    ``component_id`` is the smallest id that the document reaches over links of near
+    fingerprints. Null and empty texts have the fingerprint 0, which links like any other.
+    Rows that repeat an id each have their row; a null id never becomes a component's id,
+    unless all ids of the component are null.
+    """
+    of_docs = saved(fingerprints(docs, shingle), "prints")
+    return of_docs.join(labels(of_docs, slice_size), "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = SLICE) -> DataFrame:
+    """One row of each component: that of its smallest id; all columns as they were.
+
+    A component is connected by steps, so a document may go that is not near the one that
+    stays. Of rows that share the smallest id the one with the smallest hash of its text
+    stays, of those that share the text too the one with the smallest hash of all columns.
+    Names of columns don't matter; ``doc_id`` is a whole number.
+    """
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    keyed = docs.select(F.struct(F.col("doc_id").alias("id"), text_hash.alias("hash")).alias("doc_id"), "text")
+    of_docs = saved(fingerprints(keyed, shingle), "prints")
+    labelled = labels(of_docs.select("doc_id.id", "print").withColumnRenamed("id", "doc_id"), slice_size)
+    least = of_docs.join(labelled, "print").filter(F.col("doc_id.id").eqNullSafe(F.col("component_id")))
+    chosen = least.groupBy("root").agg(F.min("doc_id").alias("kept"))
+
+    def keys(number: Column, content: Column) -> list[Column]:
+        return [number.isNull().alias("no_id"), F.coalesce(number, F.lit(0)).alias("id"), content.alias("hash")]
+
+    kept = chosen.select(*keys(F.col("kept.id"), F.col("kept.hash"))).distinct()
+    rows = docs.select(*keys(F.col("doc_id"), text_hash), F.struct(*[docs[name] for name in docs.columns]).alias("row"))
+    one = rows.join(kept, ["no_id", "id", "hash"], "left_semi").groupBy("no_id", "id", "hash").agg(
+        F.min_by("row", F.xxhash64("row")).alias("row")
+    )
+    return one.select("row.*")

@@ -24,7 +24,8 @@ and a chunk is saved before its first round, so that all rounds see the same.
 
 Defined results: a null text is an empty one; in texts that are returned it stays null. Rows
 with the same id are one document: they remove nothing from each other. Rows without an id
-lose nothing and remove nothing. Other columns pass through untouched.
+lose nothing and remove nothing. A very long text is a chunk of its own, up to the 2 GB of a
+cell. Other columns, whatever their names, pass through untouched.
 """
 
 from __future__ import annotations
@@ -46,8 +47,14 @@ from daybook.llm.saving import saved
 
 WIDTH = 50
 GRAM = 24
+#: A chunk and a bucket hold so much of small inputs. As each chunk sends to each bucket, both
+#: grow with the square root of larger ones, so that the number of messages grows with the
+#: input and not with its square, until they are ``GROWTH`` times as large, at 64 GB.
 CHUNK = 4 << 20
 BUCKET = 8 << 20
+GROWN_FROM = 1 << 30
+GROWTH = 8
+SMALL = 256
 WINDOWS_AT_ONCE = 1 << 19
 HOT = 4096
 PLACE_BITS = np.uint64(20)
@@ -57,13 +64,15 @@ UNSHARED, SHARED, HOT_GRAM = 0, 1, 2
 
 
 def packed(values: np.ndarray) -> bytes:
-    """An array in little space: its bytes by significance, compressed."""
+    """An array in little space: its bytes by significance, compressed if that can pay."""
     planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
-    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    content = np.ascontiguousarray(planes).tobytes()
+    return b"r" + content if len(content) <= SMALL else b"z" + zstandard.compress(content, 1)
 
 
 def unpacked(content: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(content), np.uint8)
+    plain = content[1:] if content[:1] == b"r" else zstandard.decompress(content[1:])
+    planes = np.frombuffer(plain, np.uint8)
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
 
@@ -157,11 +166,10 @@ class Chunk:
         counts = np.minimum(np.diff(np.append(heads, len(ids))), 65535).astype(np.uint16)
         several, counts = several[self.order].astype(np.uint8), counts[self.order]
         short = self.names >> NAME_SHIFT
-        for bucket in range(self.buckets):
+        for bucket in np.flatnonzero(np.diff(self.cuts)).tolist():
             own = slice(self.cuts[bucket], self.cuts[bucket + 1])
-            if own.start < own.stop:
-                steps = np.diff(short[own], prepend=np.uint64(0))
-                yield bucket, packed(steps), packed(counts[own]), packed(several[own])
+            steps = np.diff(short[own], prepend=np.uint64(0))
+            yield bucket, packed(steps), packed(counts[own]), packed(several[own])
 
     def records(self, answers: dict[int, bytes]) -> None:
         """Choose the different texts to send, from the states of the names by bucket.
@@ -209,19 +217,18 @@ class Chunk:
 
     def sent_records(self) -> Iterator[tuple]:
         """(bucket, texts, numbers of windows, ids) for each bucket."""
-        for bucket in range(self.buckets):
+        for bucket in np.flatnonzero(np.diff(self.bucket_cuts)).tolist():
             own = self.by_bucket[self.bucket_cuts[bucket] : self.bucket_cuts[bucket + 1]]
-            if len(own):
-                entry = self.chosen[own]
-                starts = self.place[entry].tolist()
-                stops = (self.place[entry] + self.number[entry] + WIDTH - 1).tolist()
-                content = b"".join([self.text[a:b] for a, b in zip(starts, stops)])
-                yield (
-                    bucket,
-                    zstandard.compress(content, 1),
-                    packed(self.number[entry].astype(np.uint8)),
-                    packed(self.holder[entry]),
-                )
+            entry = self.chosen[own]
+            starts = self.place[entry].tolist()
+            stops = (self.place[entry] + self.number[entry] + WIDTH - 1).tolist()
+            content = b"".join([self.text[a:b] for a, b in zip(starts, stops)])
+            yield (
+                bucket,
+                zstandard.compress(content, 1),
+                packed(self.number[entry].astype(np.uint8)),
+                packed(self.holder[entry]),
+            )
 
     def removed(self, masks: dict[int, bytes]) -> np.ndarray:
         """Which bytes go, from the masks of the records by bucket."""
@@ -320,10 +327,15 @@ def masks_of_records(rows: pa.Table) -> list[bytes]:
     return [packed(x) for x in np.split(masks, np.cumsum([len(x) for x in numbers])[:-1])]
 
 
+def null_name(docs: DataFrame) -> str:
+    """A name that no column has, for whether the text is null."""
+    return "_null_text" + "_" * max(map(len, docs.columns))
+
+
 def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     """Rows with many documents each: their ids, sizes, texts and other columns."""
     others = [name for name in docs.columns if name != "text"]
-    rest = F.struct(*[docs[name] for name in others], docs["text"].isNull().alias("_null_text"))
+    rest = F.struct(*[docs[name] for name in others], docs["text"].isNull().alias(null_name(docs)))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, raw = TaskContext.get().partitionId() << 32, [], 0
@@ -372,6 +384,12 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     return saved(columns.mapInArrow(of_batches, schema), "chunks")
 
 
+def sizes_for(total: int, chunk: int = CHUNK, bucket: int = BUCKET) -> tuple[int, int]:
+    """The sizes of a chunk and of a bucket for so many bytes of text."""
+    growth = min(max(math.sqrt(total / GROWN_FROM), 1), GROWTH)
+    return int(chunk * growth), int(bucket * growth)
+
+
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.table([pa.array(x, field.type) for x, field in zip(columns, schema)], schema=schema)
@@ -399,8 +417,9 @@ def with_removed(
     hot: int = HOT,
 ) -> DataFrame:
     """What ``finish`` makes of each chunk, its removed bytes and its other columns."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    chunk_size, bucket_size = sizes_for(total, chunk_size, bucket_size)
     of_docs = chunks(docs, chunk_size)
-    total = of_docs.agg(F.sum("raw")).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, math.ceil(total / bucket_size))
 
@@ -501,12 +520,12 @@ def without_repeats(docs: DataFrame, **sizes: int) -> DataFrame:
     """
     names = docs.columns
     schema = T.StructType([T.StructField(x.name, x.dataType) for x in docs.schema])
-    text_place = names.index("text")
     counted = "n_chars" in names
+    is_null = null_name(docs)
 
     def finish(own: Chunk, removed: np.ndarray, rest: pa.StructArray) -> pa.Table:
         texts, stays = [], []
-        nulls = rest.field("_null_text").to_pylist()
+        nulls = rest.field(is_null).to_pylist()
         for null, (kept, gone) in zip(nulls, _per_document(own, removed)):
             text = kept.decode("utf-8", errors="ignore")
             texts.append(None if null else text)
@@ -526,7 +545,6 @@ def without_repeats(docs: DataFrame, **sizes: int) -> DataFrame:
                 columns.append(rest.field(name))
         return pa.table(columns, names=names).filter(pa.array(stays, pa.bool_()))
 
-    assert text_place >= 0
     return with_removed(docs, finish, schema, **sizes)
 
 

@@ -9,10 +9,11 @@ import time
 import brute
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from odd_texts import LONG, TEXTS, rows_of
 
-from daybook.llm import disclosure, near_copies, simhash, suffixes, top_k, wrappers
+from daybook.llm import bands, disclosure, simhash, suffixes, top_k, wrappers
 from daybook.llm.links import components
 
 SPANS = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
@@ -150,36 +151,56 @@ def test_components_of_a_chain_and_no_links(spark):
     assert components(chain.limit(0)).count() == 0
 
 
-def test_similar_documents(spark, docs, no_docs):
-    words = [f"w{i}" for i in range(200)]
-    copies = [(0, " ".join(words)), (1, " ".join(words[:190])), (2, " ".join(words[:100])), (3, " ".join(reversed(words)))]
-    table = spark.createDataFrame(copies, "doc_id bigint, text string")
-    groups = dict(near_copies.similar_documents(table).select("doc_id", "component_id").collect())
-    assert groups == {0: 0, 1: 0, 2: 2, 3: 3}
-    kept = near_copies.keep_one(docs)
+def test_one_of_each_component_stays(spark, docs, no_docs):
+    prints = [brute.simhash(text) for _, text, _, _ in TEXTS]
+    label = brute.components(len(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    ids = [i for i, _, _, _ in TEXTS]
+    expected = [min((ids[k] for k in range(len(ids)) if label[k] == root and ids[k] is not None), default=None) for root in set(label)]
+    kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    ids = [row.doc_id for row in kept.collect()]
-    # Text 5 has as many other shingles as the few that the long text repeats.
-    assert sorted(ids) == [3, 5, 7, 11, 13, 14, 15, 16, 17, 18, 19]
-    assert near_copies.keep_one(no_docs).count() == 0
-
-
-def test_similar_documents_with_repeated_words(spark):
-    random.seed(7)
-    rows = []
-    for i, (size, more) in enumerate([(1000, 300), (3000, 600), (150, 55)] * 4):
-        words = [f"w{random.getrandbits(40)}" for _ in range(size)]
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + ["-"] * more))]
-    table = spark.createDataFrame(rows, "doc_id bigint, text string")
-    groups = dict(near_copies.similar_documents(table).select("doc_id", "component_id").collect())
-    assert groups == {i: i - i % 2 for i, _ in rows}
-
-
-def test_pairs_of_a_band_are_decided_whatever_their_fingerprints():
-    texts = [" ".join(f"w{i}" for i in range(200)), " ".join(f"w{i}" for i in range(198))]
-    prints, bands = np.array([0, 2**64 - 1], np.uint64), np.array([[1, 5], [2, 5]])
-    links = near_copies.verified_links(np.array([7, 8]), prints, bands, texts, 0.8)
-    assert links == [(7, 8)] or links == [(8, 7)]
+    assert sorted([row.doc_id for row in kept.collect()], key=repr) == sorted(expected, key=repr)
+    assert simhash.keep_one(no_docs).count() == 0
+    # Names like those used within, rows that differ in other columns only, and no id at all.
+    rows = [(None, "a b c d", 2, 0, 0), (None, "a b c d", 1, 0, 0), (5, "x y z u", 1, 0, 0), (5, "x y z u", 2, 0, 0)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, hash int, print int, root int")
+    first = simhash.keep_one(table).collect()
+    assert sorted((row.doc_id or 0) for row in first) == [0, 5]
+    again = simhash.keep_one(table.orderBy(F.col("hash").desc())).collect()
+    assert sorted(first, key=repr) == sorted(again, key=repr)
+
+
+def test_repeats_with_clashing_names(spark):
+    story = "The same long passage stands in two of the documents, word by word and to its end."
+    rows = [(1, f"One. {story}", 7, "a"), (2, f"Two. {story}", 8, "b"), (3, None, 9, "c")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, _null_text int, rest string")
+    kept = {row.doc_id: (row.text, row._null_text, row.rest) for row in suffixes.without_repeats(table).collect()}
+    assert kept[1] == (f"One. {story}", 7, "a") and kept[3] == (None, 9, "c")
+    assert kept[2][0].startswith("Two") and len(kept[2][0]) < 10 and kept[2][1:] == (8, "b")
+
+
+def test_messages_grow_with_the_input():
+    """Names of a chunk for as many buckets as 0.2 GB, 1 TB and 100 TB have."""
+    text = " ".join(f"w{i * 7919 % 100003}" for i in range(400_000)).encode()
+    row = {"texts": zstandard.compress(text), "sizes": [len(text)], "ids": [1]}
+
+    def sent(total):
+        chunk, bucket = suffixes.sizes_for(total)
+        whole = suffixes.Chunk(row, -(-total // bucket))
+        messages = list(whole.sent_names())
+        assert sum(len(suffixes.unpacked(x[1], np.uint64)) for x in messages) == len(whole.names)
+        size = sum(sum(map(len, x[1:])) for x in messages)
+        return size / len(whole.names)
+
+    assert suffixes.sizes_for(0) == suffixes.sizes_for(1 << 30) == (suffixes.CHUNK, suffixes.BUCKET)
+    small, large, huge = sent(2 * 10**8), sent(10**12), sent(10**14)
+    assert large < 4 * small and huge < 8 * small
+
+
+def test_similar_texts_share_a_band():
+    words = [f"w{i}" for i in range(200)]
+    whole, most, other = (set(bands.bands(" ".join(x))) for x in (words, words[:190], words[::-1]))
+    assert whole & most and not whole & other
+    assert bands.bands(None) == bands.bands(" \n") == [] and len(bands.bands("one")) == bands.BANDS
 
 
 @pytest.mark.parametrize("sizes", [{}, {"chunk_size": 500, "bucket_size": 500, "hot": 2}])

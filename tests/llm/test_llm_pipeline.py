@@ -47,18 +47,10 @@ def test_stages(spark):
         n_words, _, _, _, n_repeat = brute.quality(rows[i])
         assert n_words >= 20 and 100 * n_repeat <= 30 * n_words
 
-    def shingles(text):
-        words = text.encode().lower().split()
-        return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4)))
-
-    sets = {i: shingles(text) for i, text in good.items()}
-    ids = sorted(sets)
-    pairs = [(a, b) for a in ids for b in ids if a < b and sets[a] & sets[b]]
-    pairs = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    label = {i: i for i in ids}
-    for _ in ids:
-        for a, b in pairs:
-            label[a] = label[b] = min(label[a], label[b])
+    ids = sorted(good)
+    prints = [brute.simhash(good[i]) for i in ids]
+    root = brute.components(len(ids), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    label = {i: min(k for k, other in zip(ids, root) if other == mine) for i, mine in zip(ids, root)}
     assert set(single) == {i for i in ids if label[i] == i}
     expected = brute.repeats(sorted(single.items()))
     whole = {i for i, size, gone, _, _ in expected if size == gone and size}
