@@ -1,18 +1,22 @@
 """A corpus pipeline over the documents: rules, near-duplicates, passages, secrets, packing.
 
 Each stage takes all that its predecessor kept, as a table that was written and read again.
-All stages but the last return the columns of the documents.
+All stages but the last return the columns of the documents, whatever other columns there are.
+
+Defined results: a null or empty text has no words, so the first stage rejects it. Rows that
+repeat an id are documents of their own until the second stage, where one of those with equal
+texts stays. Texts are handled as a whole, of any length. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm.near_copies import keep_one
 from daybook.llm.packing import packed
 from daybook.llm.quality import keep_good
 from daybook.llm.saving import saved
 from daybook.llm.secret_scan import mask_secrets
+from daybook.llm.simhash import keep_one
 from daybook.llm.suffixes import without_repeats
 
 
@@ -22,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
+    """Of documents whose fingerprints link, in steps, the one with the smallest id stays."""
     return keep_one(docs)
 
 
