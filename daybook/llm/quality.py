@@ -24,13 +24,29 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
 ROW = "_row"
 
-# Frequent words of the four languages of the corpus.
+# Frequent words of languages in Latin letters.
 STOP_WORDS = (
     "the of and to in is that it for on was be with as by this are or an from "
     "de la le les et des en un une que pour dans par sur est au du "
     "der die und das den von zu mit nicht ein eine für auf ist im dem "
-    "el los las y del se por con una para no su al lo"
+    "el los las y del se por con una para no su al lo "
+    "di che il della per non sono gli alla nel anche più come "
+    "que não uma os com mais foi dos nas pelo ao "
+    "het een van niet zijn voor met dat aan ook wordt bij "
+    "och att som det på är inte till har med om ett den "
+    "og er ikke jeg til af at "
+    "ja on ei se että oli mutta kun niin "
+    "nie się jest na że do jak ale przez od "
+    "je v na že se s pro jako by jsou "
+    "és hogy nem egy az ez volt csak meg "
+    "și în cu nu este care mai din pentru "
+    "ve bir bu için ile da çok daha olarak "
+    "yang dan di untuk dengan ini itu dari tidak pada "
+    "và của là có cho không được trong một các"
 ).split()
+#: A text with at least so many bytes a character is mostly in other letters, and none of the
+#: listed words can be expected.
+OTHER_LETTERS = 1.5
 
 
 @dataclass(frozen=True)
@@ -57,11 +73,12 @@ def _share(part: str, whole: str) -> Column:
 
 def threshold_table() -> list[Rule]:
     """The rules beyond the base ones, over the measures of `measured`."""
+    latin = F.col("n_bytes") < OTHER_LETTERS * F.col("n_chars")
     return [
         Rule("mean_word_length", _share("word_chars", "n_words"), 2.0, 15.0),
         Rule("symbol_ratio", _share("n_symbols", "n_words"), None, 0.2),
         Rule("letter_ratio", _share("n_letters", "word_chars"), 0.5, None),
-        Rule("stop_word_ratio", _share("n_stop_words", "n_words"), 0.02, None),
+        Rule("stop_word_ratio", F.when(latin, _share("n_stop_words", "n_words")).otherwise(1.0), 0.02, None),
         Rule("duplicate_line_ratio", _share("n_dup_lines", "n_lines"), None, 0.3),
     ]
 
@@ -122,6 +139,8 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": _covered_by_repeats(F.col("_windows")),
         "n_lines": F.size("_lines"),
+        "n_bytes": F.octet_length("_text"),
+        "n_chars": F.length("_text"),
         "n_letters": F.length(F.regexp_replace("_text", r"\P{L}+", "")),
         "n_stop_words": F.size(
             F.filter("_words", lambda word: F.lower(word).isin(STOP_WORDS))

@@ -250,6 +250,7 @@ WITH texts AS MATERIALIZED (
            len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
            len(lines) - len(list_distinct(lines)) AS n_dup_lines,
            CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+           strlen(t) AS n_bytes, length(t) AS n_chars,
            length(regexp_replace(t, '\P{{L}}+', '', 'g')) AS n_letters,
            len(list_filter(words, lambda x: lower(x) IN ({_STOP_WORDS}))) AS n_stop_words
     FROM split LEFT JOIN covered USING (nr)
@@ -259,7 +260,8 @@ WITH texts AS MATERIALIZED (
                CASE WHEN word_chars / greatest(n_words, 1) NOT BETWEEN 2 AND 15 THEN 'mean_word_length' END,
                CASE WHEN n_symbols / greatest(n_words, 1) > 0.2::DOUBLE THEN 'symbol_ratio' END,
                CASE WHEN n_letters / greatest(word_chars, 1) < 0.5::DOUBLE THEN 'letter_ratio' END,
-               CASE WHEN n_stop_words / greatest(n_words, 1) < 0.02::DOUBLE THEN 'stop_word_ratio' END,
+               CASE WHEN n_stop_words / greatest(n_words, 1) < 0.02::DOUBLE
+                 AND n_bytes < {quality.OTHER_LETTERS} * n_chars THEN 'stop_word_ratio' END,
                CASE WHEN n_dup_lines / greatest(n_lines, 1) > 0.3::DOUBLE THEN 'duplicate_line_ratio' END
            ) AS failed_rules
     FROM measured

@@ -173,3 +173,18 @@ def test_digest_of_empty_text(docs):
     row = secret_scan.secret_report(docs).filter("doc_id = 11").first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest()
     assert row.spans == ""
+
+
+CLEAN = [
+    "Утром старый рыбак вышел к реке и увидел, что вода поднялась почти до самого крыльца. Он долго стоял молча, слушал ветер и думал о том, как быстро прошло это лето.",
+    "Ο γέρος ψαράς βγήκε το πρωί στο ποτάμι και είδε ότι το νερό είχε ανέβει σχεδόν ως το κατώφλι. Στάθηκε πολλή ώρα σιωπηλός και άκουγε τον άνεμο που φυσούσε.",
+    "La mattina il vecchio pescatore scese al fiume e vide che la corrente era salita quasi fino alla soglia della casa, ma non ebbe paura e rimase ad ascoltare.",
+    "Rano stary rybak wyszedł nad rzekę i zobaczył, że woda podniosła się prawie do progu domu, ale nie przestraszył się i długo jeszcze słuchał wiatru, jak co dzień.",
+]
+
+
+def test_clean_texts_in_other_languages_stay(spark):
+    junk = " ".join(f"zq{i} xw{i}kk" for i in range(30))
+    table = spark.createDataFrame([(i, x) for i, x in enumerate([*CLEAN, junk])], "doc_id bigint, text string")
+    found = {row.doc_id: (row.kept, row.failed_rules) for row in quality.quality_report(table).collect()}
+    assert found == {**{i: (True, "") for i in range(4)}, 4: (False, "stop_word_ratio")}
