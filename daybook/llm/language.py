@@ -3,8 +3,11 @@
 Learning adds up, per language, how often each of ``BUCKETS`` hashed n-grams occurs. Each
 task adds up its own texts first, so what is shuffled and what reaches the driver is bounded
 by languages times buckets, whatever the size of the corpus. The matrix of log-probabilities
-is broadcast; its size has the same bound. A text is a sparse row of n-gram counts, and its
-scores are the product of this row with the matrix, in slices of bounded length.
+is broadcast; its size has the same bound. Texts are sparse rows of n-gram counts. The rows of
+a batch, in the form of places, buckets and counts, are multiplied with the matrix at once.
+
+At most ``MOST_LANGUAGES`` languages are learned, those with the most documents, so that a
+column with other things in it can't grow the matrix beyond bounds.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0, as is every
 text if nothing was learned. Equal scores go to the first language by name. Rows without an
@@ -25,6 +28,9 @@ BUCKETS = 1 << 14
 LENGTHS = (1, 2, 3)
 SMOOTHING = 0.5
 SLICE = 1 << 18
+MOST_LANGUAGES = 256
+#: Entries of sparse rows that are multiplied at once.
+ENTRIES = 1 << 18
 UNKNOWN = "und"
 DOCUMENTS = -1
 
@@ -68,14 +74,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Languages by name, and the log-probabilities of buckets (rows) and of languages."""
-
-    def __init__(self, rows) -> None:
-        self.names = sorted({row["lang"] for row in rows})
-        place = {name: i for i, name in enumerate(self.names)}
-        counts = np.zeros((BUCKETS + 1, len(self.names)))
-        for row in rows:
-            counts[row["bucket"], place[row["lang"]]] = row["n"]
+    """Languages by name, and the log-probabilities of buckets (rows) and of languages.
+
+    ``places``, ``buckets`` and ``numbers`` tell how often each language has each bucket; the
+    bucket ``DOCUMENTS`` has its documents.
+    """
+
+    def __init__(self, names: list[str], places, buckets, numbers) -> None:
+        self.names = names
+        counts = np.zeros((BUCKETS + 1, len(names)))
+        counts[buckets, places] = numbers
         grams, documents = counts[:-1], counts[-1]
         total = grams.sum(axis=0) + SMOOTHING * BUCKETS
         self.grams = np.log((grams + SMOOTHING) / total).astype(np.float32)
@@ -88,23 +96,66 @@ class Model:
         vars(model).update(state)
         return model
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.names or not text or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        scores = self.prior.copy()
-        for buckets in slices(text):
-            scores += self.grams[buckets].sum(axis=0, dtype=np.float64)
-        best = int(np.argmax(scores))
-        return self.names[best], float(1 / np.exp(scores - scores[best]).sum())
-
-
-def learned(docs: DataFrame) -> Model:
+    def scores(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The scores of some texts, given as sparse rows: buckets that occur, and how often."""
+        starts = np.cumsum([0, *(len(buckets) for buckets, _ in rows[:-1])])
+        buckets, counts = (np.concatenate(part) for part in zip(*rows))
+        product = self.grams[buckets] * counts[:, None].astype(np.float64)
+        return self.prior + np.add.reduceat(product, starts, axis=0)
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
+        found = [(UNKNOWN, 0.0)] * len(texts)
+        rows: list[tuple[np.ndarray, np.ndarray]] = []
+        places: list[int] = []
+
+        def score() -> None:
+            scores = self.scores(rows)
+            best = scores.argmax(axis=1)
+            share = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
+            for place, language, value in zip(places, best.tolist(), share.tolist()):
+                found[place] = self.names[language], value
+            rows.clear()
+            places.clear()
+
+        entries = 0
+        for place, text in enumerate(texts):
+            if self.names and text and any(map(str.isalpha, text)):
+                counts = np.zeros(BUCKETS, np.int64)
+                for buckets in slices(text):
+                    counts += np.bincount(buckets, minlength=BUCKETS)
+                held = np.flatnonzero(counts)
+                rows.append((held, counts[held]))
+                places.append(place)
+                entries += len(held)
+                if entries >= ENTRIES:
+                    score()
+                    entries = 0
+        if rows:
+            score()
+        return found
+
+
+def learned(docs: DataFrame, most_languages: int = MOST_LANGUAGES) -> Model:
     """The model of the texts and languages of documents that are not held out."""
     of_known = docs.filter(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = of_known.select("text", "lang").mapInArrow(_count, "lang string, bucket int, n bigint")
-    return Model(counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect())
+    by_size = of_known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    names = sorted(row.lang for row in by_size.limit(most_languages).collect())
+    if not names:
+        return Model([], [], [], [])
+    known = F.array(*[F.lit(name) for name in names])
+    wanted = of_known.filter(F.col("lang").isin(names))
+    counts = (
+        wanted.select("text", "lang")
+        .mapInArrow(_count, "lang string, bucket int, n bigint")
+        .groupBy("lang", "bucket")
+        .agg(F.sum("n").alias("n"))
+        .select((F.array_position(known, F.col("lang")) - 1).alias("place"), "bucket", "n")
+        .toArrow()
+    )
+    return Model(names, *(counts.column(name).to_numpy() for name in ("place", "bucket", "n")))
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
@@ -114,7 +165,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.restored(shared.value)
         for batch in batches:
-            found = [own.predict(text.as_py()) for text in batch.column(2)]
+            found = own.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -1,6 +1,10 @@
 """Operators that look at each text by itself, against plain counterparts."""
 
 import hashlib
+import math
+import random
+import zlib
+from collections import Counter
 
 import brute
 import pytest
@@ -140,6 +144,48 @@ def test_language_edges(docs, no_docs):
     assert {row.lang_pred for row in language.predicted(docs, nothing).collect()} == {"und"}
 
 
+def plain_language(rows):
+    """Naive Bayes over counted n-grams, one text at a time."""
+    counts, documents = {}, Counter()
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and text is not None and lang is not None:
+            documents[lang] += 1
+            for buckets in language.slices(text):
+                counts.setdefault(lang, Counter()).update(buckets.tolist())
+    found = []
+    for i, text, _ in rows:
+        if not text or not any(x.isalpha() for x in text):
+            found.append((i, "und", 0.0))
+            continue
+        scores = {}
+        for lang, n in documents.items():
+            own = counts.get(lang, Counter())
+            total = sum(own.values()) + language.SMOOTHING * language.BUCKETS
+            scores[lang] = math.log(n / documents.total()) + sum(
+                math.log((own[x] + language.SMOOTHING) / total) for part in language.slices(text) for x in part.tolist()
+            )
+        best = max(sorted(scores), key=scores.get)
+        found.append((i, best, 1 / sum(math.exp(x - scores[best]) for x in scores.values())))
+    return found
+
+
+def test_language_equals_plain_counting(spark, monkeypatch):
+    rng = random.Random(2)
+    kinds = {"aa": "abcde ", "bb": "cdefg ", "cc": "xyzab "}
+    rows = [(i, "".join(rng.choices(kinds[lang], k=rng.randint(1, 40))), lang) for i, lang in enumerate(list(kinds) * 12)]
+    rows += [(100, None, "aa"), (101, " ", "bb"), (102, "abcxyz", None), (103, "é" * 300, "cc")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    found = {row.doc_id: (row.lang_pred, row.score) for row in language.predicted(table, language.learned(table)).collect()}
+    for i, lang, score in plain_language(rows):
+        assert found[i][0] == lang and found[i][1] == pytest.approx(score, abs=1e-3)
+    monkeypatch.setattr(language, "ENTRIES", 5)
+    model = language.learned(table)
+    texts = [text for _, text, _ in rows]
+    for together, alone in zip(model.predict(texts), (model.predict([text])[0] for text in texts)):
+        assert together[0] == alone[0] and together[1] == pytest.approx(alone[1])
+    assert language.learned(table, 2).names == ["aa", "bb"]
+
+
 @pytest.mark.parametrize("shard", [3, 4096])
 def test_packing(docs, no_docs, shard):
     placed = packing.packed(docs, capacity=100, shard_size=shard).collect()
