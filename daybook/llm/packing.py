@@ -11,8 +11,11 @@ Pieces are dealt by hash to shards of about ``SHARD`` pieces, each of which is p
 task of its own. A source or cluster with a third of all pieces is spread over the shards
 like the others. A shard leaves only few bins open, next to the thousands that it fills.
 
-Defined results: a document without words, or with a null text, is one piece of size 0. A
-piece of unknown source or cluster conflicts with none. Equal rows are packed each on their
+Clusters are given as a column, or are the components of near fingerprints of the SimHash
+operator, or else exact copies.
+
+Defined results: a document without words, or with a null text, is one piece of size 0 and in
+no cluster of near copies. A piece of unknown source or cluster conflicts with none. Equal rows are packed each on their
 own. Only doc_id, text and source are read; other columns don't matter.
 """
 
@@ -26,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.saving import saved
+from daybook.llm.simhash import classes
 
 CAPACITY = 1024
 SHARD = 4096
@@ -37,14 +41,22 @@ def exact_cluster(text: Column) -> Column:
     return F.when(text.isNotNull(), F.xxhash64(text))
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = None) -> DataFrame:
-    """(doc_id, source, cluster, piece, first_word, n_words): what is to be packed."""
-    counted = docs.select(
-        "doc_id",
-        "source",
-        (exact_cluster(F.col("text")) if cluster is None else cluster).alias("cluster"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).alias("words"),
+def sized(docs: DataFrame, cluster: Column | None = None, near_copies: bool = False) -> DataFrame:
+    """(doc_id, source, cluster, words) of each row, without its text."""
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).alias("words")
+    if not near_copies:
+        chosen = exact_cluster(F.col("text")) if cluster is None else cluster
+        return docs.select("doc_id", "source", chosen.alias("cluster"), words)
+    light = docs.select("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), words)
+    found = classes(docs).withColumnsRenamed({"doc_id": "_id", "hash": "_hash"})
+    same = light["doc_id"].eqNullSafe(found["_id"]) & (light["hash"] == found["_hash"])
+    return light.join(found, same).select(
+        "doc_id", "source", F.when(F.col("words") > 0, F.col("root")).alias("cluster"), "words"
     )
+
+
+def pieces(counted: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(doc_id, source, cluster, piece, first_word, n_words): what is to be packed."""
     count = F.greatest(F.ceil(F.col("words") / capacity), F.lit(1)).cast("int")
     numbered = counted.select(
         "*", F.explode(F.sequence(F.lit(0), count - 1)).alias("piece")
@@ -98,8 +110,12 @@ def packed(
     capacity: int = CAPACITY,
     shard_size: int = SHARD,
     cluster: Column | None = None,
+    near_copies: bool = False,
 ) -> DataFrame:
-    """(doc_id, piece, first_word, n_words, bin) for each piece of each document."""
+    """(doc_id, piece, first_word, n_words, bin) for each piece of each document.
+
+    With ``near_copies`` documents whose fingerprints link are a cluster.
+    """
 
     def pack(shard: pd.DataFrame) -> pd.DataFrame:
         ordered = shard.sort_values(
@@ -115,7 +131,7 @@ def packed(
         return numbered[["doc_id", "piece", "first_word", "n_words", "bin"]]
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    all_pieces = saved(pieces(docs, capacity, cluster), "pieces")
+    all_pieces = saved(pieces(sized(docs, cluster, near_copies), capacity), "pieces")
     shards = max(1, math.ceil(all_pieces.count() / shard_size))
     dealt = all_pieces.withColumn(
         "shard",

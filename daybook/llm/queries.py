@@ -56,7 +56,7 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(_table(spark, sf_dir, "documents"))
+    return packing.packed(_table(spark, sf_dir, "documents"), near_copies=True)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

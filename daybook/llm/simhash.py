@@ -308,6 +308,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = S
     )
 
 
+def _hashed_prints(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, hash, print): the rows by id and hash of their text."""
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    keyed = docs.select(F.struct(F.col("doc_id").alias("id"), text_hash.alias("hash")).alias("doc_id"), "text")
+    return saved(fingerprints(keyed, shingle), "prints").select(
+        F.col("doc_id.id").alias("doc_id"), F.col("doc_id.hash").alias("hash"), "print"
+    )
+
+
+def classes(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = SLICE) -> DataFrame:
+    """(doc_id, hash, root): the component of each unlike pair of an id and a text's hash."""
+    of_docs = _hashed_prints(docs, shingle)
+    found = of_docs.join(labels(of_docs.select("doc_id", "print"), slice_size), "print")
+    return saved(found.groupBy("doc_id", "hash").agg(F.min("root").alias("root")), "classes")
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = SLICE) -> DataFrame:
     """One row of each component: that of its smallest id; all columns as they were.
 
@@ -317,11 +333,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, slice_size: int = SLICE) -
     Names of columns don't matter; ``doc_id`` is a whole number.
     """
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
-    keyed = docs.select(F.struct(F.col("doc_id").alias("id"), text_hash.alias("hash")).alias("doc_id"), "text")
-    of_docs = saved(fingerprints(keyed, shingle), "prints")
-    labelled = labels(of_docs.select("doc_id.id", "print").withColumnRenamed("id", "doc_id"), slice_size)
-    least = of_docs.join(labelled, "print").filter(F.col("doc_id.id").eqNullSafe(F.col("component_id")))
-    chosen = least.groupBy("root").agg(F.min("doc_id").alias("kept"))
+    of_docs = _hashed_prints(docs, shingle)
+    labelled = labels(of_docs.select("doc_id", "print"), slice_size)
+    least = of_docs.join(labelled, "print").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = least.groupBy("root").agg(F.min(F.struct(F.col("doc_id").alias("id"), "hash")).alias("kept"))
 
     def keys(number: Column, content: Column) -> list[Column]:
         return [number.isNull().alias("no_id"), F.coalesce(number, F.lit(0)).alias("id"), content.alias("hash")]

@@ -11,7 +11,7 @@ import pytest
 from odd_texts import TEXTS, rows_of
 from tokenizers import Tokenizer
 
-from daybook.llm import bpe, language, packing, quality, secret_scan
+from daybook.llm import bpe, language, packing, quality, secret_scan, simhash
 from daybook.llm.queries import TOKENIZER, TOKENIZERS
 
 PATH = f"{TOKENIZERS}/{TOKENIZER}"
@@ -208,6 +208,56 @@ def test_packing(docs, no_docs, shard):
     assert packing.packed(no_docs).count() == 0
 
 
+def plain_best_fit(pieces, capacity):
+    """Every bin is tried for every piece."""
+    bins, placed = [], []
+    for size, source, cluster in pieces:
+        fitting = [
+            (capacity - sum(x[0] for x in held), i)
+            for i, held in enumerate(bins)
+            if capacity - sum(x[0] for x in held) >= size
+            and all(not source or source != x[1] for x in held)
+            and all(not cluster or cluster != x[2] for x in held)
+        ]
+        chosen = min(fitting)[1] if fitting else len(bins)
+        if not fitting:
+            bins.append([])
+        bins[chosen].append((size, source, cluster))
+        placed.append(chosen)
+    return placed
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_best_fit_equals_trying_all_bins(seed):
+    rng = random.Random(seed)
+    pieces = sorted(
+        ((rng.randint(0, 30), rng.choice([0, 1, 2, 4, 8]), rng.choice([0, 0, 1, 2, 4])) for _ in range(60)),
+        key=lambda x: -x[0],
+    )
+    assert packing.best_fit(*(list(x) for x in zip(*pieces)), 30) == plain_best_fit(pieces, 30)
+
+
+def test_near_copies_never_share_a_bin(spark, no_docs):
+    rng = random.Random(4)
+    rows = []
+    for i in range(30):
+        story = rng.choices([f"w{k}" for k in range(5000)], k=60)
+        for copy in range(4):
+            rows.append((10 * i + copy, " ".join([*story, "x"] if copy else story), f"s{rng.randint(0, 40)}", "r"))
+    rows += [(1000 + i, None, f"n{i}", "r") for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string, root string")
+    groups = {row.doc_id: row.component_id for row in simhash.near_duplicates(table).collect()}
+    assert len(set(groups.values())) < 100
+    bins = {}
+    for row in packing.packed(table, capacity=400, near_copies=True).collect():
+        bins.setdefault(row.bin, []).append(row.doc_id)
+    for ids in bins.values():
+        classes = [groups[i] for i in ids if i < 1000]
+        assert len(classes) == len(set(classes))
+    assert sum(map(len, bins.values())) == len(rows)
+    assert packing.packed(no_docs, near_copies=True).count() == 0
+
+
 def test_best_fit_takes_the_tightest_bin_without_conflict():
     bins = packing.best_fit([60, 50, 40, 30, 10], [1, 2, 1, 4, 0], [0, 0, 0, 0, 0], 100)
     # 40 fits best beside 60, but shares its source; 30 then fits best beside 60.
