@@ -15,8 +15,8 @@ of evidence; all of their documents count in p.
 
 Not all pairs are formed. Entities without enough texts can't have evidence. For the others a
 term that more documents hold than the bound that follows from the least share can't disclose
-them, however often they meet: so terms are counted first, and only pairs within the bound are
-formed and added up. An entity or term that a third of all documents hold is summed up before
+them, however often they meet. The texts of entities alone show that of most terms, so few
+pairs are formed, and only the terms of those with evidence are counted in the whole corpus. An entity or term that a third of all documents hold is summed up before
 it is shuffled, and joined as single rows, which adaptive execution can split.
 
 Defined results: a null text is an empty one, without spans. Starts and ends count code
@@ -287,26 +287,30 @@ def disclosing_pairs(
 ) -> DataFrame:
     """(entity, term, share): pairs in which the term discloses at least a share of the entity."""
     places = entity_places(found, evidence)
-    terms = text_terms(docs, places.select("text_hash").distinct())
-    terms = saved(terms.join(places.select("text_hash").distinct(), "text_hash", "left_semi"), "terms-of-texts")
-    exploded = terms.select("text_hash", F.explode("terms").alias("term"))
+    of_texts = saved(places.groupBy("text_hash").agg(F.max("n").alias("n")), "texts-of-entities")
+    terms = text_terms(docs, of_texts.select("text_hash"))
+    terms = saved(terms.join(of_texts, "text_hash"), "terms-of-texts")
     total = found.count()
 
     # together <= with_entity, so this is the most documents that a disclosing term can have.
     bits = F.log2(total / F.col("with_entity"))
     bound = F.col("with_entity") * F.pow(F.lit(2.0), (1 - least) * bits) * (1 + 1e-9)
     most = places.agg(F.max(bound)).first()[0] or 0.0
-    counted = term_counts(docs, exploded.select("term").distinct())
-    rare = saved(counted.filter(F.col("with_term").between(evidence, most)), "rare-terms")
+    exploded = terms.select("text_hash", "n", F.explode("terms").alias("term"))
+    # The texts of entities alone show that most words are too frequent.
+    rare = exploded.groupBy("term").agg(F.sum("n").alias("at_least")).filter(F.col("at_least") <= most)
+    rare = saved(rare, "rare-terms")
     placed = places.select("*", bound.alias("bound")).join(unlike_texts(terms), "text_hash")
-    pairs = exploded.join(rare, "term").join(placed, "text_hash").filter("with_term <= bound")
-    together = (
-        pairs.groupBy("entity", "term", "with_entity", "with_term", "alike")
+    pairs = exploded.drop("n").join(rare, "term").join(placed, "text_hash").filter("at_least <= bound")
+    together = saved(
+        pairs.groupBy("entity", "term", "with_entity", "alike")
         .agg(F.sum("n").alias("n"))
-        .groupBy("entity", "term", "with_entity", "with_term")
+        .groupBy("entity", "term", "with_entity")
         .agg(F.sum("n").alias("together"), F.count("*").alias("unlike"))
-        .filter(F.col("unlike") >= evidence)
+        .filter(F.col("unlike") >= evidence),
+        "together",
     )
+    together = together.join(term_counts(docs, together.select("term").distinct()), "term")
     pmi = F.log2(F.col("together") * total / (F.col("with_term") * F.col("with_entity")))
     share = F.when(bits > 0, pmi / bits).otherwise(0.0)
     return together.select("entity", "term", share.alias("share")).filter(F.col("share") >= least)
