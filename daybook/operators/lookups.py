@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 
 from daybook.functions.choices import lookup_status
 from daybook.functions.numbers import fixed_decimals
-from daybook.operators.segments import Cutting, carry_last, hash_sample, hashable, same_keys
+from daybook.operators.segments import (
+    Cutting,
+    carry_last,
+    fixed_width,
+    hash_sample,
+    hashable,
+    same_keys,
+)
 from daybook.session import saved_table
 
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 32 << 20
+WIDEST_FIXED = 16
 
 _SALT = "_salt"
 _SALTS = "_salts"
@@ -34,14 +42,22 @@ class Salting:
 
 
 def fits_broadcast(
-    df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
+    df: DataFrame,
+    rows: int = BROADCAST_ROWS,
+    size: int = BROADCAST_BYTES,
+    count_from: DataFrame | None = None,
 ) -> bool:
     """Whether a table has at most that many rows and bytes, as text.
 
     Counting Parquet reads only its footers; the bytes are added up only if the rows are few.
+    ``count_from`` may name a table that is cheaper to count and has no fewer rows. The bytes
+    are those of ``df`` itself; where no column's width depends on its content, the rows tell
+    enough.
     """
-    if df.count() > rows:
+    if (df if count_from is None else count_from).count() > rows:
         return False
+    if fixed_width(df.schema) and rows * len(df.columns) * WIDEST_FIXED <= size:
+        return True
     width = F.octet_length(F.to_json(F.struct(*df.columns)))
     return (df.agg(F.sum(width)).first()[0] or 0) <= size
 
@@ -101,8 +117,7 @@ def lookup_join(
     ``right``; ``hot_from`` one with the same keys that is cheaper to read than ``left``.
     The rows of ``left`` and ``hot_from`` should differ in some column.
     """
-    sized = right if size_from is None else size_from
-    if broadcast_rows and fits_broadcast(sized, broadcast_rows):
+    if broadcast_rows and fits_broadcast(right, broadcast_rows, count_from=size_from):
         return left.join(F.broadcast(right), list(keys), "left")
     sampled = left if hot_from is None else hot_from
     rows = sampled.count()

@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 from daybook.session import saved_table
@@ -64,6 +65,13 @@ def hashable(df: DataFrame) -> list[str]:
     return [name for name, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
 
 
+def fixed_width(schema: T.DataType) -> bool:
+    """Whether the width of a value does not depend on its content."""
+    if isinstance(schema, T.StructType):
+        return all(fixed_width(field.dataType) for field in schema.fields)
+    return isinstance(schema, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType))
+
+
 def hash_sample(df: DataFrame, columns: Sequence[str], stride: int) -> DataFrame:
     """About one row in ``stride``, always the same ones for the same values."""
     return df.filter(F.pmod(F.xxhash64(*columns), F.lit(stride)) == 0)
@@ -172,13 +180,18 @@ def earlier_segments(keys: Sequence[str]) -> WindowSpec:
 
 
 def join_per_segment(df: DataFrame, per_segment: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the columns of a table with one row per segment of the keys that were cut."""
+    """Add the columns of a table with one row per segment of the keys that were cut.
+
+    Its rows are bounded by the cuts. If texts or the like are among its columns their bytes
+    aren't, so adaptive execution decides, by what it has measured, whether to broadcast it.
+    """
     renamed = per_segment.select(
         *[F.col(name).alias(f"_seg_{name}") if name in (*keys, SEGMENT) else F.col(name)
           for name in per_segment.columns]
     )
     on = same_keys(df, renamed, [*keys, SEGMENT], "_seg_")
-    return df.join(F.broadcast(renamed), on, "left").drop(
+    bounded = F.broadcast(renamed) if fixed_width(renamed.schema) else renamed
+    return df.join(bounded, on, "left").drop(
         *[f"_seg_{name}" for name in (*keys, SEGMENT)]
     )
 
