@@ -16,7 +16,7 @@ of evidence; all of their documents count in p.
 Not all pairs are formed. Entities without enough texts can't have evidence. For the others a
 term that more documents hold than the bound that follows from the least share can't disclose
 them, however often they meet. The texts of entities alone show that of most terms, so few
-pairs are formed, and only the terms of those with evidence are counted in the whole corpus. An entity or term that a third of all documents hold is summed up before
+pairs are formed. An entity or term that a third of all documents hold is summed up before
 it is shuffled, and joined as single rows, which adaptive execution can split.
 
 Defined results: a null text is an empty one, without spans. Starts and ends count code
@@ -228,25 +228,20 @@ def text_terms(docs: DataFrame, hashes: DataFrame) -> DataFrame:
     return saved(one, "terms")
 
 
-def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, with_term): in how many documents of the corpus each of the terms occurs.
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(term, with_term): in how many documents of the corpus each term occurs.
 
-    Each task adds up its own texts and passes on what a filter lets through.
+    Each task adds up its own texts before it hands the counts on.
     """
-    wanted = Filter(terms.select(F.xxhash64("term").alias("hash")))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
 
         def out() -> pa.RecordBatch:
-            passed = [(term, n) for term, n in counts.items() if wanted.has_term(term)]
+            terms, numbers = list(counts.keys()), list(counts.values())
             counts.clear()
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([term for term, _ in passed], pa.string()),
-                    pa.array([n for _, n in passed], pa.int64()),
-                ],
-                ["term", "n"],
+                [pa.array(terms, pa.string()), pa.array(numbers, pa.int64())], ["term", "n"]
             )
 
         for batch in batches:
@@ -258,8 +253,7 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
     texts = docs.filter(F.col("text").isNotNull()).select("text")
     counted = texts.mapInArrow(of_batches, "term string, n bigint")
-    summed = counted.groupBy("term").agg(F.sum("n").alias("with_term"))
-    return summed.join(terms.select("term").distinct(), "term", "left_semi")
+    return saved(counted.groupBy("term").agg(F.sum("n").alias("with_term")), "term-counts")
 
 
 def unlike_texts(terms: DataFrame) -> DataFrame:
@@ -310,7 +304,7 @@ def disclosing_pairs(
         .filter(F.col("unlike") >= evidence),
         "together",
     )
-    together = together.join(term_counts(docs, together.select("term").distinct()), "term")
+    together = together.join(term_counts(docs), "term")
     pmi = F.log2(F.col("together") * total / (F.col("with_term") * F.col("with_entity")))
     share = F.when(bits > 0, pmi / bits).otherwise(0.0)
     return together.select("entity", "term", share.alias("share")).filter(F.col("share") >= least)
