@@ -188,7 +188,7 @@ def array_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Ranges so small that the files of small tables, too, are cut.
-FINE_RANGES = 32 << 10
+FINE_RANGES = 48 << 10
 
 
 def split_array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
