@@ -48,12 +48,13 @@ from daybook.llm.saving import saved
 WIDTH = 50
 GRAM = 24
 #: A chunk and a bucket hold so much of small inputs. As each chunk sends to each bucket, both
-#: grow with the square root of larger ones, so that the number of messages grows with the
-#: input and not with its square, until they are ``GROWTH`` times as large, at 64 GB.
+#: grow with the square root of larger ones, so that the number of messages at first grows with
+#: the input and not with its square. The memory of a task ends that: a chunk gets no more than
+#: four times as large, at 16 GB, and a bucket twice as large.
 CHUNK = 4 << 20
 BUCKET = 8 << 20
 GROWN_FROM = 1 << 30
-GROWTH = 8
+CHUNK_GROWTH, BUCKET_GROWTH = 4, 2
 SMALL = 256
 WINDOWS_AT_ONCE = 1 << 19
 HOT = 4096
@@ -386,8 +387,8 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
 
 def sizes_for(total: int, chunk: int = CHUNK, bucket: int = BUCKET) -> tuple[int, int]:
     """The sizes of a chunk and of a bucket for so many bytes of text."""
-    growth = min(max(math.sqrt(total / GROWN_FROM), 1), GROWTH)
-    return int(chunk * growth), int(bucket * growth)
+    growth = max(math.sqrt(total / GROWN_FROM), 1)
+    return int(chunk * min(growth, CHUNK_GROWTH)), int(bucket * min(growth, BUCKET_GROWTH))
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:

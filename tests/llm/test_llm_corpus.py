@@ -180,6 +180,7 @@ def test_repeats_with_clashing_names(spark):
 
 def test_messages_grow_with_the_input():
     """Names of a chunk for as many buckets as 0.2 GB, 1 TB and 100 TB have."""
+    assert suffixes.sizes_for(10**14) == (4 * suffixes.CHUNK, 2 * suffixes.BUCKET)
     text = " ".join(f"w{i * 7919 % 100003}" for i in range(400_000)).encode()
     row = {"texts": zstandard.compress(text), "sizes": [len(text)], "ids": [1]}
 
