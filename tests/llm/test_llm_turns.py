@@ -135,8 +135,8 @@ def test_long_conversations_in_segments(spark):
 
 def test_slow_convergence(spark):
     """Equal rows of one role leave no cheap way back to a common vector."""
-    rows = [(1, i, "user" if i % 2 else "assistant", f"{i}.") for i in range(400)]
-    rows += [(2, i, "assistant" if i % 2 else "user", f"{i}") for i in range(401)]
+    rows = [(1, i, "user" if i % 2 else "assistant", f"{i}.") for i in range(90)]
+    rows += [(2, i, "assistant" if i % 2 else "user", f"{i}") for i in range(91)]
     cutting = Cutting(sample_rows=4000, sample_rows_per_segment=8, smallest_segment=8)
     assert collected(turns.repair_report(frame(spark, rows), cutting=cutting)) == report(rows)
 
