@@ -16,10 +16,10 @@ A host with a third of all pages has one reference, which is joined with its pag
 execution can split those. A page is aligned on its own, so no task holds a host.
 
 Trees may be of any depth, and broken markup costs no more than good markup: open elements
-are found by their names, trees are matched without recursion. To match children that differ
-costs their product; beyond ``WORK`` pairs of a page the children that are still to be
-matched are paired in their order, those of one name. So a page of any size ends, and what
-such a pairing misses is left to the rule of paths.
+are found by their names, trees are matched without recursion. Children that differ are matched
+in the best way whatever their number. That takes the product of both numbers, in steps over
+arrays, and weights for each two different shapes of subtrees that fit; of a table of more than
+``WORK`` pairs only some rows are held.
 
 Defined results: null and empty pages give an empty text. Pages without a host in their
 address share the host ''. Pages whose texts are equal count once. Constant text needs
@@ -31,11 +31,13 @@ its text in links is a menu. Repeated rows have a result each. Columns other tha
 from __future__ import annotations
 
 import html as references
+import math
 import re
 from bisect import insort
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -50,8 +52,10 @@ REPEATED = 0.25
 #: So is one in an article with this share of all pages of the host, but for headings.
 INSIDE = 0.4
 OUTSIDE, IN_ARTICLE, HEADING = range(3)
-#: Pairs of unlike children that are compared for a page.
+#: Pairs of unlike children whose weights are held at once.
 WORK = 1_000_000
+#: Rows of at least that many children are arrays.
+WIDE = 64
 #: Pages are copies of each other if less than this share of their text is their own.
 OWN = 0.25
 PARSED_REFERENCES = 64
@@ -376,12 +380,17 @@ class Tree:
 
 
 class Alignment:
-    """Simple tree matching of a page with its reference."""
+    """Simple tree matching of a page with its reference.
+
+    The matching is the best one for any number of children. ``work`` bounds only the part of a
+    table that is held at once: of a larger one some rows are kept, and those between them are
+    made again on the way back.
+    """
 
     def __init__(self, reference: Tree, page: Tree, work: int = WORK) -> None:
         self.reference, self.page = reference, page
         self._known: dict[tuple[int, int], int] = {}
-        self._work = work
+        self._held = work
         by_key = {key: number for number, key in reference.shapes.items()}
         #: The reference's number of each shape of the page. Inner shapes have lower numbers.
         self._same: list[int | None] = []
@@ -415,24 +424,74 @@ class Alignment:
             high += 1
         return ends, one[low : len(one) - high], other[low : len(other) - high]
 
-    def _table(self, one: list[int], other: list[int]) -> list[list[int]] | None:
-        """The weights of matchings of two lists of children; None if the work is used up."""
-        self._work -= len(one) * len(other)
-        if self._work < 0:
-            return None
-        table = [[0] * (len(other) + 1)]
+    def _unknown(self, one: list[int], other: list[int]) -> list[tuple[int, int]]:
+        """A pair of children for each two shapes that fit and have no weight yet."""
+        ones = {self.reference.shape[x]: x for x in one}.values()
+        others = {self.page.shape[y]: y for y in other}.values()
+        return [(x, y) for x in ones for y in others if self._fits(x, y) and self._key(x, y) not in self._known]
+
+    def _steps(self, other: list[int]):
+        """The first row of a table of weights of matchings, and what makes a child's row from the one above."""
+        if len(other) < WIDE:
+
+            def below(above: list[int], x: int) -> list[int]:
+                row = [0]
+                for k, y in enumerate(other):
+                    best = above[k + 1] if above[k + 1] > row[k] else row[k]
+                    if self._fits(x, y):
+                        best = max(best, above[k] + self._known[self._key(x, y)])
+                    row.append(best)
+                return row
+
+            return [0] * (len(other) + 1), below
+        shapes, place = np.unique([self.page.shape[y] for y in other], return_inverse=True)
+        shapes, weights = shapes.tolist(), {}
+
+        def below_wide(above: np.ndarray, x: int) -> np.ndarray:
+            shape = self.reference.shape[x]
+            if shape not in weights:
+                if len(weights) * len(other) >= self._held:
+                    weights.clear()
+                # What doesn't fit weighs nothing, which is no better than to leave it out.
+                weights[shape] = np.array([self._known.get((shape, y), 0) for y in shapes], np.int32)[place]
+            row = np.zeros_like(above)
+            np.maximum(above[1:], above[:-1] + weights[shape], out=row[1:])
+            return np.maximum.accumulate(row)
+
+        return np.zeros(len(other) + 1, np.int32), below_wide
+
+    def _matched(self, one: list[int], other: list[int]) -> int:
+        """The weight of the best matching of two lists of children."""
+        row, below = self._steps(other)
         for x in one:
-            row, above = [0], table[-1]
-            for k, y in enumerate(other):
-                best = above[k + 1] if above[k + 1] > row[k] else row[k]
-                if self._fits(x, y):
-                    best = max(best, above[k] + self._known[self._key(x, y)])
-                row.append(best)
-            table.append(row)
-        return table
-
-    def _in_order(self, one: list[int], other: list[int]) -> list[tuple[int, int]]:
-        return [(x, y) for x, y in zip(one, other) if self._fits(x, y)]
+            row = below(row, x)
+        return int(row[-1])
+
+    def _paired(self, one: list[int], other: list[int]) -> list[tuple[int, int]]:
+        """The pairs of the best matching of two lists of children, from the last to the first."""
+        row, below = self._steps(other)
+        step = len(one) if len(one) * len(other) <= self._held else math.isqrt(len(one)) + 1
+        last = (len(one) - 1) // step * step
+        kept = [row]
+        for i, x in enumerate(one[:last], 1):
+            row = below(row, x)
+            if i % step == 0:
+                kept.append(row)
+        pairs, k = [], len(other)
+        for low in range(last, -1, -step):
+            table = [kept.pop()]
+            for x in one[low : low + step]:
+                table.append(below(table[-1], x))
+            i = len(table) - 1
+            while i and k:
+                if table[i][k] == table[i - 1][k]:
+                    i -= 1
+                elif table[i][k] == table[i][k - 1]:
+                    k -= 1
+                else:
+                    i, k = i - 1, k - 1
+                    pairs.append((one[low + i], other[k]))
+        return pairs
 
     def weight(self, a: int, b: int) -> int:
         """The most nodes that a matching of the two subtrees can pair."""
@@ -449,19 +508,11 @@ class Alignment:
                 self._known[key] = self.reference.size[x]
                 continue
             ends, one, other = self._children(x, y)
-            pairs = self._in_order(one, other)
-            if len(one) * len(other) <= self._work:
-                unknown = [
-                    (i, k) for i in one for k in other if self._fits(i, k) and self._key(i, k) not in self._known
-                ]
-                if unknown:
-                    todo.extend(unknown)
-                    continue
-                table = self._table(one, other)
-            else:
-                self._work, table = 0, None
-            matched = len(pairs) if table is None else table[-1][-1]
-            self._known[key] = 1 + sum(self.reference.size[i] for i, _ in ends) + matched
+            unknown = self._unknown(one, other)
+            if unknown:
+                todo.extend(unknown)
+                continue
+            self._known[key] = 1 + sum(self.reference.size[i] for i, _ in ends) + self._matched(one, other)
         return self._known[self._key(a, b)]
 
     def nodes(self) -> dict[int, int]:
@@ -475,25 +526,12 @@ class Alignment:
             if not one or not other:
                 continue
             if len(one) == len(other) == 1:
-                todo.extend(self._in_order(one, other))
-                continue
-            if len(one) * len(other) <= self._work:
-                for x in one:
-                    for y in other:
-                        self.weight(x, y)
-            table = self._table(one, other)
-            if table is None:
-                todo.extend(self._in_order(one, other))
+                if self._fits(one[0], other[0]):
+                    todo.append((one[0], other[0]))
                 continue
-            i, k = len(one), len(other)
-            while i and k:
-                if table[i][k] == table[i - 1][k]:
-                    i -= 1
-                elif table[i][k] == table[i][k - 1]:
-                    k -= 1
-                else:
-                    i, k = i - 1, k - 1
-                    todo.append((one[i], other[k]))
+            for x, y in self._unknown(one, other):
+                self.weight(x, y)
+            todo.extend(self._paired(one, other))
         return aligned
 
 

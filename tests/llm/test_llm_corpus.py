@@ -424,3 +424,23 @@ def test_matching_is_the_best_one():
         assert len(alignment.nodes()) == best(one, 0, other, 0) == alignment.weight(0, 0)
         limited = wrappers.Alignment(one, other, work=2).nodes()
         assert len(limited) <= best(one, 0, other, 0)
+
+
+def test_matching_is_the_best_one_at_any_size():
+    """The bound on what is held changes no matching; lists of children may be long."""
+    rng = random.Random(5)
+
+    def rows(count):
+        return "<ul>" + "".join(f"<li>{'<b></b>' * rng.randint(0, 5)}</li>" for _ in range(count)) + "</ul>"
+
+    for long, short in [(150, 140), (140, 20), (20, 140), (12, 9)]:
+        one, other = wrappers.Tree(rows(long)), wrappers.Tree(rows(short))
+        lists = [[len(tree.children[node]) for node in tree.children[1]] for tree in (one, other)]
+        table = [[0] * (short + 1) for _ in range(long + 1)]
+        for i, x in enumerate(lists[0]):
+            for k, y in enumerate(lists[1]):
+                table[i + 1][k + 1] = max(table[i][k + 1], table[i + 1][k], table[i][k] + 1 + min(x, y))
+        for work in (0, 2, 1000, wrappers.WORK):
+            alignment = wrappers.Alignment(one, other, work=work)
+            assert alignment.weight(0, 0) == 2 + table[-1][-1] == len(alignment.nodes())
+        assert wrappers.Alignment(one, other, work=2).nodes() == wrappers.Alignment(one, other).nodes()
