@@ -10,6 +10,11 @@ Whether a row has a partner depends on its key alone. So semi and anti joins loo
 in the distinct keys of the other side, and outer joins are the pairs and the rows without a
 partner. NULL keys never match, and they don't travel through the inner join.
 
+The pairs of a key are the product of its rows on both sides, so listing them is quadratic.
+Where only sums over the pairs are wanted, ``counted`` makes rows that are equal in the columns
+which matter into one row with their number, before the join: a pair of such rows then stands
+for the product of their numbers.
+
 The salt is a hash of the row, so a task that runs again gives the same rows. Rows that are
 equal in all columns stay together.
 """
@@ -93,6 +98,11 @@ def _with_partner(
     return found.filter(condition if wanted else ~condition).select(*df.columns)
 
 
+def counted(df: DataFrame, columns: Sequence[str], **counts: Column) -> DataFrame:
+    """The different rows of the columns, NULLs too, each with counts of its rows."""
+    return df.groupBy(*columns).agg(*[count.alias(name) for name, count in counts.items()])
+
+
 def skewed_join(
     left: DataFrame,
     right: DataFrame,

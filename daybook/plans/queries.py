@@ -35,7 +35,7 @@ from daybook.operators.scores import (
     score_results,
 )
 from daybook.operators.segments import Cutting
-from daybook.operators.skewed_joins import skewed_join
+from daybook.operators.skewed_joins import counted, skewed_join
 from daybook.operators.texts import LINES_PER_PART, item_line, ordered_text
 from daybook.plans.tables import (
     customer_pages,
@@ -443,13 +443,31 @@ def _skewed_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def skewed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = skewed_join(*_skewed_sides(spark, sf_dir), ["k"], salting=FINE_SALTING)
-    return pairs.groupBy("event_type", "s_nationkey").agg(F.count("*").alias("pairs"))
+    events, suppliers = _skewed_sides(spark, sf_dir)
+    joined = skewed_join(
+        counted(events, ["k", "event_type"], events=F.count("*")),
+        counted(suppliers, ["k", "s_nationkey"], suppliers=F.count("*")),
+        ["k"],
+        salting=FINE_SALTING,
+    )
+    pairs = F.sum(F.col("events") * F.col("suppliers")).alias("pairs")
+    return joined.groupBy("event_type", "s_nationkey").agg(pairs)
 
 
 def skewed_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = skewed_join(*_skewed_sides(spark, sf_dir), ["k"], "full", FINE_SALTING)
-    return joined.groupBy("k", "s_suppkey").agg(F.count("event_id").alias("events"), F.count("*").alias("rows"))
+    """A side without a partner has no number, and stands in one row for each of the other's."""
+    events, suppliers = _skewed_sides(spark, sf_dir)
+    joined = skewed_join(
+        counted(events, ["k"], known=F.count("event_id"), events=F.count("*")),
+        counted(suppliers, ["k", "s_suppkey"], suppliers=F.count("*")),
+        ["k"],
+        "full",
+        FINE_SALTING,
+    )
+    left, known, right = (F.coalesce(x, F.lit(y)) for x, y in (("events", 1), ("known", 0), ("suppliers", 1)))
+    return joined.groupBy("k", "s_suppkey").agg(
+        F.sum(known * right).alias("events"), F.sum(left * right).alias("rows")
+    )
 
 
 def skewed_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:

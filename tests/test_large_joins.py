@@ -1,11 +1,15 @@
 """Skewed joins and joins of ranges against plain loops."""
 
+import time
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.operators.intervals import interval_join
 from daybook.operators.lookups import Salting
 from daybook.operators.skewed_joins import grid_sides, skewed_join
+from daybook.plans.queries import skewed_full, skewed_pairs
 
 FINE = Salting(sample_rows=5000, sample_rows_per_part=5, smallest_table=4)
 LEFT = [(0, i) for i in range(60)] + [(i % 9, 100 + i) for i in range(40)] + [(None, 1), (None, 2), (50, 3), (50, 3)]
@@ -78,3 +82,28 @@ def test_interval_join(spark, width):
         assert pairs == sorted((x[1], y[1]) for x in left for y in right if overlap(x, y) and (not keys or x[0] == y[0]))
     plan = found._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_sums_over_the_pairs_of_hot_keys_list_no_pairs(spark, tmp_path):
+    """A hot key with 20,000 events and 10,000 suppliers has 200 million pairs."""
+    event = F.when(F.col("id") < 20_000, F.col("id") * 3).otherwise((F.col("id") - 20_000) * 3 + 1)
+    events = spark.range(20_300).select(event.alias("event_id"), F.lit("view").alias("event_type"))
+    supplier = F.when(F.col("id") < 10_000, F.col("id") * 3).otherwise((F.col("id") - 10_000) * 3 + 2)
+    suppliers = spark.range(10_200).select(supplier.alias("s_suppkey"), F.lit(1).alias("s_nationkey"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    suppliers.write.parquet(str(tmp_path / "supplier.parquet"))
+
+    def key(number, others):
+        return 0 if number % 3 == 0 else number % others if number % 7 != 1 else None
+
+    lefts = Counter(key(row.event_id, 400) for row in events.collect())
+    rights = [(key(row.s_suppkey, 300), row.s_suppkey) for row in suppliers.collect()]
+    numbers = Counter(k for k, _ in rights)
+    wanted = [(k, s, lefts[k], lefts[k]) if k is not None and lefts[k] else (k, s, 0, 1) for k, s in rights]
+    wanted += [(k, None, n, n) for k, n in lefts.items() if k is None or not numbers[k]]
+    begun = time.perf_counter()
+    found = [tuple(row) for row in skewed_full(spark, str(tmp_path)).collect()]
+    pairs = skewed_pairs(spark, str(tmp_path)).collect()
+    assert time.perf_counter() - begun < 30
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+    assert [tuple(row) for row in pairs] == [("view", 1, sum(lefts[k] * n for k, n in numbers.items() if k is not None))]
