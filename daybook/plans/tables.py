@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.operators.computed import spread
 from daybook.operators.lookups import label_lookup, lookup_join
 
 
@@ -57,7 +58,7 @@ def submission_urls(customer: DataFrame) -> DataFrame:
     """A sign-up address per customer, good and bad ones in turn."""
     key = F.col("c_custkey")
     user_id = F.expr("substring(c_name, 1, cast(2 + c_custkey % 17 AS int))")
-    return customer.select(
+    return spread(customer.select("c_custkey", "c_name")).select(
         "c_custkey",
         F.concat(
             F.lit("signUpResult.html?userId="),

@@ -1,10 +1,14 @@
 """What the plans must show: pruned scans, pushed filters, partial aggregates, no Python."""
 
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from daybook.plans import queries
 from daybook.plans.queries import QUERIES
+from daybook.plans.tables import submission_urls, table
 
 SF_DIR = "/root/testdata/sf0.001"
 STREAMS = {"last_choice_stream", "late_choice_stream", "enriched_stream"}
@@ -52,3 +56,14 @@ def test_aggregates_start_before_the_shuffle(spark, name):
 )
 def test_row_work_does_not_shuffle(spark, name):
     assert "Exchange" not in plan(spark, name)
+
+
+def test_narrow_rows_go_to_many_tasks(spark, tmp_path):
+    """A file of few bytes is one split, whatever is made of its rows."""
+    keys = spark.range(30_000).repartition(1)
+    people = keys.select(F.col("id").alias("c_custkey"), F.lit("Customer").alias("c_name"))
+    people.write.parquet(str(tmp_path / "customer.parquet"))
+    customer = table(spark, str(tmp_path), "customer")
+    urls = submission_urls(customer)
+    tasks = [row["count"] for row in urls.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 30_000 and len(tasks) > 8 and max(tasks) < 5_000
