@@ -83,14 +83,17 @@ def _attributes(html: Column, tag: str, name: str) -> Column:
     return F.filter(values, lambda value: value.isNotNull())
 
 
-def page_facts(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
+def page_facts(
+    pages: DataFrame, page_id: str = "page_id", html: str = "html", *carry: str
+) -> DataFrame:
     """Language, title and description of each page; NULL where a page has none."""
     shown = F.col("_shown")
     descriptions = F.filter(
         _all(shown, META, 0), lambda tag: F.lower(attribute(tag, "name")) == "description"
     )
-    return pages.select(page_id, visible(F.col(html)).alias("_shown")).select(
+    return pages.select(page_id, *carry, visible(F.col(html)).alias("_shown")).select(
         page_id,
+        *carry,
         attribute(F.regexp_extract(shown, ROOT, 0), "lang").alias("lang"),
         F.nullif(plain(F.regexp_extract(shown, TITLE, 1)), F.lit("")).alias("title"),
         attribute(F.get(descriptions, 0), "content").alias("description"),

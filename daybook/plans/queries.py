@@ -17,6 +17,7 @@ from daybook.functions.messages import (
 )
 from daybook.functions.numbers import integer_between
 from daybook.operators import forms, global_order, pages, rules, sales, sketches, snapshots
+from daybook.operators.computed import spread
 from daybook.operators.intervals import interval_join
 from daybook.operators.latest import latest_value
 from daybook.operators.lookups import (
@@ -698,15 +699,23 @@ def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_items(table(spark, sf_dir, "pages"))
 
 
+#: To make a file takes far more time than to write its bytes, so few are made in a task.
+FILES_OF_FOLDER = 250
+
+
 def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts of pages that stand in files of their own."""
+    """Facts of pages that stand in files of their own.
+
+    Each task writes a folder of its own, which is put in place as a whole; folders are listed
+    in parallel. Files are read once.
+    """
     path = shared_folder(spark, "page-files")
-    pages_ = table(spark, sf_dir, "pages").select("html")
-    pages_.write.option("maxRecordsPerFile", 1).text(path)
-    found = read_pages(spark, path)
-    facts = pages.page_facts(found, html="html").withColumnRenamed("page_id", "file_id")
-    sized = found.select(F.col("page_id").alias("file_id"), (F.length("html") - 1).cast("bigint").alias("chars"))
-    return facts.join(sized, "file_id").drop("file_id")
+    pages_ = spread(table(spark, sf_dir, "pages").select("page_id", "html"), FILES_OF_FOLDER)
+    folders = pages_.select("html", F.spark_partition_id().alias("folder"))
+    folders.write.partitionBy("folder").option("maxRecordsPerFile", 1).text(path)
+    sized = read_pages(spark, path).withColumn("chars", (F.length("html") - 1).cast("bigint"))
+    facts = pages.page_facts(sized, "page_id", "html", "chars").drop("page_id")
+    return facts.select(*[name for name in facts.columns if name != "chars"], "chars")
 
 
 def site_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

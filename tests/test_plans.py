@@ -67,3 +67,17 @@ def test_narrow_rows_go_to_many_tasks(spark, tmp_path):
     urls = submission_urls(customer)
     tasks = [row["count"] for row in urls.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(tasks) == 30_000 and len(tasks) > 8 and max(tasks) < 5_000
+
+
+def test_page_files_stand_in_folders_of_few(spark, tmp_path):
+    """One folder of all files is put in place and listed by the driver alone."""
+    html = F.when(F.col("id") % 5 != 0, F.concat(F.lit("<html lang=en><title>"), F.lit("t"), F.lit("</title>x\ny")))
+    rows = spark.range(2_500).select(F.col("id").alias("page_id"), html.alias("html"))
+    rows.repartition(1).write.parquet(str(tmp_path / "pages.parquet"))
+    found = queries.page_files(spark, str(tmp_path))
+    folders = Counter(name.rsplit("/", 1)[0] for name in found.inputFiles())
+    assert sum(folders.values()) == 2_500 and len(folders) > 1 and max(folders.values()) < 2_000
+    facts = Counter((row.lang, row.title, row.chars) for row in found.collect())
+    assert facts == {("en", "t", 33): 2_000, (None, None, 0): 500}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("FileScan") == 1
